@@ -41,13 +41,17 @@ def concat_ws_null(sep: str, *cols) -> Column:
 
 def parse_date(c, fmt: str | None = None) -> Column:
     """Text to date; malformed text gives null instead of an ANSI error."""
-    return F.try_to_date(_c(c), F.lit(fmt)) if fmt else F.try_to_date(_c(c))
+    return F.try_to_date(_c(c), fmt) if fmt else F.try_to_date(_c(c))
 
 
-def parse_timestamp(c, fmt: str | None = None) -> Column:
-    """Text to timestamp; malformed text gives null instead of an error."""
-    return (F.try_to_timestamp(_c(c), F.lit(fmt)) if fmt
-            else F.try_to_timestamp(_c(c)))
+def parse_timestamp(c, fmt: str | None = None, ntz: bool = False) -> Column:
+    """Text to timestamp; malformed text gives null instead of an error.
+
+    ``ntz`` returns a zone-less timestamp with the same wall-clock time.
+    """
+    ts = (F.try_to_timestamp(_c(c), F.lit(fmt)) if fmt
+          else F.try_to_timestamp(_c(c)))
+    return ts.cast("timestamp_ntz") if ntz else ts
 
 
 def ts_to_date(c) -> Column:

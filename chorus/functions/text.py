@@ -77,3 +77,25 @@ def nan_to_null(c) -> Column:
     """NaN is not null in Spark aggregates; turn it into null on entry."""
     x = _c(c)
     return F.when(F.isnan(x), F.lit(None)).otherwise(x)
+
+
+def english_stop_words() -> list[str]:
+    """Spark's default English stop list (181 words).
+
+    Loaded through ``StopWordsRemover`` when a Spark context is active,
+    otherwise read from the same resource in the installed Spark jars, so
+    that SQL oracles built without a JVM use the identical list.
+    """
+    from pyspark import SparkContext
+    if SparkContext._active_spark_context is not None:
+        from pyspark.ml.feature import StopWordsRemover
+        return list(StopWordsRemover.loadDefaultStopWords("english"))
+    import glob
+    import os
+    import zipfile
+    import pyspark
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
+                                  "spark-mllib_*.jar"))
+    with zipfile.ZipFile(jars[0]) as z:
+        raw = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
+    return [w for w in raw.decode("utf-8").split("\n") if w]

@@ -132,3 +132,13 @@ def top_k(df: DataFrame, k: int, by: str, tie: str) -> DataFrame:
     """Top ``k`` rows by ``by`` descending, ties by ``tie`` ascending;
     planned as a per-task bounded heap (TakeOrderedAndProject)."""
     return df.orderBy(F.desc(by), F.asc(tie)).limit(k)
+
+
+def dimension(df: DataFrame, keys, maxes: Mapping[str, str] | None = None,
+              mins: Mapping[str, str] | None = None) -> DataFrame:
+    """A dimension table: one row per key with max / min attributes
+    (``{source column: output name}``).  Null keys form a group, as in any
+    Spark ``groupBy``."""
+    aggs = [F.max(c).alias(a) for c, a in (maxes or {}).items()]
+    aggs += [F.min(c).alias(a) for c, a in (mins or {}).items()]
+    return df.groupBy(*_keys(keys)).agg(*aggs)

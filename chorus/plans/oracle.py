@@ -1,8 +1,10 @@
-"""DuckDB SQL twins of :mod:`chorus.plans.queries` (same column names)."""
+"""Shared pieces of the DuckDB SQL twins (see :mod:`chorus.plans.queries`).
 
-from __future__ import annotations
+Each snippet repeats, in SQL, a proxy projection or operator of the Spark
+side, so that the twins are written independently of the Spark code path.
+"""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
 
 # Proxy projections, repeated from chorus.sources.proxies.
 COMMENTS = """comments AS (
@@ -43,28 +45,81 @@ FEATURES = """feats AS (
   FROM comments c LEFT JOIN stance s ON c.author_name = s.author_name)"""
 
 
-def _with(*ctes: str) -> str:
+def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-SQL["extract_daily_stance"] = _with(COMMENTS, SIDES, STANCE, FEATURES) + """
-SELECT created_date, stance, count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL
-GROUP BY created_date, stance"""
 
-SQL["extract_topic_label"] = _with(COMMENTS, SIDES, STANCE, FEATURES) + """
-SELECT stance, topic, sentiment_label, created_date, count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL
-GROUP BY stance, topic, sentiment_label, created_date"""
 
-SQL["extract_topic_score"] = _with(COMMENTS, SIDES, STANCE, FEATURES) + """
-SELECT stance, topic, sentiment_label, created_date, sentiment_score,
-       count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL AND sentiment_score IS NOT NULL
-GROUP BY stance, topic, sentiment_label, created_date, sentiment_score"""
+RAW_COMMENTS = """raw_comments AS (
+  SELECT doc_id AS comment_id,
+         CAST(n_chars % 201 - 100 AS INTEGER) AS score,
+         text AS self_text,
+         lang AS subreddit,
+         CAST(DATE '2023-10-01' + CAST(doc_id % 400 AS INTEGER) AS TIMESTAMP)
+           + to_seconds((doc_id * 7919) % 86400) AS created_time,
+         CAST(doc_id % 3 = 0 AS FLOAT) AS controversiality,
+         CASE WHEN doc_id % 11 = 0 THEN NULL
+              ELSE source || '-' || CAST(doc_id % 7 AS VARCHAR) END AS author_name,
+         'p' || CAST(doc_id % 53 AS VARCHAR) AS post_id,
+         'Post ' || CAST(doc_id % 53 AS VARCHAR) AS post_title,
+         CASE WHEN doc_id % 53 % 5 = 0 THEN NULL
+              ELSE 'body ' || CAST(doc_id % 53 AS VARCHAR) END AS post_self_text,
+         CAST((doc_id % 53) * 3 + doc_id % 4 AS INTEGER) AS post_score,
+         CAST(CAST(doc_id % 100 AS DOUBLE) / 100 AS FLOAT) AS post_upvote_ratio,
+         CAST((doc_id % 53) * 2 + doc_id % 5 AS INTEGER) AS post_thumbs_ups,
+         CAST(doc_id % 6 AS INTEGER) AS post_total_awards_received,
+         CAST(DATE '2023-09-01' + CAST(doc_id % 53 AS INTEGER) AS TIMESTAMP)
+           + to_hours(doc_id % 24) AS post_created_time,
+         CASE WHEN doc_id % 13 = 0 THEN NULL ELSE doc_id % 2 = 0 END AS user_is_verified,
+         TIMESTAMP '2015-01-01 00:00:00' + to_days(CAST(doc_id % 1000 AS INTEGER))
+           AS user_account_created_time,
+         CAST(doc_id % 50 AS INTEGER) AS user_awardee_karma,
+         CAST(doc_id % 30 AS INTEGER) AS user_awarder_karma,
+         CAST(n_chars % 1000 AS INTEGER) AS user_link_karma,
+         CAST(n_chars % 777 AS INTEGER) AS user_comment_karma,
+         CAST(n_chars % 1777 AS INTEGER) AS user_total_karma
+  FROM documents)"""
+
+MONTHLY_EVENTS = """monthly_events AS (
+  SELECT n.n_name AS Country, strftime(o.o_orderdate, '%B') AS Month,
+         CAST(year(o.o_orderdate) AS INTEGER) AS Year,
+         CAST(count(o.o_orderkey) AS INTEGER) AS Events,
+         CAST(sum(CAST(o.o_orderkey % 3 AS INTEGER)) AS INTEGER) AS Fatalities
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY 1, 2, 3)"""
+
+MONTH_NUM = """CASE {0} WHEN 'January' THEN '01' WHEN 'February' THEN '02'
+  WHEN 'March' THEN '03' WHEN 'April' THEN '04' WHEN 'May' THEN '05'
+  WHEN 'June' THEN '06' WHEN 'July' THEN '07' WHEN 'August' THEN '08'
+  WHEN 'September' THEN '09' WHEN 'October' THEN '10'
+  WHEN 'November' THEN '11' WHEN 'December' THEN '12' END"""
+
+EVENTS_CLEAN = """events_clean AS (
+  SELECT Country AS country, Month, Year,
+         coalesce(Events, 0) AS events, coalesce(Fatalities, 0) AS fatalities,
+         concat_ws('-', """ + MONTH_NUM.format("Month") + """, CAST(Year AS VARCHAR)) AS month_year
+  FROM monthly_events
+  WHERE Country IS NOT NULL)"""
+
+# Tokens: lower-cased runs of letters, digits, underscore, length >= 2.
+TOKEN_RE = r"[\p{L}\p{N}_]{2,}"
+TOKENS = ("toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '"
+          + TOKEN_RE + "')) AS term FROM documents)")
+
+
+def values_cte(name: str, cols: tuple[str, ...], rows) -> str:
+    def lit(v):
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        if isinstance(v, float):
+            return f"CAST({v!r} AS DOUBLE)"
+        return repr(v)
+    body = ",\n  ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"{name}({', '.join(cols)}) AS (VALUES\n  {body})"
 
-SQL["author_stance_onepass"] = _with(COMMENTS, SIDES, STANCE) + """
-SELECT author_name, round(score_a, 6) AS score_a, round(score_b, 6) AS score_b, stance
-FROM stance"""
 
-SQL["author_stance"] = SQL["author_stance_onepass"]
+def in_list(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'"
+                           for v in values) + ")"

@@ -59,7 +59,7 @@ def raw_comments(docs: DataFrame) -> DataFrame:
         (F.col("n_chars") % 201 - 100).cast("int").alias("score"),
         F.col("text").alias("self_text"),
         F.col("lang").alias("subreddit"),
-        F.timestampadd("SECOND", (d * 7919) % 86400,
+        F.timestamp_add("SECOND", (d * 7919) % 86400,
                        created.cast("timestamp_ntz")).alias("created_time"),
         (d % 3 == 0).cast("float").alias("controversiality"),
         F.when(d % NULL_AUTHOR_EVERY == 0, F.lit(None).cast("string"))
@@ -75,13 +75,13 @@ def raw_comments(docs: DataFrame) -> DataFrame:
         ((d % 100) / 100).cast("float").alias("post_upvote_ratio"),
         (post * 2 + d % 5).cast("int").alias("post_thumbs_ups"),
         (d % 6).cast("int").alias("post_total_awards_received"),
-        F.timestampadd("HOUR", (d % 24),
+        F.timestamp_add("HOUR", (d % 24),
                        F.date_add(F.lit("2023-09-01").cast("date"),
                                   post.cast("int")).cast("timestamp_ntz"))
          .alias("post_created_time"),
         F.when(d % 13 == 0, F.lit(None).cast("boolean"))
          .otherwise(d % 2 == 0).alias("user_is_verified"),
-        F.timestampadd("DAY", (d % 1000).cast("int"),
+        F.timestamp_add("DAY", (d % 1000).cast("int"),
                        F.lit("2015-01-01 00:00:00").cast("timestamp_ntz"))
          .alias("user_account_created_time"),
         (d % 50).cast("int").alias("user_awardee_karma"),
