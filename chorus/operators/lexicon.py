@@ -49,13 +49,22 @@ def _normalise(s, alpha: float, places: int):
 
 
 def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
-                 rules: Rules | None = None) -> DataFrame:
-    """(id, _s): summed valence per text that has at least one hit."""
+                 rules: Rules | None = None, every_row: bool = False
+                 ) -> DataFrame:
+    """(id, _s): summed valence per text.
+
+    By default only texts with at least one hit are returned (inner join:
+    fewer rows reach the aggregate).  ``every_row`` keeps every input row
+    (``explode_outer`` + left join; ``_s`` is null without a hit), so the
+    caller needs no join back to list the texts without a hit.
+    """
     lex = small_side(lexicon.select("term", F.col("valence").cast("double")),
                      LEXICON_MAX_ROWS)
+    how = "left" if every_row else "inner"
+    explode = F.explode_outer if every_row else F.explode
     if rules is None:
-        hits = (df.select(id_col, F.explode(tokens(F.col(text))).alias("term"))
-                .join(lex, "term"))
+        hits = (df.select(id_col, explode(tokens(F.col(text))).alias("term"))
+                .join(lex, "term", how))
         return hits.groupBy(id_col).agg(F.sum("valence").alias("_s"))
     win = len(rules.decay)
     # Each token with the tokens 1..win positions before it (null at the
@@ -65,8 +74,8 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     items = F.transform(toks, lambda t, i: F.struct(
         t.alias("term"),
         *[F.get(toks, i - k).alias(f"p{k}") for k in range(1, win + 1)]))
-    rows = (arr.select(id_col, F.explode(items).alias("it"))
-            .select(id_col, "it.*").join(lex, "term"))
+    rows = (arr.select(id_col, explode(items).alias("it"))
+            .select(id_col, "it.*").join(lex, "term", how))
     v = F.col("valence")
     sign = F.signum(v)
     boost = F.lit(0.0)
@@ -102,6 +111,12 @@ def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 def lexicon_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                    out: str = "sentiment_score", rules: Rules | None = None,
                    alpha: float = ALPHA, places: int = 4) -> DataFrame:
-    """(id, score) for every row of ``df``; the text is not carried."""
-    return lexicon_score(df.select(id_col, text), id_col, text, lexicon, out,
-                         rules, alpha, places).select(id_col, out)
+    """(id, score) for every row of ``df``.
+
+    One shuffle of one partial sum per text: every row survives the outer
+    explode and the left broadcast join, so no join back to ``df`` is
+    needed (``id_col`` must be unique).
+    """
+    sums = lexicon_sums(df, id_col, text, lexicon, rules, every_row=True)
+    return sums.select(id_col, _normalise(F.col("_s"), alpha, places)
+                       .alias(out))

@@ -44,15 +44,19 @@ def author_stance_onepass(comments: DataFrame, author: str, text: str,
     only_a, only_b = side_conditions(F.col(text), kw_a, kw_b, mode,
                                      case_sensitive)
     s = F.col(score)
-    agg = (comments
-           .select(author, s.alias("_s"), only_a.alias("_a"), only_b.alias("_b"))
-           .filter((F.col("_a") | F.col("_b")) & F.col(author).isNotNull())
+    # No filter before the aggregate: Catalyst would push it below the
+    # projection and evaluate the text tests twice; here each is computed
+    # once per row and rows of neither side only touch the partial buffer.
+    flags = comments.select(author, s.alias("_s"), only_a.alias("_a"),
+                            only_b.alias("_b"))
+    agg = (flags.filter(F.col(author).isNotNull())
            .groupBy(author)
            .agg(F.avg(F.when(F.col("_a"), F.col("_s"))).alias("score_a"),
-                F.avg(F.when(F.col("_b"), F.col("_s"))).alias("score_b")))
-    agg = agg.select(author,
-                     F.coalesce("score_a", F.lit(0.0)).alias("score_a"),
-                     F.coalesce("score_b", F.lit(0.0)).alias("score_b"))
+                F.avg(F.when(F.col("_b"), F.col("_s"))).alias("score_b"),
+                F.max(F.col("_a") | F.col("_b")).alias("_sided")))
+    agg = agg.filter(F.col("_sided")).select(
+        author, F.coalesce("score_a", F.lit(0.0)).alias("score_a"),
+        F.coalesce("score_b", F.lit(0.0)).alias("score_b"))
     return _classify(agg, label_a, label_b)
 
 

@@ -64,8 +64,13 @@ def _t(spark, sf, name):
     return proxies.table(spark, sf, name)
 
 
+def _docs(spark, sf):
+    """The documents table, spread over the cores when under-split."""
+    return files.spread(_t(spark, sf, "documents"), "doc_id")
+
+
 def _comments(spark, sf):
-    return proxies.comments(_t(spark, sf, "documents"))
+    return proxies.comments(_docs(spark, sf))
 
 
 def _lexicon(spark):
@@ -694,7 +699,7 @@ def _stop_sql():
   GROUP BY term ORDER BY tf DESC, term LIMIT """ + str(TOP_K) + """)
 SELECT term, tf FROM counts""")
 def top_terms(spark, sf):
-    return terms.top_terms(_t(spark, sf, "documents"), "text", TOP_K)
+    return terms.top_terms(_docs(spark, sf), "text", TOP_K)
 
 
 @query("doc_term_counts", "WITH " + TOKENS + """,
@@ -704,7 +709,7 @@ vocab AS (
 SELECT doc_id, term, count(*) AS tf FROM toks JOIN vocab USING (term)
 GROUP BY doc_id, term""")
 def doc_term_counts(spark, sf):
-    return terms.doc_term_counts(_t(spark, sf, "documents"), "doc_id", "text",
+    return terms.doc_term_counts(_docs(spark, sf), "doc_id", "text",
                                  TOP_K)
 
 
@@ -713,7 +718,7 @@ sums AS (SELECT doc_id, sum(valence) AS s FROM toks JOIN lex USING (term) GROUP
 SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
 FROM documents d LEFT JOIN sums USING (doc_id)""")
 def lexicon_score(spark, sf):
-    return lexicon_scores(_t(spark, sf, "documents"), "doc_id", "text",
+    return lexicon_scores(_docs(spark, sf), "doc_id", "text",
                           _lexicon(spark))
 
 
@@ -748,7 +753,7 @@ sums AS (SELECT doc_id, sum(v) AS s FROM hits GROUP BY doc_id)
 SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
 FROM documents d LEFT JOIN sums USING (doc_id)""")
 def lexicon_score_negated(spark, sf):
-    return lexicon_scores(_t(spark, sf, "documents"), "doc_id", "text",
+    return lexicon_scores(_docs(spark, sf), "doc_id", "text",
                           _lexicon(spark),
                           rules=Rules(negators=NEGATORS, boosters=BOOSTERS))
 
@@ -977,7 +982,7 @@ def dq_suite(spark, sf):
 
 # ======================================================= star schema
 def _star(spark, sf):
-    d = _t(spark, sf, "documents")
+    d = _docs(spark, sf)
     raw = proxies.raw_comments(d)
     ev = proxies.monthly_events(_t(spark, sf, "orders"),
                                 _t(spark, sf, "customer"),

@@ -58,3 +58,20 @@ def write_extract(df: DataFrame, path: str, mode: str = "overwrite",
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:
     return read_csv(spark, path, schema)
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None
+           ) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than the cluster has
+    cores (e.g. one large row group), so per-row text work runs in
+    parallel.
+
+    At scale the scan already has many more splits than cores and this is
+    a no-op; only an under-split input pays the extra shuffle.  Hash
+    partitioning on a key keeps the result deterministic on retry without
+    the sort that round-robin repartitioning needs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
