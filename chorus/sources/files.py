@@ -8,6 +8,11 @@ from pyspark.sql import types as T
 # The CSV dialect of the raw comment export.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"',
                "multiLine": "true", "encoding": "UTF-8"}
+# The writer trims edge whitespace unless told not to.  An empty string is
+# written as "" but reads back as null (as in most CSV tools).
+CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"',
+                     "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false",
+                     "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -52,8 +57,7 @@ def write_extract(df: DataFrame, path: str, mode: str = "overwrite",
     bounded (the grouped dashboard tables), never for fact tables.
     """
     out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode).options(**{k: v for k, v in CSV_OPTIONS.items()
-                                     if k != "multiLine"}).csv(path))
+    out.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:
