@@ -854,9 +854,9 @@ def concat_ws_null(spark, sf):
 
 
 # ============================================================ quality
-def _dq_sql(table_cte: str, table: str, suite: str, checks) -> str:
-    """UNION ALL of one SELECT per check: (expectation, column, missing
-    expression, unexpected-among-non-null expression, base)."""
+def _dq_selects(table: str, suite: str, checks) -> list[str]:
+    """One SELECT per check (expectation, column, SQL condition under which
+    a non-null value is unexpected)."""
     parts = []
     for exp, col, unexpected_sql in checks:
         if exp == "expect_column_values_to_not_be_null":
@@ -873,7 +873,12 @@ def _dq_sql(table_cte: str, table: str, suite: str, checks) -> str:
             f"{u} AS unexpected_count, "
             f"CASE WHEN {base} > 0 THEN CAST({u} AS DOUBLE) * 100 / {base} END "
             f"AS unexpected_percent, {u} = 0 AS success FROM {table}")
-    return with_(table_cte) + "\nUNION ALL\n".join(parts)
+    return parts
+
+
+def _dq_sql(table_cte: str, table: str, suite: str, checks) -> str:
+    return with_(table_cte) + "\nUNION ALL\n".join(
+        _dq_selects(table, suite, checks))
 
 
 NN = "expect_column_values_to_not_be_null"
@@ -1049,7 +1054,64 @@ def star_schema(spark, sf):
     return out
 
 
-@query("dq_gate")
+STAR_DIMS_SQL = """dim_post AS (
+  SELECT post_id, post_title, post_self_text, month_year_post AS month_year,
+         max(post_score) AS post_score, max(post_upvote_ratio) AS post_upvote_ratio,
+         max(post_thumbs_ups) AS post_thumbs_ups,
+         max(post_total_awards_received) AS post_total_awards_received,
+         min(post_created_time) AS post_created_time
+  FROM cleaned GROUP BY 1, 2, 3, 4),
+dim_user AS (
+  SELECT author_name, max(coalesce(user_is_verified, false)) AS user_is_verified,
+         min(user_account_created_time) AS user_account_created_time,
+         max(user_awardee_karma) AS user_awardee_karma,
+         max(user_awarder_karma) AS user_awarder_karma,
+         max(user_link_karma) AS user_link_karma,
+         max(user_comment_karma) AS user_comment_karma,
+         max(user_total_karma) AS user_total_karma
+  FROM cleaned GROUP BY author_name),
+dim_date AS (
+  SELECT d AS date, strftime(d, '%m') AS month, strftime(d, '%Y') AS year,
+         strftime(d, '%m-%Y') AS month_year
+  FROM (SELECT CAST(unnest(generate_series(min(CAST(created_time AS DATE)),
+                                           max(CAST(created_time AS DATE)),
+                                           INTERVAL 1 DAY)) AS DATE) AS d
+        FROM raw_comments))"""
+
+DTF = "try_strptime(CAST({0} AS VARCHAR), '%Y-%m-%d %H:%M:%S') IS NULL"
+GATE_SQL_CHECKS = {
+    "expectation-dim-post": ("dim_post", [
+        (NN, "post_id", None), (OT, "post_score", "false"),
+        (NN, "post_title", None), (TL, "post_upvote_ratio", "false"),
+        (OT, "post_thumbs_ups", "false"),
+        (OT, "post_total_awards_received", "false"),
+        (OT, "post_created_time", "false")]),
+    "expectation-dim-user": ("dim_user", [
+        (NN, "author_name", None),
+        (IS, "user_is_verified", "user_is_verified NOT IN (true, false)"),
+        (DF, "user_account_created_time",
+         DTF.format("user_account_created_time")),
+        (NN, "user_awardee_karma", None), (NN, "user_awarder_karma", None),
+        (NN, "user_link_karma", None), (NN, "user_comment_karma", None),
+        (NN, "user_total_karma", None)]),
+    "expectation-fact-comment": ("fact", [
+        (NN, "comment_id", None), (NN, "self_text", None),
+        (NN, "subreddit", None), (NN, "created_time", None),
+        (DF, "created_time", DTF.format("created_time")),
+        (NN, "author_name", None), (NN, "post_id", None)]),
+    "expectation-dim-date": ("dim_date", [
+        (NN, "month_year", None), (NN, "month", None), (NN, "year", None),
+        (NN, "date", None), (DF, "date", DTF.format("date"))]),
+    "expectation-fact-assault": ("events_clean", [
+        (NN, "country", None), (BT, "events", "events < 0"),
+        (BT, "fatalities", "fatalities < 0")]),
+}
+
+
+@query("dq_gate", with_(RAW_COMMENTS, MONTHLY_EVENTS, EVENTS_CLEAN, LEX_SQL,
+                        FACT_SQL, STAR_DIMS_SQL) + "\nUNION ALL\n".join(
+    sel for suite, (table, checks) in GATE_SQL_CHECKS.items()
+    for sel in _dq_selects(table, suite, checks)))
 def dq_gate(spark, sf):
     return gate.quality_gate(_star(spark, sf))
 
