@@ -21,7 +21,7 @@ from chorus.operators.calendar import (DEFAULT_END, DEFAULT_START, date_dim,
 from chorus.operators.clean import (conform, drop_any_null, fill_nulls,
                                     rename_columns)
 from chorus.operators.lexicon import Rules, lexicon_score
-from chorus.sources.files import read_csv, write_stage
+from chorus.sources.files import read_csv, write_bucketed, write_stage
 from chorus.sources.jdbc import write_tables
 from chorus.sources.sampling import hash_sample, seeded_sample
 
@@ -58,9 +58,16 @@ LOAD_SCHEMA = {
 def stage_raw(spark: SparkSession, comments_csv: str, comments_schema,
               events_csv: str, events_schema, out_dir: str,
               fraction: float | None = None, sample_key: str | None = None,
-              seed: int = 42, mode: str = "overwrite") -> dict[str, str]:
+              seed: int = 42, mode: str = "overwrite",
+              buckets: int | None = None, bucket_key: str = "comment_id",
+              table: str = "data_comments_raw") -> dict[str, str]:
     """CSV exports -> (sampled) Parquet stage.  With ``sample_key`` the
-    sample is a key-hash sample, repeatable under any partitioning."""
+    sample is a key-hash sample, repeatable under any partitioning.
+
+    With ``buckets`` the comment stage is also registered as ``table``,
+    bucketed on ``bucket_key``: scoring it later (aggregate by key, join
+    back on key) then runs without any shuffle of the text.
+    """
     comments = read_csv(spark, comments_csv, comments_schema)
     if fraction is not None:
         comments = (hash_sample(comments, sample_key, fraction) if sample_key
@@ -68,7 +75,11 @@ def stage_raw(spark: SparkSession, comments_csv: str, comments_schema,
     events = read_csv(spark, events_csv, events_schema)
     paths = {"comments": f"{out_dir}/data_comments_raw",
              "events": f"{out_dir}/data_events_raw"}
-    write_stage(comments, paths["comments"], mode)
+    if buckets:
+        write_bucketed(comments, table, paths["comments"], bucket_key,
+                       buckets, mode)
+    else:
+        write_stage(comments, paths["comments"], mode)
     write_stage(events, paths["events"], mode)
     return paths
 

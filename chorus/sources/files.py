@@ -75,7 +75,24 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None
     partitioning on a key keeps the result deterministic on retry without
     the sort that round-robin repartitioning needs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = (min_partitions
+                  or df.sparkSession.sparkContext.defaultParallelism)
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
         return df
     return df.repartition(target, key)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str,
+                   buckets: int, mode: str = "overwrite") -> None:
+    """Stage a table hash-bucketed (and sorted) on ``key`` in ``path``.
+
+    Later per-key work on the table -- an aggregate by ``key`` and a join
+    back on ``key``, as in lexicon scoring -- reads the buckets as already
+    partitioned and needs no shuffle.  The table is registered in the
+    session catalog (a shared metastore on a cluster).
+    """
+    (df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))

@@ -57,3 +57,19 @@ def test_top_terms_is_bounded_top_k(spark):
 def test_dq_suite_is_one_scan(spark):
     p = plan(QUERIES["dq_suite"](spark, SF01))
     assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1
+
+
+def test_bucketed_stage_scores_without_shuffle(spark, tmp_dir):
+    from chorus.plans import star
+    from chorus.sources import files, proxies
+    from chorus.plans.queries import LEXICON
+    raw = proxies.raw_comments(proxies.table(spark, SF01, "documents"))
+    files.write_bucketed(raw, "raw_comments_bucketed", f"{tmp_dir}/rc",
+                         "comment_id", 8)
+    staged = spark.table("raw_comments_bucketed")
+    lex = spark.createDataFrame(LEXICON, "term string, valence double")
+    fact = star.fact_comment(star.clean_comments(staged), lex)
+    p = plan(fact)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" in p
+    assert "Exchange hashpartitioning" not in p     # co-located by buckets
+    assert fact.count() == raw.filter("author_name IS NOT NULL").count()
