@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+               known_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
 
-    The proof is a bounded count (it reads at most ``max_rows + 1`` rows), so
-    a large input costs one short job, never a full scan.  Otherwise ``df``
-    is returned unchanged and the join shuffles.
+    The proof is ``known_rows`` when the caller built ``df`` from data of a
+    known size, else a bounded count (it reads at most ``max_rows + 1``
+    rows), so a large input costs one short job, never a full scan.
+    Otherwise ``df`` is returned unchanged and the join shuffles.
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None \
+        else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -37,6 +37,7 @@ LEXICON_MAX_ROWS = 2_000_000
 
 @dataclass(frozen=True)
 class Rules:
+    """Negation and booster rules (empty by default)."""
     negators: Sequence[str] = ()
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
     n_scalar: float = N_SCALAR
@@ -49,8 +50,8 @@ def _normalise(s, alpha: float, places: int):
 
 
 def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
-                 rules: Rules | None = None, every_row: bool = False
-                 ) -> DataFrame:
+                 rules: Rules | None = None, every_row: bool = False,
+                 lexicon_rows: int | None = None) -> DataFrame:
     """(id, _s): summed valence per text.
 
     By default only texts with at least one hit are returned (inner join:
@@ -59,7 +60,7 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     caller needs no join back to list the texts without a hit.
     """
     lex = small_side(lexicon.select("term", F.col("valence").cast("double")),
-                     LEXICON_MAX_ROWS)
+                     LEXICON_MAX_ROWS, lexicon_rows)
     how = "left" if every_row else "inner"
     explode = F.explode_outer if every_row else F.explode
     if rules is None:
@@ -99,9 +100,12 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                   out: str = "sentiment_score", rules: Rules | None = None,
                   alpha: float = ALPHA, places: int = 4,
-                  score_type: str = "double") -> DataFrame:
-    """``df`` with a sentiment score column (``id_col`` must be unique)."""
-    sums = lexicon_sums(df, id_col, text, lexicon, rules)
+                  score_type: str = "double",
+                  lexicon_rows: int | None = None) -> DataFrame:
+    """``df`` with a sentiment score column (``id_col`` must be unique).
+    ``lexicon_rows``: the lexicon's size when the caller knows it."""
+    sums = lexicon_sums(df, id_col, text, lexicon, rules,
+                        lexicon_rows=lexicon_rows)
     s = _normalise(F.col("_s"), alpha, places)
     if score_type == "float":
         s = s.cast("float")
@@ -110,13 +114,15 @@ def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
 def lexicon_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                    out: str = "sentiment_score", rules: Rules | None = None,
-                   alpha: float = ALPHA, places: int = 4) -> DataFrame:
+                   alpha: float = ALPHA, places: int = 4,
+                   lexicon_rows: int | None = None) -> DataFrame:
     """(id, score) for every row of ``df``.
 
     One shuffle of one partial sum per text: every row survives the outer
     explode and the left broadcast join, so no join back to ``df`` is
     needed (``id_col`` must be unique).
     """
-    sums = lexicon_sums(df, id_col, text, lexicon, rules, every_row=True)
+    sums = lexicon_sums(df, id_col, text, lexicon, rules, every_row=True,
+                        lexicon_rows=lexicon_rows)
     return sums.select(id_col, _normalise(F.col("_s"), alpha, places)
                        .alias(out))

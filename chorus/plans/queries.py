@@ -545,7 +545,7 @@ GROUP BY created_date, stance""")
 def csv_extract(spark, sf):
     ex = _extract(spark, sf, "daily_stance")
     path = scratch_path(spark, "csv_extract")
-    files.write_extract(ex, path, single_file=True)
+    files.write_extract(ex, path)
     return files.read_extract(spark, path, ex.schema)
 
 
@@ -719,7 +719,7 @@ SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_sc
 FROM documents d LEFT JOIN sums USING (doc_id)""")
 def lexicon_score(spark, sf):
     return lexicon_scores(_docs(spark, sf), "doc_id", "text",
-                          _lexicon(spark))
+                          _lexicon(spark), lexicon_rows=len(LEXICON))
 
 
 NEG_SQL = in_list(NEGATORS)
@@ -754,7 +754,7 @@ SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_sc
 FROM documents d LEFT JOIN sums USING (doc_id)""")
 def lexicon_score_negated(spark, sf):
     return lexicon_scores(_docs(spark, sf), "doc_id", "text",
-                          _lexicon(spark),
+                          _lexicon(spark), lexicon_rows=len(LEXICON),
                           rules=Rules(negators=NEGATORS, boosters=BOOSTERS))
 
 
@@ -994,7 +994,7 @@ def _star(spark, sf):
                                 _t(spark, sf, "nation"))
     span = raw.select(F.to_date("created_time").alias("d"))
     return star.build_star_schema_span(spark, raw, ev, _lexicon(spark),
-                                       span, "d")
+                                       span, "d", lexicon_rows=len(LEXICON))
 
 
 FACT_SQL = """cleaned AS (

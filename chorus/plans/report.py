@@ -9,6 +9,7 @@ author skew -- and only then joined to the stance table on author.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,3 +98,85 @@ def all_extracts(comments: DataFrame, author: str, id_col: str, text: str,
         out[name] = (finest.groupBy(*EXTRACT_KEYS[name])
                      .agg(F.sum("n_comments").alias("n_comments")))
     return out
+
+
+# ---------------------------------------------------------------- P4
+@dataclass(frozen=True)
+class ReportParams:
+    """Column names and keyword parameters of the analysis report."""
+    id_col: str = "comment_id"
+    author: str = "author_name"
+    text: str = "self_text"
+    score: str = "score"
+    created: str = "created_date"
+    cohort_keywords: Sequence[str] = ()          # label counts for a topic
+    cohort_groups: Sequence[Sequence[str]] = ()  # all groups must match
+    side_a: Sequence[str] = ()
+    side_b: Sequence[str] = ()
+    label_a: str = "Pro A"
+    label_b: str = "Pro B"
+    topic_a: str = "A"
+    topic_b: str = "B"
+    periods: Sequence[tuple[int, int]] = ()      # two (year, month) pairs
+    top_k: int = 20
+    stop_words: Sequence[str] | None = None
+    mode: str = "substring"
+
+
+def analysis_report(comments: DataFrame, p: ReportParams
+                    ) -> dict[str, DataFrame]:
+    """The analysis notebook as lazy Spark outputs (no action here).
+
+    label_counts / group_label_counts: label distribution of a keyword
+    cohort and of a keyword-group cohort, with totals; period_test: Welch
+    test between the two periods; period_means: side x period means;
+    stance / stance_counts: author stance; top_terms: vocabulary;
+    daily_stance, topic_label, topic_score: the dashboard extracts.
+    Null texts are dropped first, as the notebook does.
+    """
+    from chorus.operators import aggregates as agg
+    from chorus.operators import filters, stats, terms
+    from chorus.operators.stance import side_conditions, stance_counts
+
+    c = comments.filter(F.col(p.text).isNotNull())
+    labelled = c.withColumn("sentiment_label", score_label(F.col(p.score)))
+    out: dict[str, DataFrame] = {}
+    if p.cohort_keywords:
+        out["label_counts"] = agg.value_counts_total(
+            filters.keyword_any(labelled, p.text, p.cohort_keywords, p.mode),
+            "sentiment_label")
+    if p.cohort_groups:
+        out["group_label_counts"] = agg.value_counts_total(
+            filters.keyword_all_groups(labelled, p.text, p.cohort_groups,
+                                       p.mode), "sentiment_label")
+    only_a, only_b = side_conditions(F.col(p.text), p.side_a, p.side_b,
+                                     p.mode)
+    if len(p.periods) == 2:
+        (y1, m1), (y2, m2) = p.periods
+        pa = filters.period_condition(c, p.created, y1, m1)
+        pb = filters.period_condition(c, p.created, y2, m2)
+        out["period_test"] = stats.welch_ttest(c, p.score, pa, pb)
+        out["period_means"] = agg.cohort_period_means(
+            c, p.score, {"A": only_a, "B": only_b},
+            {f"{y1}-{m1:02d}": pa, f"{y2}-{m2:02d}": pb})
+    stance = author_stance_onepass(c, p.author, p.text, p.score, p.side_a,
+                                   p.side_b, p.label_a, p.label_b, p.mode)
+    out["stance"] = stance
+    out["stance_counts"] = stance_counts(stance)
+    out["top_terms"] = terms.top_terms(c, p.text, p.top_k, p.stop_words)
+    feats = comment_features(c, p.text, p.score, p.created, p.side_a,
+                             p.side_b, p.topic_a, p.topic_b)
+    for name, keys in EXTRACT_KEYS.items():
+        out[name] = stance_counts_by(feats, stance, p.author, p.id_col, keys)
+    return out
+
+
+def write_extracts(report: dict[str, DataFrame], out_dir: str,
+                   mode: str = "overwrite") -> dict[str, str]:
+    """Write the three dashboard extracts as CSV folders with headers."""
+    from chorus.sources.files import write_extract
+    paths = {}
+    for name in EXTRACT_KEYS:
+        paths[name] = f"{out_dir}/{name}"
+        write_extract(report[name], paths[name], mode)
+    return paths

@@ -109,11 +109,12 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
 
 def fact_comment(cleaned: DataFrame, lexicon: DataFrame,
-                 rules: Rules | None = None,
-                 score_type: str = "float") -> DataFrame:
+                 rules: Rules | None = None, score_type: str = "float",
+                 lexicon_rows: int | None = None) -> DataFrame:
     scored = lexicon_score(cleaned.select(*FACT_COMMENT_COLUMNS[:-2]),
                            "comment_id", "self_text", lexicon,
-                           rules=rules, score_type=score_type)
+                           rules=rules, score_type=score_type,
+                           lexicon_rows=lexicon_rows)
     return scored.withColumn("sentiment_label",
                              score_label("sentiment_score",
                                          score_type=score_type)
@@ -138,13 +139,16 @@ def build_star_schema(spark: SparkSession, raw_comments: DataFrame,
                       raw_events: DataFrame, lexicon: DataFrame,
                       start: dt.date = DEFAULT_START,
                       end: dt.date = DEFAULT_END, rules: Rules | None = None,
-                      score_type: str = "float") -> dict[str, DataFrame]:
+                      score_type: str = "float",
+                      lexicon_rows: int | None = None
+                      ) -> dict[str, DataFrame]:
     cleaned = clean_comments(raw_comments)
     events = clean_events(raw_events)
     dates = drop_any_null(date_dim(spark, start, end, text_parts=True),
                           ["date", "month_year"])
     return {
-        "fact_comment": fact_comment(cleaned, lexicon, rules, score_type),
+        "fact_comment": fact_comment(cleaned, lexicon, rules, score_type,
+                                     lexicon_rows),
         "fact_assault": events.select(*FACT_ASSAULT_COLUMNS),
         "dim_user": dim_user(cleaned),
         "dim_post": dim_post(cleaned),
@@ -156,11 +160,14 @@ def build_star_schema_span(spark: SparkSession, raw_comments: DataFrame,
                            raw_events: DataFrame, lexicon: DataFrame,
                            span: DataFrame, span_col: str,
                            rules: Rules | None = None,
-                           score_type: str = "float") -> dict[str, DataFrame]:
+                           score_type: str = "float",
+                           lexicon_rows: int | None = None
+                           ) -> dict[str, DataFrame]:
     """As :func:`build_star_schema`, with the date dimension spanning the
     dates of ``span[span_col]`` instead of fixed bounds."""
     tables = build_star_schema(spark, raw_comments, raw_events, lexicon,
-                               rules=rules, score_type=score_type)
+                               rules=rules, score_type=score_type,
+                               lexicon_rows=lexicon_rows)
     dates = drop_any_null(date_dim_span(spark, span, span_col,
                                         text_parts=True),
                           ["date", "month_year"])

@@ -24,6 +24,29 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~1000 executors, ~100 TB input).
+# Passed through ``build_session(**SCALE_CONF)`` or the cluster's own conf;
+# nothing in the library depends on them for correctness.
+SCALE_CONF = {
+    # Start with many shuffle partitions and let AQE coalesce them to the
+    # advisory size from runtime statistics, so neither tiny nor huge
+    # stages are mis-sized by a single static number.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    # Split a join partition that is 5x the median and over 512 MB (one
+    # author or term holding a large share of rows).
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Runtime (AQE) broadcast of a join side measured small after a stage.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Scan splits: one task per 256 MB of Parquet.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Bucketed stages are read as already partitioned.
+    "spark.sql.sources.bucketing.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "chorus",
                   shuffle_partitions: int = 8, **conf) -> SparkSession:
     """A session for tests and local runs; clusters pass their own conf."""

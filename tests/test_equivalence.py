@@ -96,3 +96,25 @@ def test_doc_term_counts_sum_to_top_terms(spark):
         F.sum("tf").alias("tf"))
     assert {r.term: r.tf for r in dt.collect()} == tt
     assert len(tt) == 20
+
+
+def test_analysis_report(spark, tmp_dir):
+    from chorus.plans.report import ReportParams, analysis_report, \
+        write_extracts
+    p = ReportParams(cohort_keywords=["the"], cohort_groups=[["with", "this"],
+                                                              ["was"]],
+                     side_a=SIDE_A, side_b=SIDE_B, label_a=LABEL_A,
+                     label_b=LABEL_B, topic_a=TOPIC_A, topic_b=TOPIC_B,
+                     periods=[(2023, 10), (2024, 11)])
+    rep = analysis_report(_c(spark), p)
+    assert {r.stance: r["count"] for r in rep["stance_counts"].collect()} \
+        == {"Pro A": 47, "Pro B": 50}
+    lc = rep["label_counts"].collect()
+    assert sum(r["count"] for r in lc) == lc[0].total
+    t = rep["period_test"].first()
+    assert t.n_a > 0 and t.n_b > 0 and 0 <= t.p <= 1
+    assert rep["daily_stance"].count() == 757
+    assert rep["top_terms"].count() == 20
+    paths = write_extracts(rep, f"{tmp_dir}/extracts")
+    back = spark.read.option("header", True).csv(paths["daily_stance"])
+    assert back.count() == 757
