@@ -42,12 +42,26 @@ def spine_left(spine: DataFrame, key: str, right: DataFrame) -> DataFrame:
 
 
 def enrich_left(df: DataFrame, right: DataFrame, key: str,
-                fill: dict | None = None) -> DataFrame:
+                fill: dict | None = None, salt_buckets: int | None = None,
+                salt_col: str | None = None) -> DataFrame:
     """Left join ``right`` onto every row of ``df``; fill the misses.
 
     ``right`` must be unique on ``key``.  No broadcast is forced: its size
     grows with the key count, so AQE decides from runtime statistics and
     splits a skewed left partition if one key dominates.
+
+    ``salt_buckets`` salts the join explicitly (for clusters without AQE
+    skew handling): each left row gets ``hash(salt_col) mod n`` -- a
+    deterministic salt, identical on a retried task -- and every right row
+    is replicated once per salt, so a hot key is spread over ``n`` tasks.
     """
-    out = df.join(right, key, "left")
+    if salt_buckets:
+        n = int(salt_buckets)
+        salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(n))
+        left = df.withColumn("_salt", salt)
+        rep = right.withColumn("_salt", F.explode(F.sequence(
+            F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+        out = left.join(rep, [key, "_salt"], "left").drop("_salt")
+    else:
+        out = df.join(right, key, "left")
     return out.na.fill(fill) if fill else out

@@ -94,11 +94,15 @@ def enriched_comments(comments: DataFrame, stance: DataFrame, author: str,
                       text: str, created: str, kw_a, kw_b, topic_a: str,
                       topic_b: str, stance_col: str = "stance",
                       neutral: str = NEUTRAL,
-                      topic_case_sensitive: bool = True) -> DataFrame:
+                      topic_case_sensitive: bool = True,
+                      salt_buckets: int | None = None,
+                      salt_col: str | None = None) -> DataFrame:
     """Every comment with its author's stance ('Neutral' when none), an
-    exclusive topic tag and the comment date."""
+    exclusive topic tag and the comment date.  ``salt_buckets`` /
+    ``salt_col`` salt the author join (see :func:`enrich_left`)."""
     st = stance.select(author, F.col("stance").alias(stance_col))
-    out = enrich_left(comments, st, author, {stance_col: neutral})
+    out = enrich_left(comments, st, author, {stance_col: neutral},
+                      salt_buckets, salt_col)
     return out.withColumns({
         "topic": topic_tag(F.col(text), kw_a, kw_b, topic_a, topic_b,
                            neutral=neutral,

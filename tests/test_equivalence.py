@@ -118,3 +118,18 @@ def test_analysis_report(spark, tmp_dir):
     paths = write_extracts(rep, f"{tmp_dir}/extracts")
     back = spark.read.option("header", True).csv(paths["daily_stance"])
     assert back.count() == 757
+
+
+def test_salted_enrichment_equals_plain(spark):
+    from chorus.operators import joins
+    c = _c(spark)
+    s = st.author_stance_onepass(c, "author_name", "self_text", "score",
+                                 SIDE_A, SIDE_B).select("author_name",
+                                                        "stance")
+    plain = joins.enrich_left(c.select("comment_id", "author_name"), s,
+                              "author_name", {"stance": "Neutral"})
+    salted = joins.enrich_left(c.select("comment_id", "author_name"), s,
+                               "author_name", {"stance": "Neutral"},
+                               salt_buckets=7, salt_col="comment_id")
+    assert _rows(plain.select("comment_id", "author_name", "stance")) == \
+        _rows(salted.select("comment_id", "author_name", "stance"))
