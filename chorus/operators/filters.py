@@ -51,6 +51,13 @@ def period_condition(df: DataFrame, ts: str, year: int, month: int) -> Column:
     return (c >= F.lit(lo).cast(dtype)) & (c < F.lit(hi).cast(dtype))
 
 
+def range_condition(df: DataFrame, col: str, lo, hi) -> Column:
+    """``lo <= col < hi`` with bounds cast to the column's type (pushdown)."""
+    dtype = df.schema[col].dataType
+    c = F.col(col)
+    return (c >= F.lit(lo).cast(dtype)) & (c < F.lit(hi).cast(dtype))
+
+
 def period_filter(df: DataFrame, ts: str, year: int, month: int) -> DataFrame:
     return df.filter(period_condition(df, ts, year, month))
 

@@ -601,6 +601,35 @@ def cohort_period_means(spark, sf):
     return out.select("period", "cohort", *_r6("mean"), "n")
 
 
+WEEKS = {"2024-W1": ("2024-01-01", "2024-01-08"),
+         "2024-W2": ("2024-01-08", "2024-01-15")}
+
+
+@query("event_period_means", """
+WITH ec AS (SELECT event_id AS comment_id, user_id AS author, ts AS created_time,
+                   value AS score, event_type AS topic FROM events),
+cells AS (
+  SELECT p.period, k.cohort, e.score
+  FROM ec e
+  JOIN (VALUES ('2024-W1', TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-08'),
+               ('2024-W2', TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-15')) p(period, lo, hi)
+    ON e.created_time >= p.lo AND e.created_time < p.hi
+  JOIN (VALUES ('all'), ('click'), ('view')) k(cohort)
+    ON k.cohort = 'all' OR k.cohort = e.topic)
+SELECT p.period, k.cohort, round(avg(c.score), 6) AS mean, count(c.score) AS n
+FROM (VALUES ('2024-W1'), ('2024-W2')) p(period)
+CROSS JOIN (VALUES ('all'), ('click'), ('view')) k(cohort)
+LEFT JOIN cells c ON c.period = p.period AND c.cohort = k.cohort
+GROUP BY p.period, k.cohort""")
+def event_period_means(spark, sf):
+    ec = proxies.event_comments(_t(spark, sf, "events"))
+    periods = {name: filters.range_condition(ec, "created_time", lo, hi)
+               for name, (lo, hi) in WEEKS.items()}
+    cohorts = {t: F.col("topic") == t for t in ("click", "view")}
+    out = agg.cohort_period_means(ec, "score", cohorts, periods)
+    return out.select("period", "cohort", *_r6("mean"), "n")
+
+
 @query("numeric_summary", with_(COMMENTS) + """
 SELECT count(score) AS n, round(avg(score), 6) AS mean,
        round(stddev_samp(score), 6) AS std, min(score) AS min,
