@@ -72,6 +72,20 @@ def t_two_sided_p(t: float, df: float) -> float:
     return reg_incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's functions by value, so Python workers can run
+    the UDF even where the package is not importable (no --py-files)."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: fall back to import by name
+        pass
+
+
+_ship_by_value()
+
+
 @F.pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided_p(a, b) if pd.notna(a) and pd.notna(b)
