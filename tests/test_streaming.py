@@ -1,6 +1,5 @@
 """Incremental load: each run processes only new files, once."""
 
-import shutil
 
 from chorus.plans.queries import LEXICON
 from chorus.sources import proxies

@@ -18,7 +18,7 @@ from chorus.plans.star import clean_events
 def test_concat_ws_skips_null_month(spark):
     # trap 3: unknown month name -> month_year is the year alone
     df = spark.createDataFrame(
-        [("Israel", "Janvier", 2016, 1, 0), ("Israel", "March", 2016, 2, 1)],
+        [("Northland", "Janvier", 2016, 1, 0), ("Northland", "March", 2016, 2, 1)],
         "Country string, Month string, Year int, Events int, Fatalities int")
     out = {r.Month: r.month_year for r in clean_events(df).collect()}
     assert out == {"Janvier": "2016", "March": "03-2016"}
@@ -145,12 +145,12 @@ def test_case_sensitive_regex_mode(spark):
 
 
 def test_topic_tag_exclusive_and_case_sensitive(spark):
-    df = spark.createDataFrame([("Israel said",), ("Palestine and Israel",),
-                                ("palestine",), ("Palestine",)], "t string")
+    df = spark.createDataFrame([("Northside said",), ("Southside and Northside",),
+                                ("southside",), ("Southside",)], "t string")
     got = [r.x for r in df.select(topic_tag(
-        F.col("t"), ["Israel"], ["Palestine"], "Israel", "Palestine")
+        F.col("t"), ["Northside"], ["Southside"], "Northside", "Southside")
         .alias("x")).collect()]
-    assert got == ["Israel", "Neutral", "Neutral", "Palestine"]
+    assert got == ["Northside", "Neutral", "Neutral", "Southside"]
 
 
 def test_tokens(spark):
