@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # A token is a run of letters, digits or underscore, at least two long,
 # taken from the lower-cased text (the classic vectoriser token rule).
 WORD_CHARS = r"\p{L}\p{N}_"
-TOKEN_SPLIT = rf"[^{WORD_CHARS}]+"
 MIN_TOKEN_LEN = 2
+TOKEN_RE = rf"[{WORD_CHARS}]{{{MIN_TOKEN_LEN},}}"
 
 MODES = ("substring", "word", "regex")
 
@@ -68,9 +68,9 @@ def mentions(text, keywords: Iterable[str] | str, mode: str = "substring",
 
 
 def tokens(text) -> Column:
-    """Array of lower-cased tokens (runs of word characters, length >= 2)."""
-    parts = F.split(F.lower(_c(text)), TOKEN_SPLIT)
-    return F.filter(parts, lambda t: F.length(t) >= MIN_TOKEN_LEN)
+    """Array of lower-cased tokens (maximal runs of word characters, length
+    >= 2), extracted in one regex pass."""
+    return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_RE), 0)
 
 
 def nan_to_null(c) -> Column:

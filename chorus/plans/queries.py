@@ -508,7 +508,7 @@ def dim_post(spark, sf):
 
 @query("extract_daily_stance", with_(COMMENTS, SIDES, STANCE, FEATURES) + """
 SELECT created_date, stance, count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL
+FROM feats WHERE created_date IS NOT NULL AND self_text IS NOT NULL
 GROUP BY created_date, stance""")
 def extract_daily_stance(spark, sf):
     return _extract(spark, sf, "daily_stance")
@@ -516,7 +516,7 @@ def extract_daily_stance(spark, sf):
 
 @query("extract_topic_label", with_(COMMENTS, SIDES, STANCE, FEATURES) + """
 SELECT stance, topic, sentiment_label, created_date, count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL
+FROM feats WHERE created_date IS NOT NULL AND self_text IS NOT NULL
 GROUP BY stance, topic, sentiment_label, created_date""")
 def extract_topic_label(spark, sf):
     return _extract(spark, sf, "topic_label")
@@ -525,7 +525,7 @@ def extract_topic_label(spark, sf):
 @query("extract_topic_score", with_(COMMENTS, SIDES, STANCE, FEATURES) + """
 SELECT stance, topic, sentiment_label, created_date, sentiment_score,
        count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL AND sentiment_score IS NOT NULL
+FROM feats WHERE created_date IS NOT NULL AND self_text IS NOT NULL AND sentiment_score IS NOT NULL
 GROUP BY stance, topic, sentiment_label, created_date, sentiment_score""")
 def extract_topic_score(spark, sf):
     return _extract(spark, sf, "topic_score")
@@ -539,7 +539,7 @@ def _extract(spark, sf, name):
 
 @query("csv_extract", with_(COMMENTS, SIDES, STANCE, FEATURES) + """
 SELECT created_date, stance, count(comment_id) AS n_comments
-FROM feats WHERE created_date IS NOT NULL
+FROM feats WHERE created_date IS NOT NULL AND self_text IS NOT NULL
 GROUP BY created_date, stance""")
 def csv_extract(spark, sf):
     ex = _extract(spark, sf, "daily_stance")

@@ -69,15 +69,21 @@ def extract(comments: DataFrame, name: str, author: str, id_col: str,
             text: str, score: str, created: str, kw_a, kw_b,
             label_a: str, label_b: str, topic_a: str | None = None,
             topic_b: str | None = None, stance: DataFrame | None = None,
-            mode: str = "substring", case_sensitive: bool = False
-            ) -> DataFrame:
-    """One of the three dashboard extracts (see ``EXTRACT_KEYS``)."""
+            mode: str = "substring", case_sensitive: bool = False,
+            drop_null_text: bool = True) -> DataFrame:
+    """One of the three dashboard extracts (see ``EXTRACT_KEYS``).
+
+    Comments without text are left out first (``drop_null_text``), as the
+    analysis does before it scores and groups.
+    """
+    if drop_null_text:
+        comments = comments.filter(F.col(text).isNotNull())
     if stance is None:
         stance = author_stance_onepass(comments, author, text, score, kw_a,
                                        kw_b, label_a, label_b, mode,
                                        case_sensitive)
     feats = comment_features(comments, text, score, created, kw_a, kw_b,
-                             topic_a or kw_a, topic_b or kw_b)
+                             topic_a or "A", topic_b or "B")
     return stance_counts_by(feats, stance, author, id_col, EXTRACT_KEYS[name])
 
 

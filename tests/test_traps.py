@@ -227,3 +227,16 @@ def test_null_text_scores_zero(spark):
     wide = lexicon_score(df, "id", "t", lex)
     assert wide.columns == ["id", "t", "sentiment_score"]
     assert {r.id: r.sentiment_score for r in wide.collect()} == s
+
+
+def test_extract_leaves_out_null_text(spark):
+    from chorus.plans import report
+    import datetime as dt
+    d = dt.date(2024, 1, 1)
+    c = _comments(spark, [(1, "u1", "alpha", 0.5, d), (2, "u1", None, 0.1, d),
+                          (3, "u2", "beta", -0.2, d)])
+    out = report.extract(c, "daily_stance", "author_name", "comment_id",
+                         "self_text", "score", "created_date", ["alpha"],
+                         ["beta"], "Pro A", "Pro B")
+    got = sorted((r.stance, r.n_comments) for r in out.collect())
+    assert got == [("Pro A", 1), ("Pro B", 1)]
