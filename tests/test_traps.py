@@ -239,4 +239,6 @@ def test_extract_leaves_out_null_text(spark):
                          "self_text", "score", "created_date", ["alpha"],
                          ["beta"], "Pro A", "Pro B")
     got = sorted((r.stance, r.n_comments) for r in out.collect())
-    assert got == [("Pro A", 1), ("Pro B", 1)]
+    # u2's only side is B at -0.2 < 0 (missing A counts as 0): Pro A.
+    # Comment 2 has no text and is not counted (3 otherwise).
+    assert got == [("Pro A", 2)]
