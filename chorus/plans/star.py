@@ -21,7 +21,8 @@ from chorus.operators.calendar import (DEFAULT_END, DEFAULT_START, date_dim,
 from chorus.operators.clean import (conform, drop_any_null, fill_nulls,
                                     rename_columns)
 from chorus.operators.lexicon import Rules, lexicon_score
-from chorus.sources.files import read_csv, write_bucketed, write_stage
+from chorus.sources.files import (read_csv, read_parquet, spread,
+                                  write_bucketed, write_stage)
 from chorus.sources.jdbc import write_tables
 from chorus.sources.sampling import hash_sample, seeded_sample
 
@@ -72,6 +73,9 @@ def stage_raw(spark: SparkSession, comments_csv: str, comments_schema,
     if fraction is not None:
         comments = (hash_sample(comments, sample_key, fraction) if sample_key
                     else seeded_sample(comments, fraction, seed))
+    # A multi-line CSV file is read by one task; spread what follows.
+    comments = (comments.repartition(buckets, bucket_key) if buckets
+                else spread(comments, bucket_key))
     events = read_csv(spark, events_csv, events_schema)
     paths = {"comments": f"{out_dir}/data_comments_raw",
              "events": f"{out_dir}/data_events_raw"}
@@ -187,6 +191,31 @@ def write_star(tables: dict[str, DataFrame], out_dir: str,
     return paths
 
 
+def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
+              lexicon: DataFrame, out_dir: str, url: str | None = None,
+              properties: dict | None = None, gate: bool = True,
+              mode: str = "overwrite", load_mode: str = "append",
+              rules: Rules | None = None) -> dict[str, str]:
+    """One scheduled run: staged Parquet -> star schema -> quality gate
+    (fail fast, before anything is written) -> staged star tables ->
+    optional JDBC load of the written tables, dimensions first.
+
+    The gate's suites are aggregations over the lazy tables; the load
+    reads back the written Parquet, so scoring is not recomputed.
+    """
+    from chorus.plans.gate import quality_gate
+    tables = build_star_schema(spark, read_parquet(spark, comments_path),
+                               read_parquet(spark, events_path), lexicon,
+                               rules=rules)
+    if gate:
+        quality_gate(tables, fail_fast=True)
+    paths = write_star(tables, out_dir, mode)
+    if url:
+        written = {n: read_parquet(spark, p) for n, p in paths.items()}
+        serve(written, url, properties or {}, load_mode)
+    return paths
+
+
 # ---------------------------------------------------------------- P3
 def conform_for_load(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {n: conform(df, LOAD_SCHEMA.get(n, {})) for n, df in tables.items()}
