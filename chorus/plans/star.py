@@ -195,7 +195,8 @@ def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
               lexicon: DataFrame, out_dir: str, url: str | None = None,
               properties: dict | None = None, gate: bool = True,
               mode: str = "overwrite", load_mode: str = "append",
-              rules: Rules | None = None) -> dict[str, str]:
+              rules: Rules | None = None,
+              partition_facts_by_month: bool = True) -> dict[str, str]:
     """One scheduled run: staged Parquet -> star schema -> quality gate
     (fail fast, before anything is written) -> staged star tables ->
     optional JDBC load of the written tables, dimensions first.
@@ -209,9 +210,10 @@ def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
                                rules=rules)
     if gate:
         quality_gate(tables, fail_fast=True)
-    paths = write_star(tables, out_dir, mode)
+    paths = write_star(tables, out_dir, mode, partition_facts_by_month)
     if url:
-        written = {n: read_parquet(spark, p) for n, p in paths.items()}
+        written = {n: read_parquet(spark, p).select(*tables[n].columns)
+                   for n, p in paths.items()}
         serve(written, url, properties or {}, load_mode)
     return paths
 

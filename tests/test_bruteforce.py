@@ -162,3 +162,32 @@ def test_tokens_and_word_mentions_on_random_text(spark):
         assert r.tok == TOKEN.findall(t.lower()), t
         assert r.s == ("un" in t.lower()), t
         assert r.w == bool(word.search(t)), t
+
+
+def test_hot_author_third_of_rows(spark):
+    """One author holds a third of all comments: results stay exact."""
+    from chorus.plans import report
+    df = _comments_pd(SF01)
+    hot = df.comment_id % 3 == 0
+    df.loc[hot, "author_name"] = "hot"
+    nb = _notebook_stance(df, SIDE_A[0], SIDE_B[0])
+    want = {r.author_name: r.Pro for r in nb.itertuples()}
+    base = pd.merge(df, nb, on="author_name", how="left")
+    base["Pro"] = base["Pro"].fillna("Neutral")
+    want_ex = sorted(
+        (r.created_date.date(), r.Pro, r.comment_id) for r in
+        base.groupby(["created_date", "Pro"]).agg({"comment_id": "count"})
+        .reset_index().itertuples())
+
+    from pyspark.sql import functions as F
+    c = proxies.comments(proxies.table(spark, SF01, "documents")).withColumn(
+        "author_name", F.when(F.col("comment_id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.col("author_name")))
+    got = {r.author_name: r.stance for r in st.author_stance_onepass(
+        c, "author_name", "self_text", "score", SIDE_A, SIDE_B).collect()}
+    assert got == want and "hot" in got
+    ex = report.extract(c, "daily_stance", "author_name", "comment_id",
+                        "self_text", "score", "created_date", SIDE_A, SIDE_B,
+                        "Pro A", "Pro B")
+    assert sorted((r.created_date, r.stance, r.n_comments)
+                  for r in ex.collect()) == want_ex

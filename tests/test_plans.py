@@ -73,3 +73,21 @@ def test_bucketed_stage_scores_without_shuffle(spark, tmp_dir):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" in p
     assert "Exchange hashpartitioning" not in p     # co-located by buckets
     assert fact.count() == raw.filter("author_name IS NOT NULL").count()
+
+
+def test_month_partitioned_fact_prunes(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from chorus.plans import star
+    from chorus.sources import proxies
+    from chorus.plans.queries import LEXICON
+    raw = proxies.raw_comments(proxies.table(spark, SF01, "documents"))
+    lex = spark.createDataFrame(LEXICON, "term string, valence double")
+    fact = star.fact_comment(star.clean_comments(raw), lex)
+    paths = star.write_star({"fact_comment": fact}, tmp_dir,
+                            partition_facts_by_month=True)
+    back = spark.read.parquet(paths["fact_comment"]) \
+        .filter(F.col("month_year") == "10-2023")
+    p = plan(back)
+    assert "PartitionFilters: [isnotnull(month_year" in p
+    assert "(month_year" in p and "= 10-2023)" in p
+    assert back.count() == fact.filter(F.col("month_year") == "10-2023").count()
