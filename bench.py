@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "extract_daily_stance", "extract_topic_label", "extract_topic_score",
     "author_stance", "author_stance_onepass", "lexicon_score",
-    "lexicon_score_negated", "top_terms", "doc_term_counts", "dim_post",
+    "lexicon_score_negated", "lexicon_score_rules", "top_terms",
+    "doc_term_counts", "dim_post",
     "dim_user", "dq_suite", "welch_ttest", "fact_comment", "star_schema",
 ]
 

@@ -32,6 +32,9 @@ ALPHA = 15.0                      # normalisation constant
 B_INCR, B_DECR = 0.293, -0.293    # booster increments
 N_SCALAR = -0.74                  # negation multiplier
 DISTANCE_DECAY = (1.0, 0.95, 0.9)  # weight of tokens 1, 2, 3 positions back
+CONTRAST_BEFORE, CONTRAST_AFTER = 0.5, 1.5   # around the first contrast word
+EXCLAIM_STEP, EXCLAIM_MAX = 0.292, 4         # per '!', at most 4 counted
+QUESTION_STEP, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96  # 2-3 '?' / more
 LEXICON_MAX_ROWS = 2_000_000
 
 
@@ -42,6 +45,22 @@ class Rules:
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
     n_scalar: float = N_SCALAR
     decay: Sequence[float] = DISTANCE_DECAY
+    contrast: str | None = None   # e.g. "but": earlier hits x0.5, later x1.5
+    punctuation: bool = False     # '!' and '?' push the sum away from zero
+
+
+def _count_char(text, ch: str):
+    return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
+
+
+def punctuation_amplifier(text):
+    """Emphasis of a text from its '!' and '?' marks (0 for null text)."""
+    ex = F.least(_count_char(text, "!"), F.lit(EXCLAIM_MAX)) * EXCLAIM_STEP
+    q = _count_char(text, "?")
+    qm = (F.when(q <= 1, F.lit(0.0))
+          .when(q <= QUESTION_MAX, q * QUESTION_STEP)
+          .otherwise(F.lit(QUESTION_CAP)))
+    return F.coalesce(ex + qm, F.lit(0.0))
 
 
 def _normalise(s, alpha: float, places: int):
@@ -68,15 +87,30 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                 .join(lex, "term", how))
         return hits.groupBy(id_col).agg(F.sum("valence").alias("_s"))
     win = len(rules.decay)
-    # Each token with the tokens 1..win positions before it (null at the
-    # start), built by one higher-order pass over the materialised array.
-    arr = df.select(id_col, tokens(F.col(text)).alias("_toks"))
+    # Each token with its 1-based position and the tokens 1..win before it
+    # (null at the start), built by one higher-order pass over the
+    # materialised array; per-text values ride along as plain columns.
+    extra, carried = [], []
+    if rules.contrast:
+        extra.append(F.array_position(F.col("_toks"), rules.contrast)
+                     .alias("_ci"))
+        carried.append("_ci")
+    if rules.punctuation:
+        extra.append(punctuation_amplifier(F.col(text)).alias("_amp"))
+        carried.append("_amp")
+    arr = df.select(id_col, tokens(F.col(text)).alias("_toks"),
+                    *([F.col(text)] if rules.punctuation else []))
+    # Per-text values are computed once per text, in a projection below
+    # the explode (inside the generator's select they would be evaluated
+    # once per token).
+    arr = arr.select(id_col, "_toks", *extra)
     toks = F.col("_toks")
     items = F.transform(toks, lambda t, i: F.struct(
-        t.alias("term"),
+        t.alias("term"), (i + 1).alias("pos"),
         *[F.get(toks, i - k).alias(f"p{k}") for k in range(1, win + 1)]))
-    rows = (arr.select(id_col, explode(items).alias("it"))
-            .select(id_col, "it.*").join(lex, "term", how))
+    rows = (arr.select(id_col, *carried, explode(items).alias("it"))
+            .select(id_col, *carried, "it.*")
+            .join(lex, "term", how))
     v = F.col("valence")
     sign = F.signum(v)
     boost = F.lit(0.0)
@@ -94,7 +128,18 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
             n_neg = n_neg + F.coalesce(p.isin(list(rules.negators)),
                                        F.lit(False)).cast("int")
     adj = (v + sign * boost) * F.pow(F.lit(rules.n_scalar), n_neg)
-    return rows.groupBy(id_col).agg(F.sum(adj).alias("_s"))
+    if rules.contrast:
+        ci, pos = F.col("_ci"), F.col("pos")
+        adj = adj * (F.when((ci > 0) & (pos < ci), F.lit(CONTRAST_BEFORE))
+                     .when((ci > 0) & (pos > ci), F.lit(CONTRAST_AFTER))
+                     .otherwise(F.lit(1.0)))
+    if not rules.punctuation:
+        return rows.groupBy(id_col).agg(F.sum(adj).alias("_s"))
+    sums = rows.groupBy(id_col).agg(F.sum(adj).alias("_s0"),
+                                    F.max("_amp").alias("_amp"))
+    s0, amp = F.col("_s0"), F.col("_amp")
+    return sums.select(id_col, F.when(s0 > 0, s0 + amp)
+                       .when(s0 < 0, s0 - amp).otherwise(s0).alias("_s"))
 
 
 def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,

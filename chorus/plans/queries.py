@@ -786,6 +786,52 @@ def lexicon_score_negated(spark, sf):
                           rules=Rules(negators=NEGATORS, boosters=BOOSTERS))
 
 
+CONTRAST = "is"
+
+
+@query("lexicon_score_rules", "WITH " + LEX_SQL + """,
+arrs AS (SELECT doc_id, regexp_extract_all(lower(text), '""" + TOKEN_RE + """') AS a
+         FROM documents),
+items AS (
+  SELECT doc_id, a[i] AS term, i AS pos,
+         coalesce(list_position(a, '""" + CONTRAST + """'), 0) AS ci,
+         CASE WHEN i > 1 THEN a[i - 1] END AS p1,
+         CASE WHEN i > 2 THEN a[i - 2] END AS p2,
+         CASE WHEN i > 3 THEN a[i - 3] END AS p3
+  FROM (SELECT doc_id, a, generate_subscripts(a, 1) AS i FROM arrs)),
+hits AS (
+  SELECT doc_id,
+         (valence + sign(valence) * (""" + " + ".join(
+    f"({_boost_sql(p)}) * {w!r}" for p, w in
+    (("p1", 1.0), ("p2", 0.95), ("p3", 0.9))) + """))
+         * pow(-0.74, """ + " + ".join(
+    f"CAST(coalesce({p} IN {NEG_SQL}, false) AS INTEGER)"
+    for p in ("p1", "p2", "p3")) + """)
+         * CASE WHEN ci > 0 AND pos < ci THEN 0.5
+                WHEN ci > 0 AND pos > ci THEN 1.5 ELSE 1.0 END AS v
+  FROM items JOIN lex USING (term)),
+sums AS (SELECT doc_id, sum(v) AS s0 FROM hits GROUP BY doc_id),
+marks AS (
+  SELECT doc_id, length(text) - length(replace(text, '!', '')) AS e,
+         length(text) - length(replace(text, '?', '')) AS q
+  FROM documents),
+amp AS (
+  SELECT doc_id, least(e, 4) * 0.292
+         + CASE WHEN q <= 1 THEN 0.0 WHEN q <= 3 THEN q * 0.18 ELSE 0.96 END AS amp
+  FROM marks),
+fin AS (
+  SELECT doc_id, CASE WHEN s0 > 0 THEN s0 + amp WHEN s0 < 0 THEN s0 - amp
+                      ELSE s0 END AS s
+  FROM sums JOIN amp USING (doc_id))
+SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
+FROM documents d LEFT JOIN fin USING (doc_id)""")
+def lexicon_score_rules(spark, sf):
+    return lexicon_scores(_docs(spark, sf), "doc_id", "text",
+                          _lexicon(spark), lexicon_rows=len(LEXICON),
+                          rules=Rules(negators=NEGATORS, boosters=BOOSTERS,
+                                      contrast=CONTRAST, punctuation=True))
+
+
 # ============================================================= stance
 @query("author_stance_onepass", with_(COMMENTS, SIDES, STANCE) + """
 SELECT author_name, round(score_a, 6) AS score_a, round(score_b, 6) AS score_b, stance

@@ -93,8 +93,10 @@ def test_extract_matches_notebook_steps(spark):
     assert got == want
 
 
-def _score_py(text, lex, negators=(), boosters=None):
+def _score_py(text, lex, negators=(), boosters=None, contrast=None,
+              punctuation=False):
     toks = TOKEN.findall(text.lower()) if text else []
+    ci = toks.index(contrast) if contrast in toks else None
     s = 0.0
     hit = False
     for i, t in enumerate(toks):
@@ -110,7 +112,13 @@ def _score_py(text, lex, negators=(), boosters=None):
             p = toks[i - k]
             boost += (boosters or {}).get(p, 0.0) * DISTANCE_DECAY[k - 1]
             neg += p in negators
-        s += (v + sign * boost) * N_SCALAR ** neg
+        f = 1.0 if ci is None or i == ci else (0.5 if i < ci else 1.5)
+        s += (v + sign * boost) * N_SCALAR ** neg * f
+    if punctuation and text:
+        q = text.count("?")
+        amp = min(text.count("!"), 4) * 0.292 + (
+            0.0 if q <= 1 else q * 0.18 if q <= 3 else 0.96)
+        s = s + amp if s > 0 else s - amp if s < 0 else s
     return round(s / math.sqrt(s * s + 15.0), 4) if hit else 0.0
 
 
@@ -133,6 +141,32 @@ def test_lexicon_scores_match_python(spark, with_rules):
     assert B_INCR == 0.293
 
 
+def test_lexicon_full_rules_match_python(spark):
+    lex = dict(LEXICON)
+    d = _docs_pd(SF01)
+    want = {i: _score_py(t, lex, NEGATORS, BOOSTERS, "is", True)
+            for i, t in zip(d.doc_id, d.text)}
+    got = {r.doc_id: r.sentiment_score for r in
+           QUERIES["lexicon_score_rules"](spark, SF01).collect()}
+    bad = [k for k in want if abs(got[k] - want[k]) > 1e-4]
+    assert not bad, [(k, got[k], want[k]) for k in bad[:5]]
+
+
+def test_question_marks_amplify(spark):
+    texts = [(1, "the good?"), (2, "the good??"), (3, "the good????"),
+             (4, "the good!!!!!!"), (5, "bad the"), (6, "no hit!!")]
+    df = spark.createDataFrame(texts, "id long, t string")
+    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.0)],
+                                "term string, valence double")
+    got = {r.id: r.sentiment_score for r in lexicon_scores(
+        df, "id", "t", lex, rules=Rules(contrast="the",
+                                        punctuation=True)).collect()}
+    want = {i: _score_py(t, {"good": 2.0, "bad": -2.0}, (), None, "the",
+                         True) for i, t in texts}
+    assert got == want
+    assert got[6] == 0.0 and got[2] > got[1] and got[3] > got[2]
+
+
 def test_top_terms_match_counter(spark):
     d = _docs_pd(SF01)
     stop = set(english_stop_words())

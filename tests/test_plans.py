@@ -91,3 +91,20 @@ def test_month_partitioned_fact_prunes(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(month_year" in p
     assert "(month_year" in p and "= 10-2023)" in p
     assert back.count() == fact.filter(F.col("month_year") == "10-2023").count()
+
+
+def test_explode_never_carries_text(spark):
+    """Carrying the text (or per-text expressions) through a token explode
+    costs O(tokens x text); every Generate must see only narrow columns."""
+    for q in ("lexicon_score", "lexicon_score_negated", "lexicon_score_rules",
+              "top_terms", "doc_term_counts", "fact_comment"):
+        p = plan(QUERIES[q](spark, SF01))
+        # Arguments: <generator>, [carried child columns], outer, [output]
+        # (the carried list is left out when nothing is carried)
+        blocks = re.findall(r"^\(\d+\) Generate\nInput .*\nArguments: .*?"
+                            r"(?:, \[([^\[\]]*)\])?, (?:true|false), "
+                            r"\[[^\[\]]*\]$", p, re.M)
+        assert blocks, q
+        for cols in blocks:
+            names = [c.strip().split("#")[0] for c in cols.split(",")]
+            assert "text" not in names and "self_text" not in names, (q, cols)
