@@ -7,13 +7,16 @@ lexicon hit (or without text) score 0.0.
 
 Plan shape: scan -> explode tokens -> broadcast hash join (the lexicon is
 broadcast only after its row count is proven bounded) -> partial sum per
-text -> one shuffle of (id, partial sum) rows -> left join back on id.
-No Python runs per row.
+text -> one shuffle of (id, partial sum) rows [-> join back on id for the
+wide form; none on a table bucketed by id].  No Python runs per row.
 
 The optional rules of the published rule-based method (Hutto & Gilbert,
-ICWSM 2014) are applied on a window of the three preceding tokens:
-booster words shift the valence away from zero with a distance decay, and
-each negator in the window multiplies it by a negative scalar.
+ICWSM 2014): on a window of the three preceding tokens, booster words shift
+a hit's valence away from zero with a distance decay and each negator
+multiplies it by a negative scalar; hits before the first contrast word
+("but") count half and hits after it one and a half times; and '!' / '?'
+marks push the text's sum away from zero.  Rule lookups run only on
+lexicon hits (after the join), never on every token.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ LEXICON_MAX_ROWS = 2_000_000
 
 @dataclass(frozen=True)
 class Rules:
-    """Negation and booster rules (empty by default)."""
+    """Optional scoring rules; the defaults apply none of them."""
     negators: Sequence[str] = ()
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
     n_scalar: float = N_SCALAR
