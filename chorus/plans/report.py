@@ -89,12 +89,16 @@ def extract(comments: DataFrame, name: str, author: str, id_col: str,
 
 def all_extracts(comments: DataFrame, author: str, id_col: str, text: str,
                  score: str, created: str, kw_a, kw_b, label_a: str,
-                 label_b: str, topic_a: str, topic_b: str
+                 label_b: str, topic_a: str, topic_b: str,
+                 stance: DataFrame | None = None
                  ) -> dict[str, DataFrame]:
     """All three extracts from one finest grain: the 5-key counts are
-    checkpointed once (lineage cut in the shared folder) and rolled up."""
-    stance = author_stance_onepass(comments, author, text, score, kw_a, kw_b,
-                                   label_a, label_b)
+    checkpointed once (one action; lineage cut in the shared folder) and
+    the coarser extracts are rolled up from them."""
+    comments = comments.filter(F.col(text).isNotNull())
+    if stance is None:
+        stance = author_stance_onepass(comments, author, text, score, kw_a,
+                                       kw_b, label_a, label_b)
     feats = comment_features(comments, text, score, created, kw_a, kw_b,
                              topic_a, topic_b)
     finest = stance_counts_by(feats, stance, author, id_col,
@@ -131,14 +135,15 @@ class ReportParams:
 
 def analysis_report(comments: DataFrame, p: ReportParams
                     ) -> dict[str, DataFrame]:
-    """The analysis notebook as lazy Spark outputs (no action here).
+    """The analysis notebook as Spark outputs.
 
     label_counts / group_label_counts: label distribution of a keyword
     cohort and of a keyword-group cohort, with totals; period_test: Welch
     test between the two periods; period_means: side x period means;
     stance / stance_counts: author stance; top_terms: vocabulary;
-    daily_stance, topic_label, topic_score: the dashboard extracts.
-    Null texts are dropped first, as the notebook does.
+    daily_stance, topic_label, topic_score: the dashboard extracts, from
+    one checkpointed finest grain (the only action here).  Null texts are
+    dropped first, as the notebook does.
     """
     from chorus.operators import aggregates as agg
     from chorus.operators import filters, stats, terms
@@ -170,10 +175,9 @@ def analysis_report(comments: DataFrame, p: ReportParams
     out["stance"] = stance
     out["stance_counts"] = stance_counts(stance)
     out["top_terms"] = terms.top_terms(c, p.text, p.top_k, p.stop_words)
-    feats = comment_features(c, p.text, p.score, p.created, p.side_a,
-                             p.side_b, p.topic_a, p.topic_b)
-    for name, keys in EXTRACT_KEYS.items():
-        out[name] = stance_counts_by(feats, stance, p.author, p.id_col, keys)
+    out.update(all_extracts(c, p.author, p.id_col, p.text, p.score,
+                            p.created, p.side_a, p.side_b, p.label_a,
+                            p.label_b, p.topic_a, p.topic_b, stance=stance))
     return out
 
 
