@@ -56,35 +56,39 @@ def value_counts_total(df: DataFrame, col: str, count_name: str = "count",
     return counts.withColumn(total_name, total)
 
 
-def conditional_means(df: DataFrame, value: str,
-                      cells: Mapping[str, Column]) -> DataFrame:
-    """Mean and count of ``value`` for each named row condition, all in one
-    scan: ``avg(when(cond, value))``.  Returns (cell, mean, n)."""
+def _labelled_means(df: DataFrame, value: str, cells) -> DataFrame:
+    """One aggregation of ``avg/count(when(cond, value))`` per cell, then
+    one output row per cell carrying its label columns, mean and n."""
     aggs = []
-    for i, (name, cond) in enumerate(cells.items()):
+    for i, (_, cond) in enumerate(cells):
         v = F.when(cond, F.col(value))
         aggs += [F.avg(v).alias(f"m{i}"), F.count(v).alias(f"n{i}")]
     wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(name).alias("cell"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"n{i}").alias("n"))
-            for i, name in enumerate(cells)]
+    rows = [F.struct(*[F.lit(v).alias(k) for k, v in labels.items()],
+                     F.col(f"m{i}").alias("mean"), F.col(f"n{i}").alias("n"))
+            for i, (labels, _) in enumerate(cells)]
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def conditional_means(df: DataFrame, value: str,
+                      cells: Mapping[str, Column]) -> DataFrame:
+    """Mean and count of ``value`` for each named row condition, all in one
+    scan: ``avg(when(cond, value))``.  Returns (cell, mean, n)."""
+    return _labelled_means(df, value, [({"cell": name}, cond)
+                                       for name, cond in cells.items()])
+
+
 def cohort_period_means(df: DataFrame, value: str,
                         cohorts: Mapping[str, Column],
                         periods: Mapping[str, Column]) -> DataFrame:
     """(period, cohort, mean, n): every cohort x period cell plus each
     period overall (cohort 'all'), from one aggregation."""
-    cells, names = {}, []
+    cells = []
     for p, pc in periods.items():
-        cells[f"{p}\u0000all"] = pc
-        for c, cc in cohorts.items():
-            cells[f"{p}\u0000{c}"] = pc & cc
-    out = conditional_means(df, value, cells)
-    parts = F.split(F.col("cell"), "\u0000")
-    return out.select(parts[0].alias("period"), parts[1].alias("cohort"),
-                      "mean", "n")
+        cells.append(({"period": p, "cohort": "all"}, pc))
+        cells += [({"period": p, "cohort": c}, pc & cc)
+                  for c, cc in cohorts.items()]
+    return _labelled_means(df, value, cells)
 
 
 def numeric_summary(df: DataFrame, col: str, exact: bool = True,
