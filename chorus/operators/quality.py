@@ -120,10 +120,21 @@ def _value_has_type(c: Column, dtype: T.DataType, family: str) -> Column:
     return F.lit(True)  # str
 
 
+def _dtype(df: DataFrame, name: str) -> T.DataType:
+    """Column type, resolved case-insensitively like Spark's default."""
+    for f in df.schema.fields:
+        if f.name == name:
+            return f.dataType
+    for f in df.schema.fields:
+        if f.name.lower() == name.lower():
+            return f.dataType
+    raise ValueError(f"no column {name!r}")
+
+
 def unexpected(df: DataFrame, e: Expectation) -> Column:
     """Condition under which a non-null value violates ``e``."""
     c = F.col(e.column)
-    dtype = df.schema[e.column].dataType
+    dtype = _dtype(df, e.column)
     if e.kind == "not_null":
         return F.lit(False)
     if e.kind == "of_type":

@@ -47,3 +47,10 @@ def test_gate_fails_fast(spark):
 
 def test_gate_has_thirty_checks():
     assert sum(len(e) for _, e in gate.SUITES.values()) == 30
+
+
+def test_column_names_resolve_case_insensitively(spark):
+    df = spark.createDataFrame([(1,), (-2,)], "events int")
+    r = q.run_suite(df, "s", [q.between("Events", 0, None),
+                              q.of_type("EVENTS", "int")]).collect()
+    assert [x.unexpected_count for x in r] == [1, 0]
