@@ -9,7 +9,8 @@ from chorus.operators.quality import (assert_passed, between,
                                       datetime_format, in_set, not_null,
                                       of_type, run_suites, type_in_list)
 
-# The datetime text format the suites expect.
+# The datetime text format the suites expect, and the five
+# suites (name -> table, checks) with their thirty checks in their order.
 DATETIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 SUITES = {
