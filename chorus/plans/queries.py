@@ -1155,13 +1155,18 @@ FROM fact"""
 
 @query("fact_comment", with_(RAW_COMMENTS, LEX_SQL, FACT_SQL) + FACT_SELECT)
 def fact_comment(spark, sf):
-    return _star(spark, sf)["fact_comment"]
+    raw = proxies.raw_comments(_docs(spark, sf))
+    return star.fact_comment(star.clean_comments(raw), _lexicon(spark),
+                             lexicon_rows=len(LEXICON))
 
 
 @query("fact_assault", with_(MONTHLY_EVENTS, EVENTS_CLEAN) + """
 SELECT country, month_year, events, fatalities FROM events_clean""")
 def fact_assault(spark, sf):
-    return _star(spark, sf)["fact_assault"]
+    ev = proxies.monthly_events(_t(spark, sf, "orders"),
+                                _t(spark, sf, "customer"),
+                                _t(spark, sf, "nation"))
+    return star.clean_events(ev).select(*star.FACT_ASSAULT_COLUMNS)
 
 
 @query("star_schema", with_(RAW_COMMENTS, MONTHLY_EVENTS, EVENTS_CLEAN,

@@ -23,8 +23,18 @@ AUTHORS_PER_SOURCE = 7           # author = source || '-' || doc_id % 7
 N_POSTS = 53                     # post_id = 'p' || doc_id % 53
 
 
+_RESOLVED: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, resolved once per session (as a catalog table would
+    be): later calls reuse the DataFrame instead of re-reading footers."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _RESOLVED.get(key)
+    if df is None:
+        df = _RESOLVED[key] = spark.read.parquet(path)
+    return df
 
 
 def comments(docs: DataFrame) -> DataFrame:
