@@ -63,9 +63,16 @@ def _t(spark, sf, name):
     return proxies.table(spark, sf, name)
 
 
+_SPREAD: dict = {}
+
+
 def _docs(spark, sf):
-    """The documents table, spread over the cores when under-split."""
-    return files.spread(_t(spark, sf, "documents"), "doc_id")
+    """The documents table, spread over the cores when under-split (the
+    decision is taken once per session and table)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _SPREAD:
+        _SPREAD[key] = files.spread(_t(spark, sf, "documents"), "doc_id")
+    return _SPREAD[key]
 
 
 def _comments(spark, sf):
