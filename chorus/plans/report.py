@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from chorus.functions.labels import NEUTRAL, score_label, topic_tag
 from chorus.operators.stance import author_stance_onepass
+from chorus.session import cut_lineage
 
 EXTRACT_KEYS = {
     "daily_stance": ["created_date", "stance"],
@@ -101,8 +102,8 @@ def all_extracts(comments: DataFrame, author: str, id_col: str, text: str,
                                        kw_b, label_a, label_b)
     feats = comment_features(comments, text, score, created, kw_a, kw_b,
                              topic_a, topic_b)
-    finest = stance_counts_by(feats, stance, author, id_col,
-                              EXTRACT_KEYS["topic_score"]).checkpoint()
+    finest = cut_lineage(stance_counts_by(feats, stance, author, id_col,
+                                          EXTRACT_KEYS["topic_score"]))
     out = {"topic_score": finest}
     for name in ("topic_label", "daily_stance"):
         out[name] = (finest.groupBy(*EXTRACT_KEYS[name])

@@ -90,11 +90,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}chorus/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
+def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives
     executor loss) and return a DataFrame that reads it back."""
-    spark = spark or df.sparkSession
-    shared_dir(spark)
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
