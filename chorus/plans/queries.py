@@ -75,8 +75,11 @@ def _docs(spark, sf):
     return _SPREAD[key]
 
 
-def _comments(spark, sf):
-    return proxies.comments(_docs(spark, sf))
+def _comments(spark, sf, text_work: bool = True):
+    """Proxy comments; spread over the cores only for queries that do
+    per-row text work (a spread of narrow columns would only add a shuffle)."""
+    d = _docs(spark, sf) if text_work else _t(spark, sf, "documents")
+    return proxies.comments(d)
 
 
 def _lexicon(spark):
@@ -178,7 +181,7 @@ SELECT comment_id, strftime(created_date, '%m-%Y') AS month_year,
             ELSE 'Neutral' END AS sentiment_label
 FROM comments""")
 def derived_columns(spark, sf):
-    c = _comments(spark, sf)
+    c = _comments(spark, sf, text_work=False)
     out = clean.derive(c, {"month_year": fd.month_year("created_date"),
                            "month_start": fd.month_start("created_date"),
                            "sentiment_label": score_label("score")})
@@ -223,7 +226,7 @@ SELECT comment_id, score,
             ELSE 'Neutral' END AS label_float
 FROM comments""")
 def score_label_q(spark, sf):
-    c = _comments(spark, sf)
+    c = _comments(spark, sf, text_work=False)
     return c.select("comment_id", "score",
                     score_label("score").alias("label_double"),
                     score_label("score", score_type="float")
@@ -305,50 +308,55 @@ def period_filter(spark, sf):
 @query("label_filter", with_(COMMENTS) + """
 SELECT comment_id, score FROM comments WHERE score < -0.05""")
 def label_filter(spark, sf):
-    c = _comments(spark, sf).withColumn("label", score_label("score"))
+    c = _comments(spark, sf, text_work=False).withColumn("label", score_label("score"))
     return filters.label_filter(c, "label", "Negative").select("comment_id",
                                                                "score")
 
 
 # ======================================================= null handling
 NULLY_SQL = """nully AS (
-  SELECT comment_id, author_name,
-         CASE WHEN comment_id % 7 = 0 THEN NULL ELSE d.lang END AS lang,
-         CASE WHEN comment_id % 13 = 0 THEN NULL ELSE comment_id % 2 = 0 END AS verified,
-         CASE WHEN comment_id % 5 = 0 THEN NULL ELSE score END AS score
-  FROM comments c JOIN documents d ON c.comment_id = d.doc_id)"""
+  SELECT doc_id AS comment_id,
+         CASE WHEN doc_id % 11 = 0 THEN NULL
+              ELSE source || '-' || CAST(doc_id % 7 AS VARCHAR) END AS author_name,
+         CASE WHEN doc_id % 7 = 0 THEN NULL ELSE lang END AS lang,
+         CASE WHEN doc_id % 13 = 0 THEN NULL ELSE doc_id % 2 = 0 END AS verified,
+         CASE WHEN doc_id % 5 = 0 THEN NULL
+              ELSE CAST(n_chars % 201 - 100 AS DOUBLE) / 100 END AS score
+  FROM documents)"""
 
 
 def _nully(spark, sf):
+    """Comments with nulls injected into lang, a flag and the score: one
+    projection of documents (no join)."""
     d = _t(spark, sf, "documents")
     i = F.col("doc_id")
-    c = proxies.comments(d)
-    return c.join(d.select("doc_id", "lang"),
-                  c.comment_id == d.doc_id).select(
-        "comment_id", "author_name",
+    return d.select(
+        i.alias("comment_id"),
+        proxies.author_of(i, F.col("source")).alias("author_name"),
         F.when(i % 7 == 0, F.lit(None).cast("string")).otherwise(
             F.col("lang")).alias("lang"),
         F.when(i % 13 == 0, F.lit(None).cast("boolean")).otherwise(
             i % 2 == 0).alias("verified"),
         F.when(i % 5 == 0, F.lit(None).cast("double")).otherwise(
-            F.col("score")).alias("score"))
+            ((F.col("n_chars") % 201 - 100) / 100).cast("double"))
+        .alias("score"))
 
 
-@query("drop_any_null", with_(COMMENTS, NULLY_SQL) + """
+@query("drop_any_null", with_(NULLY_SQL) + """
 SELECT comment_id FROM nully WHERE author_name IS NOT NULL AND lang IS NOT NULL""")
 def drop_any_null(spark, sf):
     return clean.drop_any_null(_nully(spark, sf), ["author_name", "lang"]) \
         .select("comment_id")
 
 
-@query("drop_all_null", with_(COMMENTS, NULLY_SQL) + """
+@query("drop_all_null", with_(NULLY_SQL) + """
 SELECT comment_id FROM nully WHERE author_name IS NOT NULL OR lang IS NOT NULL""")
 def drop_all_null(spark, sf):
     return clean.drop_all_null(_nully(spark, sf), ["author_name", "lang"]) \
         .select("comment_id")
 
 
-@query("fill_nulls", with_(COMMENTS, NULLY_SQL) + """
+@query("fill_nulls", with_(NULLY_SQL) + """
 SELECT comment_id, coalesce(author_name, 'unknown') AS author_name,
        coalesce(lang, 'xx') AS lang, coalesce(verified, false) AS verified,
        coalesce(score, 0.0) AS score
@@ -566,7 +574,7 @@ LABELS_SQL = """labelled AS (
 SELECT sentiment_label, count(*) AS count FROM labelled
 WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""")
 def value_counts(spark, sf):
-    c = _comments(spark, sf).withColumn("sentiment_label",
+    c = _comments(spark, sf, text_work=False).withColumn("sentiment_label",
                                         score_label("score"))
     return agg.value_counts(c, "sentiment_label")
 
@@ -576,7 +584,7 @@ SELECT sentiment_label, count(*) AS count,
        CAST(sum(count(*)) OVER () AS BIGINT) AS total
 FROM labelled WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""")
 def value_counts_total(spark, sf):
-    c = _comments(spark, sf).withColumn("sentiment_label",
+    c = _comments(spark, sf, text_work=False).withColumn("sentiment_label",
                                         score_label("score"))
     return agg.value_counts_total(c, "sentiment_label")
 
@@ -644,7 +652,7 @@ SELECT count(score) AS n, round(avg(score), 6) AS mean,
        round(quantile_cont(score, 0.75), 6) AS q75, max(score) AS max
 FROM comments""")
 def numeric_summary(spark, sf):
-    s = agg.numeric_summary(_comments(spark, sf), "score")
+    s = agg.numeric_summary(_comments(spark, sf, text_work=False), "score")
     return s.select("n", *_r6("mean", "std"), "min",
                     *_r6("q25", "q50", "q75"), "max")
 
@@ -664,7 +672,7 @@ def null_profile(spark, sf):
 @query("distinct_values", with_(COMMENTS) + """
 SELECT DISTINCT author_name FROM comments""")
 def distinct_values(spark, sf):
-    return agg.distinct_values(_comments(spark, sf), "author_name")
+    return agg.distinct_values(_comments(spark, sf, text_work=False), "author_name")
 
 
 WELCH_SQL = """
@@ -709,7 +717,7 @@ m AS (
                                    AND created_date < DATE '2024-12-01') AS var_b
   FROM comments)""" + WELCH_SQL)
 def welch_periods(spark, sf):
-    c = _comments(spark, sf)
+    c = _comments(spark, sf, text_work=False)
     r = stats.welch_ttest(
         c, "score", filters.period_condition(c, "created_date", 2023, 10),
         filters.period_condition(c, "created_date", 2024, 11), with_p=False)

@@ -37,15 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def author_of(doc_id, source):
+    """Proxy author: null every 11th document, else source-(doc_id % 7)."""
+    return (F.when(doc_id % NULL_AUTHOR_EVERY == 0, F.lit(None).cast("string"))
+            .otherwise(F.concat(source, F.lit("-"),
+                                (doc_id % AUTHORS_PER_SOURCE).cast("string"))))
+
+
 def comments(docs: DataFrame) -> DataFrame:
     """comment_id, author_name, self_text, created_date, score."""
     d = F.col("doc_id")
     return docs.select(
         d.alias("comment_id"),
-        F.when(d % NULL_AUTHOR_EVERY == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.col("source"), F.lit("-"),
-                             (d % AUTHORS_PER_SOURCE).cast("string")))
-         .alias("author_name"),
+        author_of(d, F.col("source")).alias("author_name"),
         F.col("text").alias("self_text"),
         F.date_add(F.lit(COMMENT_EPOCH).cast("date"),
                    (d % DATE_SPAN_DAYS).cast("int")).alias("created_date"),
@@ -72,10 +76,7 @@ def raw_comments(docs: DataFrame) -> DataFrame:
         F.timestamp_add("SECOND", (d * 7919) % 86400,
                        created.cast("timestamp_ntz")).alias("created_time"),
         (d % 3 == 0).cast("float").alias("controversiality"),
-        F.when(d % NULL_AUTHOR_EVERY == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.col("source"), F.lit("-"),
-                             (d % AUTHORS_PER_SOURCE).cast("string")))
-         .alias("author_name"),
+        author_of(d, F.col("source")).alias("author_name"),
         F.concat(F.lit("p"), post.cast("string")).alias("post_id"),
         F.concat(F.lit("Post "), post.cast("string")).alias("post_title"),
         F.when(post % 5 == 0, F.lit(None).cast("string"))
