@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorus.functions.labels import NEUTRAL, score_label, topic_tag
-from chorus.operators.stance import author_stance_onepass
+from chorus.operators.stance import author_stance_onepass, side_conditions
 from chorus.session import cut_lineage
 
 EXTRACT_KEYS = {
@@ -66,26 +66,80 @@ def comment_features(comments: DataFrame, text: str, score: str,
     })
 
 
+def fused_counts(feats: DataFrame, author: str, id_col: str, text: str,
+                 score: str, keys: Sequence[str], kw_a, kw_b, label_a: str,
+                 label_b: str, mode: str = "substring",
+                 case_sensitive: bool = False, neutral: str = NEUTRAL,
+                 count_name: str = "n_comments",
+                 share: str = "checkpoint") -> DataFrame:
+    """Counts by ``keys`` with the author stance derived in the same pass.
+
+    One aggregate per (author, row keys) -- partial per task, so a hot
+    author is pre-combined before the shuffle -- carries the comment count
+    and, per side, the sum and count of one-sided scores.  The stance comes
+    from re-aggregating that small table by author, and the counts join it
+    back.  ``share='checkpoint'`` materialises the pre-aggregate once (one
+    action) so the text is read and tested once; ``share='none'`` keeps the
+    plan lazy and lets each consumer recompute it.
+    """
+    only_a, only_b = side_conditions(F.col(text), kw_a, kw_b, mode,
+                                     case_sensitive)
+    s = F.col(score)
+    row_keys = [k for k in keys if k != "stance"]
+    pre = (feats.select(author, *row_keys, id_col, s.alias("_s"),
+                        only_a.alias("_a"), only_b.alias("_b"))
+           .groupBy(author, *row_keys)
+           .agg(F.count(id_col).alias("_n"),
+                F.sum(F.when(F.col("_a"), F.col("_s"))).alias("_sa"),
+                F.count(F.when(F.col("_a"), F.col("_s"))).alias("_ca"),
+                F.sum(F.when(F.col("_b"), F.col("_s"))).alias("_sb"),
+                F.count(F.when(F.col("_b"), F.col("_s"))).alias("_cb"),
+                F.max(F.col("_a") | F.col("_b")).alias("_sided")))
+    if share == "checkpoint":
+        # Spark does not share a subplan between two consumers once column
+        # pruning has shaped each copy differently; materialising the small
+        # pre-aggregate (reliably, in the shared folder) makes the text scan
+        # happen exactly once.
+        pre = cut_lineage(pre)
+    mean = lambda sm, ct: F.coalesce(
+        F.when(F.sum(ct) > 0, F.sum(sm) / F.sum(ct)), F.lit(0.0))
+    stance = (pre.filter(F.col(author).isNotNull()).groupBy(author)
+              .agg(mean("_sa", "_ca").alias("score_a"),
+                   mean("_sb", "_cb").alias("score_b"),
+                   F.max("_sided").alias("_sided"))
+              .filter(F.col("_sided"))
+              .select(author, F.when(F.col("score_b") > F.col("score_a"),
+                                     label_b).otherwise(label_a)
+                      .alias("stance")))
+    counted = (pre.filter(_not_null(row_keys)).select(author, *row_keys, "_n")
+               .join(stance, author, "left")
+               .withColumn("stance", F.coalesce("stance", F.lit(neutral))))
+    return counted.groupBy(*keys).agg(F.sum("_n").alias(count_name))
+
+
 def extract(comments: DataFrame, name: str, author: str, id_col: str,
             text: str, score: str, created: str, kw_a, kw_b,
             label_a: str, label_b: str, topic_a: str | None = None,
             topic_b: str | None = None, stance: DataFrame | None = None,
             mode: str = "substring", case_sensitive: bool = False,
-            drop_null_text: bool = True) -> DataFrame:
+            drop_null_text: bool = True, share: str = "checkpoint"
+            ) -> DataFrame:
     """One of the three dashboard extracts (see ``EXTRACT_KEYS``).
 
     Comments without text are left out first (``drop_null_text``), as the
-    analysis does before it scores and groups.
+    analysis does before it scores and groups.  Without a given ``stance``
+    table the stance is derived in the same pass (:func:`fused_counts`).
     """
     if drop_null_text:
         comments = comments.filter(F.col(text).isNotNull())
-    if stance is None:
-        stance = author_stance_onepass(comments, author, text, score, kw_a,
-                                       kw_b, label_a, label_b, mode,
-                                       case_sensitive)
     feats = comment_features(comments, text, score, created, kw_a, kw_b,
                              topic_a or "A", topic_b or "B")
-    return stance_counts_by(feats, stance, author, id_col, EXTRACT_KEYS[name])
+    if stance is not None:
+        return stance_counts_by(feats, stance, author, id_col,
+                                EXTRACT_KEYS[name])
+    return fused_counts(feats, author, id_col, text, score,
+                        EXTRACT_KEYS[name], kw_a, kw_b, label_a, label_b,
+                        mode, case_sensitive, share=share)
 
 
 def all_extracts(comments: DataFrame, author: str, id_col: str, text: str,
