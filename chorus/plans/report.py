@@ -151,13 +151,14 @@ def all_extracts(comments: DataFrame, author: str, id_col: str, text: str,
     checkpointed once (one action; lineage cut in the shared folder) and
     the coarser extracts are rolled up from them."""
     comments = comments.filter(F.col(text).isNotNull())
-    if stance is None:
-        stance = author_stance_onepass(comments, author, text, score, kw_a,
-                                       kw_b, label_a, label_b)
     feats = comment_features(comments, text, score, created, kw_a, kw_b,
                              topic_a, topic_b)
-    finest = cut_lineage(stance_counts_by(feats, stance, author, id_col,
-                                          EXTRACT_KEYS["topic_score"]))
+    keys = EXTRACT_KEYS["topic_score"]
+    finest = (stance_counts_by(feats, stance, author, id_col, keys)
+              if stance is not None else
+              fused_counts(feats, author, id_col, text, score, keys, kw_a,
+                           kw_b, label_a, label_b))
+    finest = cut_lineage(finest)
     out = {"topic_score": finest}
     for name in ("topic_label", "daily_stance"):
         out[name] = (finest.groupBy(*EXTRACT_KEYS[name])
