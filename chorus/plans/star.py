@@ -144,9 +144,11 @@ def build_star_schema(spark: SparkSession, raw_comments: DataFrame,
                       start: dt.date = DEFAULT_START,
                       end: dt.date = DEFAULT_END, rules: Rules | None = None,
                       score_type: str = "float",
-                      lexicon_rows: int | None = None
-                      ) -> dict[str, DataFrame]:
-    cleaned = clean_comments(raw_comments)
+                      lexicon_rows: int | None = None,
+                      already_clean: bool = False) -> dict[str, DataFrame]:
+    """The five star tables (lazy).  ``already_clean``: ``raw_comments`` is
+    the output of :func:`clean_comments` (e.g. a staged copy)."""
+    cleaned = raw_comments if already_clean else clean_comments(raw_comments)
     events = clean_events(raw_events)
     dates = drop_any_null(date_dim(spark, start, end, text_parts=True),
                           ["date", "month_year"])
@@ -196,18 +198,33 @@ def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
               properties: dict | None = None, gate: bool = True,
               mode: str = "overwrite", load_mode: str = "append",
               rules: Rules | None = None,
-              partition_facts_by_month: bool = True) -> dict[str, str]:
+              partition_facts_by_month: bool = True,
+              clean_buckets: int | None = None,
+              clean_table: str = "star_cleaned_comments") -> dict[str, str]:
     """One scheduled run: staged Parquet -> star schema -> quality gate
     (fail fast, before anything is written) -> staged star tables ->
     optional JDBC load of the written tables, dimensions first.
 
     The gate's suites are aggregations over the lazy tables; the load
     reads back the written Parquet, so scoring is not recomputed.
+
+    ``clean_buckets`` first stages the cleaned comments once, bucketed on
+    ``comment_id`` (table ``clean_table``): lexicon scoring of the fact
+    table then needs no shuffle, and the dimensions read only their own
+    columns (the null filter on the text has already been applied).
     """
     from chorus.plans.gate import quality_gate
-    tables = build_star_schema(spark, read_parquet(spark, comments_path),
+    comments = read_parquet(spark, comments_path)
+    if clean_buckets:
+        cleaned = clean_comments(comments)
+        write_bucketed(cleaned.repartition(clean_buckets, "comment_id"),
+                       clean_table, f"{out_dir}/_cleaned_comments",
+                       "comment_id", clean_buckets, mode)
+        comments = spark.table(clean_table)
+    tables = build_star_schema(spark, comments,
                                read_parquet(spark, events_path), lexicon,
-                               rules=rules)
+                               rules=rules,
+                               already_clean=bool(clean_buckets))
     if gate:
         quality_gate(tables, fail_fast=True)
     paths = write_star(tables, out_dir, mode, partition_facts_by_month)
