@@ -22,3 +22,23 @@ def test_incremental_runs_process_new_files_once(spark, tmp_dir):
     expected = proxies.raw_comments(docs.filter("doc_id < 500")) \
         .filter("author_name IS NOT NULL").count()
     assert first == expected
+
+
+def test_incremental_picks_up_only_new_files(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    docs = proxies.table(spark, SF01, "documents")
+    docs.filter("doc_id < 300").write.parquet(src)
+    lex = spark.createDataFrame(LEXICON, "term string, valence double")
+    args = dict(schema=docs.schema, lexicon=lex, sink_dir=f"{tmp_dir}/sink",
+                checkpoint_dir=f"{tmp_dir}/ckpt",
+                transform=proxies.raw_comments, glob="*.parquet")
+    run_incremental_fact(spark, src, **args)
+    docs.filter("doc_id >= 300 AND doc_id < 700").write.mode("append") \
+        .parquet(src)
+    run_incremental_fact(spark, src, **args)
+    run_incremental_fact(spark, src, **args)          # nothing new
+    got = read_facts(spark, f"{tmp_dir}/sink")
+    want = proxies.raw_comments(docs.filter("doc_id < 700")) \
+        .filter("author_name IS NOT NULL")
+    assert got.count() == want.count()
+    assert got.select("comment_id").distinct().count() == want.count()
