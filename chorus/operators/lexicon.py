@@ -43,7 +43,12 @@ LEXICON_MAX_ROWS = 2_000_000
 
 @dataclass(frozen=True)
 class Rules:
-    """Optional scoring rules; the defaults apply none of them."""
+    """Optional scoring rules; the defaults apply none of them.
+
+    Not applied: capital-letter emphasis (tokens are lower-cased), the
+    method's special idioms, and its check that a booster word is not
+    itself a lexicon term (boosters apply regardless).
+    """
     negators: Sequence[str] = ()
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
     n_scalar: float = N_SCALAR
