@@ -601,11 +601,11 @@ cells AS (
     ON s.created_date >= p.lo AND s.created_date < p.hi
   JOIN (VALUES ('all'), ('A'), ('B')) k(cohort)
     ON k.cohort = 'all' OR (k.cohort = 'A' AND s.only_a) OR (k.cohort = 'B' AND s.only_b))
-SELECT p.period, k.cohort, round(avg(c.score), 6) AS mean, count(c.score) AS n
-FROM (VALUES ('2023-10'), ('2024-11')) p(period)
-CROSS JOIN (VALUES ('all'), ('A'), ('B')) k(cohort)
-LEFT JOIN cells c ON c.period = p.period AND c.cohort = k.cohort
-GROUP BY p.period, k.cohort""")
+SELECT g.period, g.cohort, round(avg(c.score), 6) AS mean, count(c.score) AS n
+FROM (VALUES ('2023-10', 'all'), ('2023-10', 'A'), ('2023-10', 'B'),
+             ('2024-11', 'all'), ('2024-11', 'A'), ('2024-11', 'B')) g(period, cohort)
+LEFT JOIN cells c ON c.period = g.period AND c.cohort = g.cohort
+GROUP BY g.period, g.cohort""")
 def cohort_period_means(spark, sf):
     c = _comments(spark, sf)
     a, b = st.side_conditions(F.col("self_text"), SIDE_A, SIDE_B)
@@ -630,11 +630,11 @@ cells AS (
     ON e.created_time >= p.lo AND e.created_time < p.hi
   JOIN (VALUES ('all'), ('click'), ('view')) k(cohort)
     ON k.cohort = 'all' OR k.cohort = e.topic)
-SELECT p.period, k.cohort, round(avg(c.score), 6) AS mean, count(c.score) AS n
-FROM (VALUES ('2024-W1'), ('2024-W2')) p(period)
-CROSS JOIN (VALUES ('all'), ('click'), ('view')) k(cohort)
-LEFT JOIN cells c ON c.period = p.period AND c.cohort = k.cohort
-GROUP BY p.period, k.cohort""")
+SELECT g.period, g.cohort, round(avg(c.score), 6) AS mean, count(c.score) AS n
+FROM (VALUES ('2024-W1', 'all'), ('2024-W1', 'click'), ('2024-W1', 'view'),
+             ('2024-W2', 'all'), ('2024-W2', 'click'), ('2024-W2', 'view')) g(period, cohort)
+LEFT JOIN cells c ON c.period = g.period AND c.cohort = g.cohort
+GROUP BY g.period, g.cohort""")
 def event_period_means(spark, sf):
     ec = proxies.event_comments(_t(spark, sf, "events"))
     periods = {name: filters.range_condition(ec, "created_time", lo, hi)
