@@ -81,3 +81,32 @@ def test_substring_mentions(spark, texts, kw):
     got = {r.i: r.m for r in df.select("i", mentions("t", [kw]).alias("m"))
            .collect()}
     assert got == {i: kw.lower() in t.lower() for i, t in enumerate(texts)}
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.sampled_from(["u1", "u2", "u3", None]),
+    st.sampled_from(["alpha", "beta", "alpha beta", "gamma"]),
+    st.one_of(st.none(), st.sampled_from([-0.5, -0.2, 0.0, 0.2, 0.5])),
+    st.sampled_from([1, 2, None])), min_size=1, max_size=25))
+def test_fused_counts_equal_two_step(spark, rows):
+    import datetime as dt
+    from chorus.plans import report
+    from chorus.operators.stance import author_stance_onepass
+    data = [(i, a, t, s, None if d is None else dt.date(2024, 1, d))
+            for i, (a, t, s, d) in enumerate(rows)]
+    c = spark.createDataFrame(data, "comment_id long, author_name string, "
+                                    "self_text string, score double, "
+                                    "created_date date")
+    stance = author_stance_onepass(c, "author_name", "self_text", "score",
+                                   ["alpha"], ["beta"], "Pro A", "Pro B")
+    for name in report.EXTRACT_KEYS:
+        args = (c, name, "author_name", "comment_id", "self_text", "score",
+                "created_date", ["alpha"], ["beta"], "Pro A", "Pro B")
+        fused = report.extract(*args, share="none")
+        two = report.extract(*args, stance=stance)
+        cols = report.EXTRACT_KEYS[name] + ["n_comments"]
+        assert sorted(map(tuple, fused.select(*cols).collect()),
+                      key=repr) == \
+            sorted(map(tuple, two.select(*cols).collect()), key=repr), name
