@@ -36,7 +36,8 @@ def main() -> None:
     from chorus.plans.queries import QUERIES
 
     spark = build_session(f"local[{cpus}]", app="chorus-bench",
-                          shuffle_partitions=max(8, 2 * cpus),
+                          shuffle_partitions=int(os.environ.get(
+                              "BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))),
                           **{"spark.driver.memory": "16g"})
     settings = {k: spark.conf.get(k) for k in (
         "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
