@@ -242,3 +242,33 @@ def test_extract_leaves_out_null_text(spark):
     # u2's only side is B at -0.2 < 0 (missing A counts as 0): Pro A.
     # Comment 2 has no text and is not counted (3 otherwise).
     assert got == [("Pro A", 2)]
+
+
+def test_count_ignores_null_ids_but_keeps_zero_groups(spark):
+    # trap 7
+    import datetime as dt
+    from chorus.plans import report
+    d = dt.date(2024, 1, 1)
+    c = _comments(spark, [(None, "u1", "alpha", 0.5, d),
+                          (2, "u2", "gamma", 0.1, dt.date(2024, 1, 2)),
+                          (None, "u2", "gamma", 0.1, dt.date(2024, 1, 2))])
+    out = report.extract(c, "daily_stance", "author_name", "comment_id",
+                         "self_text", "score", "created_date", ["alpha"],
+                         ["beta"], "Pro A", "Pro B")
+    got = sorted((r.created_date.day, r.stance, r.n_comments)
+                 for r in out.collect())
+    assert got == [(1, "Pro A", 0), (2, "Neutral", 1)]
+    assert agg.group_count(c, "author_name", "comment_id").filter(
+        "n = 0").count() == 1
+
+
+def test_month_level_join_uses_distinct_months(spark):
+    # trap 19: month_year repeats ~30 times in the daily dimension
+    import datetime as dt
+    from chorus.operators.calendar import date_dim, distinct_months
+    dim = date_dim(spark, dt.date(2016, 1, 1), dt.date(2016, 3, 31))
+    months = distinct_months(dim)
+    assert dim.select("month_year").distinct().count() == months.count() == 3
+    fact = spark.createDataFrame([("02-2016", 5)], "month_year string, n int")
+    assert fact.join(dim, "month_year").count() == 29          # fans out
+    assert fact.join(months, "month_year").count() == 1
