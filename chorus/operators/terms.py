@@ -45,3 +45,22 @@ def doc_term_counts(df: DataFrame, id_col: str, text: str, k: int = 20,
     vocab = F.broadcast(top_terms(df, text, k, stop_words).select("term"))
     rows = term_rows(df, text, id_col, stop_words).join(vocab, "term")
     return rows.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def doc_term_vectors(df: DataFrame, id_col: str, text: str, k: int = 20,
+                     stop_words: Sequence[str] | None = None,
+                     out: str = "tf") -> DataFrame:
+    """(id, tf vector): the document-term matrix as sparse vectors over the
+    ``k``-term vocabulary of :func:`top_terms` (index = alphabetical rank,
+    as a vectoriser lists its features).
+
+    The vocabulary -- ``k`` terms, bounded by the caller -- is the only
+    thing that reaches the driver; vectors are built on the executors by a
+    ``CountVectorizerModel``.
+    """
+    from pyspark.ml.feature import CountVectorizerModel
+    vocab = [r.term for r in top_terms(df, text, k, stop_words).collect()]
+    model = CountVectorizerModel.from_vocabulary(
+        vocab, inputCol="_tokens", outputCol=out)
+    toks = df.select(id_col, tokens(F.col(text)).alias("_tokens"))
+    return model.transform(toks).select(id_col, out)

@@ -133,3 +133,17 @@ def test_salted_enrichment_equals_plain(spark):
                                salt_buckets=7, salt_col="comment_id")
     assert _rows(plain.select("comment_id", "author_name", "stance")) == \
         _rows(salted.select("comment_id", "author_name", "stance"))
+
+
+def test_doc_term_vectors_equal_long_form(spark):
+    from chorus.operators import terms
+    from chorus.sources import proxies as px
+    d = px.table(spark, SF01, "documents")
+    vec = terms.doc_term_vectors(d, "doc_id", "text", 20)
+    vocab = sorted(r.term for r in terms.top_terms(d, "text", 20).collect())
+    got = sorted((r.doc_id, vocab[int(i)], int(v)) for r in vec.collect()
+                 for i, v in zip(r.tf.indices, r.tf.values))
+    want = sorted((r.doc_id, r.term, r.tf) for r in
+                  terms.doc_term_counts(d, "doc_id", "text", 20).collect())
+    assert got == want
+    assert vec.count() == d.count()
