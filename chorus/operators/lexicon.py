@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.functions.text import tokens
+from chorus.functions.text import TOKEN_RE, tokens
 from chorus.operators.joins import small_side
 
 # Fixed values of the published method.
@@ -38,6 +38,7 @@ DISTANCE_DECAY = (1.0, 0.95, 0.9)  # weight of tokens 1, 2, 3 positions back
 CONTRAST_BEFORE, CONTRAST_AFTER = 0.5, 1.5   # around the first contrast word
 EXCLAIM_STEP, EXCLAIM_MAX = 0.292, 4         # per '!', at most 4 counted
 QUESTION_STEP, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96  # 2-3 '?' / more
+C_INCR = 0.733                               # emphasis of an all-caps word
 LEXICON_MAX_ROWS = 2_000_000
 
 
@@ -45,9 +46,13 @@ LEXICON_MAX_ROWS = 2_000_000
 class Rules:
     """Optional scoring rules; the defaults apply none of them.
 
-    Not applied: capital-letter emphasis (tokens are lower-cased), the
-    method's special idioms, and its check that a booster word is not
-    itself a lexicon term (boosters apply regardless).
+    ``caps``: when a text mixes all-caps and other tokens, an all-caps hit
+    moves ``C_INCR`` further from zero, and so does an all-caps booster.
+    With it, tokens are cut from the original text and lower-cased one by
+    one (so their case is known).
+
+    Not applied: the method's special idioms, and its check that a booster
+    word is not itself a lexicon term (boosters apply regardless).
     """
     negators: Sequence[str] = ()
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
@@ -55,6 +60,7 @@ class Rules:
     decay: Sequence[float] = DISTANCE_DECAY
     contrast: str | None = None   # e.g. "but": earlier hits x0.5, later x1.5
     punctuation: bool = False     # '!' and '?' push the sum away from zero
+    caps: bool = False            # ALL-CAPS hits/boosters in mixed-case text
 
 
 def _count_char(text, ch: str):
@@ -106,20 +112,50 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     if rules.punctuation:
         extra.append(punctuation_amplifier(F.col(text)).alias("_amp"))
         carried.append("_amp")
-    arr = df.select(id_col, tokens(F.col(text)).alias("_toks"),
-                    *([F.col(text)] if rules.punctuation else []))
+    if rules.caps:
+        orig = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 0)
+        arr = df.select(id_col, orig.alias("_orig"),
+                        *([F.col(text)] if rules.punctuation else []))
+        up = F.transform(F.col("_orig"), lambda t: (t == F.upper(t))
+                         & (t != F.lower(t)))
+        arr = arr.select(
+            id_col, F.transform(F.col("_orig"), F.lower).alias("_toks"),
+            up.alias("_up"),
+            *([F.col(text)] if rules.punctuation else []))
+        n_up = F.size(F.filter(F.col("_up"), lambda u: u))
+        extra.append(((n_up > 0) & (n_up < F.size(F.col("_up"))))
+                     .alias("_capdiff"))
+        carried.append("_capdiff")
+    else:
+        arr = df.select(id_col, tokens(F.col(text)).alias("_toks"),
+                        *([F.col(text)] if rules.punctuation else []))
     # Per-text values are computed once per text, in a projection below
     # the explode (inside the generator's select they would be evaluated
     # once per token).
-    arr = arr.select(id_col, "_toks", *extra)
+    arr = arr.select(id_col, "_toks", *(["_up"] if rules.caps else []),
+                     *extra)
     toks = F.col("_toks")
-    items = F.transform(toks, lambda t, i: F.struct(
-        t.alias("term"), (i + 1).alias("pos"),
-        *[F.get(toks, i - k).alias(f"p{k}") for k in range(1, win + 1)]))
+    ups = F.col("_up")
+
+    def item(t, i):
+        fields = [t.alias("term"), (i + 1).alias("pos"),
+                  *[F.get(toks, i - k).alias(f"p{k}")
+                    for k in range(1, win + 1)]]
+        if rules.caps:
+            fields += [F.get(ups, i).alias("u0"),
+                       *[F.get(ups, i - k).alias(f"u{k}")
+                         for k in range(1, win + 1)]]
+        return F.struct(*fields)
+
+    items = F.transform(toks, item)
     rows = (arr.select(id_col, *carried, explode(items).alias("it"))
             .select(id_col, *carried, "it.*")
             .join(lex, "term", how))
     v = F.col("valence")
+    if rules.caps:
+        caps_on = F.col("_capdiff") & F.coalesce(F.col("u0"), F.lit(False))
+        v = F.when(caps_on, F.when(v > 0, v + C_INCR).otherwise(v - C_INCR)
+                   ).otherwise(v)
     sign = F.signum(v)
     boost = F.lit(0.0)
     n_neg = F.lit(0)
@@ -130,8 +166,12 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     for k in range(1, win + 1):
         p = F.col(f"p{k}")
         if bmap is not None:
-            boost = boost + F.coalesce(F.try_element_at(bmap, p),
-                                       F.lit(0.0)) * F.lit(rules.decay[k - 1])
+            b = F.coalesce(F.try_element_at(bmap, p), F.lit(0.0))
+            if rules.caps:
+                b = b + F.when((b != 0) & F.col("_capdiff")
+                               & F.coalesce(F.col(f"u{k}"), F.lit(False)),
+                               F.lit(C_INCR)).otherwise(F.lit(0.0))
+            boost = boost + b * F.lit(rules.decay[k - 1])
         if rules.negators:
             n_neg = n_neg + F.coalesce(p.isin(list(rules.negators)),
                                        F.lit(False)).cast("int")

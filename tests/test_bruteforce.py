@@ -94,8 +94,15 @@ def test_extract_matches_notebook_steps(spark):
 
 
 def _score_py(text, lex, negators=(), boosters=None, contrast=None,
-              punctuation=False):
-    toks = TOKEN.findall(text.lower()) if text else []
+              punctuation=False, caps=False):
+    if caps:
+        orig = TOKEN.findall(text) if text else []
+        toks = [t.lower() for t in orig]
+        up = [t.isupper() for t in orig]
+        capdiff = 0 < sum(up) < len(orig)
+    else:
+        toks = TOKEN.findall(text.lower()) if text else []
+        up, capdiff = [False] * len(toks), False
     ci = toks.index(contrast) if contrast in toks else None
     s = 0.0
     hit = False
@@ -104,13 +111,18 @@ def _score_py(text, lex, negators=(), boosters=None, contrast=None,
             continue
         hit = True
         v = lex[t]
+        if capdiff and up[i]:
+            v = v + 0.733 if v > 0 else v - 0.733
         sign = (v > 0) - (v < 0)
         boost, neg = 0.0, 0
         for k in range(1, 4):
             if i - k < 0:
                 break
             p = toks[i - k]
-            boost += (boosters or {}).get(p, 0.0) * DISTANCE_DECAY[k - 1]
+            b = (boosters or {}).get(p, 0.0)
+            if b and capdiff and up[i - k]:
+                b += 0.733
+            boost += b * DISTANCE_DECAY[k - 1]
             neg += p in negators
         f = 1.0 if ci is None or i == ci else (0.5 if i < ci else 1.5)
         s += (v + sign * boost) * N_SCALAR ** neg * f
@@ -225,3 +237,40 @@ def test_hot_author_third_of_rows(spark):
                         "Pro A", "Pro B")
     assert sorted((r.created_date, r.stance, r.n_comments)
                   for r in ex.collect()) == want_ex
+
+
+def test_caps_emphasis_matches_python(spark):
+    texts = [(1, "this is GOOD"), (2, "THIS IS GOOD"), (3, "very GOOD stuff"),
+             (4, "VERY good stuff"), (5, "not BAD at all"), (6, "GOOD"),
+             (7, "Good good GOOD!"), (8, None)]
+    lexd = {"good": 1.9, "bad": -2.5}
+    boosters = {"very": B_INCR}
+    df = spark.createDataFrame(texts, "id long, t string")
+    lex = spark.createDataFrame(list(lexd.items()),
+                                "term string, valence double")
+    rules = Rules(negators=["not"], boosters=boosters, caps=True,
+                  punctuation=True)
+    got = {r.id: r.sentiment_score for r in
+           lexicon_scores(df, "id", "t", lex, rules=rules).collect()}
+    want = {i: _score_py(t, lexd, ["not"], boosters, None, True, True)
+            for i, t in texts}
+    assert got == want
+    # all-caps text has no caps differential; mixed case does
+    assert got[1] > got[2]
+    assert got[3] > _score_py("very good stuff", lexd, ["not"], boosters)
+
+
+def test_caps_rules_on_documents_match_python(spark):
+    lex = dict(LEXICON)
+    d = _docs_pd(SF001)
+    rules = Rules(negators=NEGATORS, boosters=BOOSTERS, contrast="is",
+                  punctuation=True, caps=True)
+    want = {i: _score_py(t, lex, NEGATORS, BOOSTERS, "is", True, True)
+            for i, t in zip(d.doc_id, d.text)}
+    sdf = lexicon_scores(proxies.table(spark, SF001, "documents"), "doc_id",
+                         "text", spark.createDataFrame(
+                             LEXICON, "term string, valence double"),
+                         rules=rules)
+    got = {r.doc_id: r.sentiment_score for r in sdf.collect()}
+    bad = [k for k in want if abs(got[k] - want[k]) > 1e-4]
+    assert not bad, [(k, got[k], want[k]) for k in bad[:5]]
