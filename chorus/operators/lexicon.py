@@ -14,8 +14,9 @@ The optional rules of the published rule-based method (Hutto & Gilbert,
 ICWSM 2014): on a window of the three preceding tokens, booster words shift
 a hit's valence away from zero with a distance decay and each negator
 multiplies it by a negative scalar; hits before the first contrast word
-("but") count half and hits after it one and a half times; and '!' / '?'
-marks push the text's sum away from zero.  Rule lookups run only on
+("but") count half and hits after it one and a half times; all-caps hits
+and boosters in mixed-case text gain emphasis; and '!' / '?' marks push
+the text's sum away from zero.  Rule lookups run only on
 lexicon hits (after the join), never on every token.
 """
 
