@@ -37,9 +37,9 @@ def author_stance_onepass(comments: DataFrame, author: str, text: str,
                           case_sensitive: bool = False) -> DataFrame:
     """(author, score_a, score_b, stance) in one scan and one aggregation.
 
-    Only one-sided rows are shuffled; the aggregation is partial per
-    partition, so an author holding a third of all rows costs one buffer
-    per task, not one task.
+    The aggregation is partial per task, so what is shuffled is one buffer
+    per (task, author): an author holding a third of all rows costs one
+    buffer per task, not one task.
     """
     only_a, only_b = side_conditions(F.col(text), kw_a, kw_b, mode,
                                      case_sensitive)
