@@ -1,9 +1,11 @@
 """Dashboard extracts: comment counts by stance, topic, label, date, score.
 
-The three extracts share nested keys, so they are computed from one grain.
-Comments are first counted per (author, date[, topic, label, score]) --
+Comments are first aggregated per (author, date[, topic, label, score]) --
 a partial aggregate that shrinks the rows before any shuffle and removes
-author skew -- and only then joined to the stance table on author.
+author skew.  That one pass also carries each side's score sums, so the
+author stance is re-aggregated from it and joined back without a second
+read of the text (:func:`fused_counts`).  The three extracts share nested
+keys, so :func:`all_extracts` computes the finest grain once and rolls up.
 """
 
 from __future__ import annotations
