@@ -6,9 +6,10 @@ normalised to [-1, 1] as ``s / sqrt(s^2 + alpha)``.  Texts without a
 lexicon hit (or without text) score 0.0.
 
 Plan shape: scan -> explode tokens -> broadcast hash join (the lexicon is
-broadcast only after its row count is proven bounded) -> partial sum per
-text -> one shuffle of (id, partial sum) rows [-> join back on id for the
-wide form; none on a table bucketed by id].  No Python runs per row.
+broadcast only after its row count is proven bounded; only hits pass) ->
+partial sum per text -> one shuffle of (id, partial sum) rows [-> join back
+on id for the wide form; none on a table bucketed by id].  No Python runs
+per row.
 
 The optional rules of the published rule-based method (Hutto & Gilbert,
 ICWSM 2014): on a window of the three preceding tokens, booster words shift
@@ -88,19 +89,27 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                  lexicon_rows: int | None = None) -> DataFrame:
     """(id, _s): summed valence per text.
 
-    By default only texts with at least one hit are returned (inner join:
-    fewer rows reach the aggregate).  ``every_row`` keeps every input row
-    (``explode_outer`` + left join; ``_s`` is null without a hit), so the
-    caller needs no join back to list the texts without a hit.
+    Only lexicon hits survive the (inner, broadcast) join, so the aggregate
+    sees hits rather than every token.  By default only texts with at least
+    one hit are returned; ``every_row`` adds one null row per input text
+    (a union of its ids), so every text is listed (``_s`` null without a
+    hit) and the caller needs no join back.
     """
     lex = small_side(lexicon.select("term", F.col("valence").cast("double")),
                      LEXICON_MAX_ROWS, lexicon_rows)
-    how = "left" if every_row else "inner"
-    explode = F.explode_outer if every_row else F.explode
+
+    def with_every_row(hits: DataFrame, cols: list[str]) -> DataFrame:
+        if not every_row:
+            return hits
+        zeros = df.select(id_col, *[F.lit(None).cast("double").alias(c)
+                                    for c in cols])
+        return hits.unionByName(zeros)
+
     if rules is None:
-        hits = (df.select(id_col, explode(tokens(F.col(text))).alias("term"))
-                .join(lex, "term", how))
-        return hits.groupBy(id_col).agg(F.sum("valence").alias("_s"))
+        hits = (df.select(id_col, F.explode(tokens(F.col(text))).alias("term"))
+                .join(lex, "term").select(id_col, F.col("valence").alias("_v")))
+        return (with_every_row(hits, ["_v"]).groupBy(id_col)
+                .agg(F.sum("_v").alias("_s")))
     win = len(rules.decay)
     # Each token with its 1-based position and the tokens 1..win before it
     # (null at the start), built by one higher-order pass over the
@@ -149,9 +158,9 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         return F.struct(*fields)
 
     items = F.transform(toks, item)
-    rows = (arr.select(id_col, *carried, explode(items).alias("it"))
+    rows = (arr.select(id_col, *carried, F.explode(items).alias("it"))
             .select(id_col, *carried, "it.*")
-            .join(lex, "term", how))
+            .join(lex, "term"))
     v = F.col("valence")
     if rules.caps:
         caps_on = F.col("_capdiff") & F.coalesce(F.col("u0"), F.lit(False))
@@ -183,9 +192,12 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                      .when((ci > 0) & (pos > ci), F.lit(CONTRAST_AFTER))
                      .otherwise(F.lit(1.0)))
     if not rules.punctuation:
-        return rows.groupBy(id_col).agg(F.sum(adj).alias("_s"))
-    sums = rows.groupBy(id_col).agg(F.sum(adj).alias("_s0"),
-                                    F.max("_amp").alias("_amp"))
+        hits = rows.select(id_col, adj.alias("_v"))
+        return (with_every_row(hits, ["_v"]).groupBy(id_col)
+                .agg(F.sum("_v").alias("_s")))
+    hits = rows.select(id_col, adj.alias("_v"), F.col("_amp"))
+    sums = (with_every_row(hits, ["_v", "_amp"]).groupBy(id_col)
+            .agg(F.sum("_v").alias("_s0"), F.max("_amp").alias("_amp")))
     s0, amp = F.col("_s0"), F.col("_amp")
     return sums.select(id_col, F.when(s0 > 0, s0 + amp)
                        .when(s0 < 0, s0 - amp).otherwise(s0).alias("_s"))
@@ -212,9 +224,9 @@ def lexicon_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                    lexicon_rows: int | None = None) -> DataFrame:
     """(id, score) for every row of ``df``.
 
-    One shuffle of one partial sum per text: every row survives the outer
-    explode and the left broadcast join, so no join back to ``df`` is
-    needed (``id_col`` must be unique).
+    One shuffle of one partial sum per text: the hits are unioned with one
+    null row per text, so no join back to ``df`` is needed (``id_col`` must
+    be unique).
     """
     sums = lexicon_sums(df, id_col, text, lexicon, rules, every_row=True,
                         lexicon_rows=lexicon_rows)
