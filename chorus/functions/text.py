@@ -44,7 +44,9 @@ def keyword_pattern(keywords: Iterable[str] | str, mode: str = "substring",
     alt = "|".join(parts)
     if mode == "word":
         alt = rf"(^|[^{WORD_CHARS}])({alt})([^{WORD_CHARS}]|$)"
-    return alt if case_sensitive else f"(?i)(?:{alt})"
+    # (?iu): Unicode-aware case folding, as a Python/pandas case-insensitive
+    # match does (plain (?i) in Java folds ASCII letters only).
+    return alt if case_sensitive else f"(?iu)(?:{alt})"
 
 
 def mentions(text, keywords: Iterable[str] | str, mode: str = "substring",

@@ -141,7 +141,17 @@ def test_case_sensitive_regex_mode(spark):
         "t", ["United Nations|PBB"], "regex", case_sensitive=True)
         .alias("m")).collect()]
     assert got == [True, False]
-    assert keyword_pattern(["a.b"], "substring") == r"(?i)(?:a\.b)"
+    assert keyword_pattern(["a.b"], "substring") == r"(?iu)(?:a\.b)"
+
+
+def test_case_folding_is_unicode_aware(spark):
+    df = spark.createDataFrame([("C'ÉTÉ beau",), ("l'été",), ("ete",)],
+                               "t string")
+    rows = df.select(mentions("t", ["été"], "word").alias("w"),
+                     mentions("t", ["été"], "regex").alias("r"),
+                     mentions("t", ["été"], "substring").alias("s")).collect()
+    assert [(r.w, r.r, r.s) for r in rows] == [
+        (True, True, True), (True, True, True), (False, False, False)]
 
 
 def test_topic_tag_exclusive_and_case_sensitive(spark):
