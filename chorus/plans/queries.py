@@ -788,6 +788,32 @@ def welch_pvalue(spark, sf):
                     *_r6("mean_b", "var_b", "t", "df", "p"))
 
 
+@query("period_ttest", "WITH RECURSIVE " + COMMENTS + """,
+m AS (
+  SELECT count(score) FILTER (WHERE created_date >= DATE '2023-10-01'
+                                AND created_date < DATE '2023-11-01') AS n_a,
+         avg(score) FILTER (WHERE created_date >= DATE '2023-10-01'
+                              AND created_date < DATE '2023-11-01') AS mean_a,
+         var_samp(score) FILTER (WHERE created_date >= DATE '2023-10-01'
+                                   AND created_date < DATE '2023-11-01') AS var_a,
+         count(score) FILTER (WHERE created_date >= DATE '2024-11-01'
+                                AND created_date < DATE '2024-12-01') AS n_b,
+         avg(score) FILTER (WHERE created_date >= DATE '2024-11-01'
+                              AND created_date < DATE '2024-12-01') AS mean_b,
+         var_samp(score) FILTER (WHERE created_date >= DATE '2024-11-01'
+                                   AND created_date < DATE '2024-12-01') AS var_b
+  FROM comments)""" + PVALUE_SQL)
+def period_ttest(spark, sf):
+    """The analysis's period comparison: Welch t, df and two-sided p of the
+    scores of October 2023 against November 2024."""
+    c = _comments(spark, sf, text_work=False)
+    r = stats.welch_ttest(
+        c, "score", filters.period_condition(c, "created_date", 2023, 10),
+        filters.period_condition(c, "created_date", 2024, 11))
+    return r.select("n_a", *_r6("mean_a", "var_a"), "n_b",
+                    *_r6("mean_b", "var_b", "t", "df", "p"))
+
+
 # =============================================================== text
 def _stop_sql():
     return in_list(english_stop_words())
