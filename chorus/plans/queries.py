@@ -589,6 +589,47 @@ def value_counts_total(spark, sf):
     return agg.value_counts_total(c, "sentiment_label")
 
 
+@query("cohort_label_counts", with_(COMMENTS) + """
+SELECT sentiment_label, count(*) AS count,
+       CAST(sum(count(*)) OVER () AS BIGINT) AS total
+FROM (SELECT CASE WHEN score > 0.05 THEN 'Positive'
+                  WHEN score < -0.05 THEN 'Negative' ELSE 'Neutral' END
+               AS sentiment_label
+      FROM comments
+      WHERE self_text IS NOT NULL
+        AND (contains(lower(self_text), 'with') OR contains(lower(self_text), 'this')))
+GROUP BY sentiment_label""")
+def cohort_label_counts(spark, sf):
+    """Label distribution (with total) of a keyword cohort."""
+    c = _comments(spark, sf).withColumn("sentiment_label",
+                                        score_label("score"))
+    cohort = filters.keyword_any(c.filter(F.col("self_text").isNotNull()),
+                                 "self_text", ["with", "this"])
+    return agg.value_counts_total(cohort, "sentiment_label")
+
+
+@query("group_label_counts", with_(COMMENTS) + """
+SELECT sentiment_label, count(*) AS count,
+       CAST(sum(count(*)) OVER () AS BIGINT) AS total
+FROM (SELECT CASE WHEN score > 0.05 THEN 'Positive'
+                  WHEN score < -0.05 THEN 'Negative' ELSE 'Neutral' END
+               AS sentiment_label
+      FROM comments
+      WHERE self_text IS NOT NULL
+        AND (contains(lower(self_text), 'with') OR contains(lower(self_text), 'this'))
+        AND contains(lower(self_text), 'was'))
+GROUP BY sentiment_label""")
+def group_label_counts(spark, sf):
+    """Label distribution (with total) of a cohort matching every keyword
+    group: (with or this) and was."""
+    c = _comments(spark, sf).withColumn("sentiment_label",
+                                        score_label("score"))
+    cohort = filters.keyword_all_groups(
+        c.filter(F.col("self_text").isNotNull()), "self_text",
+        [["with", "this"], ["was"]])
+    return agg.value_counts_total(cohort, "sentiment_label")
+
+
 PERIODS = {"2023-10": (2023, 10), "2024-11": (2024, 11)}
 
 
