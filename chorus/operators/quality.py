@@ -178,7 +178,7 @@ def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation]
     for i, e in enumerate(expectations):
         n, m, u = F.col("_n"), F.col(f"_m{i}"), F.col(f"_u{i}")
         base = n if e.kind == "not_null" else n - m
-        pct = F.when(base > 0, u * 100.0 / base)
+        pct = F.when(base > 0, F.try_divide(u.cast("double") * 100, base))
         rows.append(F.struct(
             F.lit(suite).alias("suite"), F.lit(e.name).alias("expectation"),
             F.lit(e.column).alias("column"), n.alias("element_count"),

@@ -107,13 +107,17 @@ def welch_moments(df: DataFrame, value: str, a: Column, b: Column
 def welch_from_moments(m: DataFrame) -> DataFrame:
     """Adds t and df; null when a side has fewer than two values or both
     variances are zero."""
-    sa = F.col("var_a") / F.col("n_a")
-    sb = F.col("var_b") / F.col("n_b")
+    # try_divide: a zero divisor gives null instead of an ANSI error, even
+    # where Spark evaluates a guarded branch eagerly.
+    div = F.try_divide
+    sa = div(F.col("var_a"), F.col("n_a"))
+    sb = div(F.col("var_b"), F.col("n_b"))
     se2 = sa + sb
     ok = (F.col("n_a") >= 2) & (F.col("n_b") >= 2) & (se2 > 0)
-    t = F.when(ok, (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2))
-    dof = F.when(ok, se2 * se2 / (sa * sa / (F.col("n_a") - 1)
-                                  + sb * sb / (F.col("n_b") - 1)))
+    t = F.when(ok, div(F.col("mean_a") - F.col("mean_b"), F.sqrt(se2)))
+    dof = F.when(ok, div(se2 * se2,
+                         div(sa * sa, F.col("n_a") - 1)
+                         + div(sb * sb, F.col("n_b") - 1)))
     return m.withColumns({"t": t, "df": dof})
 
 

@@ -104,7 +104,7 @@ def fused_counts(feats: DataFrame, author: str, id_col: str, text: str,
         # happen exactly once.
         pre = cut_lineage(pre)
     mean = lambda sm, ct: F.coalesce(
-        F.when(F.sum(ct) > 0, F.sum(sm) / F.sum(ct)), F.lit(0.0))
+        F.when(F.sum(ct) > 0, F.try_divide(F.sum(sm), F.sum(ct))), F.lit(0.0))
     stance = (pre.filter(F.col(author).isNotNull()).groupBy(author)
               .agg(mean("_sa", "_ca").alias("score_a"),
                    mean("_sb", "_cb").alias("score_b"),

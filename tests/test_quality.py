@@ -54,3 +54,10 @@ def test_column_names_resolve_case_insensitively(spark):
     r = q.run_suite(df, "s", [q.between("Events", 0, None),
                               q.of_type("EVENTS", "int")]).collect()
     assert [x.unexpected_count for x in r] == [1, 0]
+
+
+def test_all_missing_column_gives_null_percent(spark):
+    df = spark.createDataFrame([(None,), (None,)], "s string")
+    r = q.run_suite(df, "s", [q.in_set("s", ["a"]), q.not_null("s")]).collect()
+    assert r[0].unexpected_percent is None and r[0].success
+    assert r[1].unexpected_percent == 100.0 and not r[1].success

@@ -282,3 +282,11 @@ def test_month_level_join_uses_distinct_months(spark):
     fact = spark.createDataFrame([("02-2016", 5)], "month_year string, n int")
     assert fact.join(dim, "month_year").count() == 29          # fans out
     assert fact.join(months, "month_year").count() == 1
+
+
+def test_welch_zero_variance_gives_null_not_error(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 2.0),
+                                ("b", 2.0)], "g string, v double")
+    r = stats.welch_ttest(df, "v", F.col("g") == "a", F.col("g") == "b").first()
+    assert (r.n_a, r.n_b, r.var_a, r.var_b) == (2, 2, 0.0, 0.0)
+    assert r.t is None and r.df is None and r.p is None
