@@ -25,6 +25,24 @@ def side_conditions(text, kw_a, kw_b, mode: str = "substring",
     return a & ~b, b & ~a
 
 
+# Side sums are accumulated as exact decimals: the stance compares two
+# means, and with floating-point sums an exact tie could flip with the order
+# in which partial sums meet (a different partitioning, or a re-aggregation
+# of partial groups).  Decimal sums are exact in any order; the mean keeps
+# 18 decimal places.
+EXACT = "decimal(38,18)"
+
+
+def exact_score(score) -> Column:
+    s = F.col(score) if isinstance(score, str) else score
+    return s.try_cast(EXACT)
+
+
+def exact_mean(total, count) -> Column:
+    """Mean from an exact sum and a count; 0 when there is no value."""
+    return F.coalesce(F.try_divide(total, count), F.lit(0).cast(EXACT))
+
+
 def _classify(df: DataFrame, label_a: str, label_b: str) -> DataFrame:
     return df.withColumn(
         "stance",
@@ -47,17 +65,24 @@ def author_stance_onepass(comments: DataFrame, author: str, text: str,
     # No filter before the aggregate: Catalyst would push it below the
     # projection and evaluate the text tests twice; here each is computed
     # once per row and rows of neither side only touch the partial buffer.
-    flags = comments.select(author, s.alias("_s"), only_a.alias("_a"),
-                            only_b.alias("_b"))
+    flags = comments.select(author, exact_score(s).alias("_x"),
+                            only_a.alias("_a"), only_b.alias("_b"))
+    x = F.col("_x")
     agg = (flags.filter(F.col(author).isNotNull())
            .groupBy(author)
-           .agg(F.avg(F.when(F.col("_a"), F.col("_s"))).alias("score_a"),
-                F.avg(F.when(F.col("_b"), F.col("_s"))).alias("score_b"),
+           .agg(F.sum(F.when(F.col("_a"), x)).alias("_xa"),
+                F.count(F.when(F.col("_a"), x)).alias("_na"),
+                F.sum(F.when(F.col("_b"), x)).alias("_xb"),
+                F.count(F.when(F.col("_b"), x)).alias("_nb"),
                 F.max(F.col("_a") | F.col("_b")).alias("_sided")))
     agg = agg.filter(F.col("_sided")).select(
-        author, F.coalesce("score_a", F.lit(0.0)).alias("score_a"),
-        F.coalesce("score_b", F.lit(0.0)).alias("score_b"))
-    return _classify(agg, label_a, label_b)
+        author, exact_mean("_xa", "_na").alias("_ma"),
+        exact_mean("_xb", "_nb").alias("_mb"))
+    agg = agg.select(author, F.col("_ma").cast("double").alias("score_a"),
+                     F.col("_mb").cast("double").alias("score_b"),
+                     F.when(F.col("_mb") > F.col("_ma"), label_b)
+                     .otherwise(label_a).alias("stance"))
+    return agg
 
 
 def author_stance(comments: DataFrame, author: str, text: str, score: str,

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorus.functions.labels import NEUTRAL, score_label, topic_tag
-from chorus.operators.stance import author_stance_onepass, side_conditions
+from chorus.operators.stance import (author_stance_onepass, exact_mean,
+                                     exact_score, side_conditions)
 from chorus.session import cut_lineage
 
 EXTRACT_KEYS = {
@@ -88,7 +89,8 @@ def fused_counts(feats: DataFrame, author: str, id_col: str, text: str,
                                      case_sensitive)
     s = F.col(score)
     row_keys = [k for k in keys if k != "stance"]
-    pre = (feats.select(author, *row_keys, id_col, s.alias("_s"),
+    pre = (feats.select(author, *row_keys, id_col,
+                        exact_score(s).alias("_s"),
                         only_a.alias("_a"), only_b.alias("_b"))
            .groupBy(author, *row_keys)
            .agg(F.count(id_col).alias("_n"),
@@ -103,11 +105,11 @@ def fused_counts(feats: DataFrame, author: str, id_col: str, text: str,
         # pre-aggregate (reliably, in the shared folder) makes the text scan
         # happen exactly once.
         pre = cut_lineage(pre)
-    mean = lambda sm, ct: F.coalesce(
-        F.when(F.sum(ct) > 0, F.try_divide(F.sum(sm), F.sum(ct))), F.lit(0.0))
+    # Exact (decimal) side sums: re-aggregating partial groups cannot
+    # change the comparison of two means (see stance.exact_mean).
     stance = (pre.filter(F.col(author).isNotNull()).groupBy(author)
-              .agg(mean("_sa", "_ca").alias("score_a"),
-                   mean("_sb", "_cb").alias("score_b"),
+              .agg(exact_mean(F.sum("_sa"), F.sum("_ca")).alias("score_a"),
+                   exact_mean(F.sum("_sb"), F.sum("_cb")).alias("score_b"),
                    F.max("_sided").alias("_sided"))
               .filter(F.col("_sided"))
               .select(author, F.when(F.col("score_b") > F.col("score_a"),

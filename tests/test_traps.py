@@ -290,3 +290,17 @@ def test_welch_zero_variance_gives_null_not_error(spark):
     r = stats.welch_ttest(df, "v", F.col("g") == "a", F.col("g") == "b").first()
     assert (r.n_a, r.n_b, r.var_a, r.var_b) == (2, 2, 0.0, 0.0)
     assert r.t is None and r.df is None and r.p is None
+
+
+def test_stance_tie_is_exact_under_any_partitioning(spark):
+    # Same multiset of scores on both sides: an exact tie, which goes to A.
+    # Float sums of 0.1, 0.2, 0.3 differ with order; exact sums do not.
+    rows = [(1, "u", "alpha", 0.3, None), (2, "u", "alpha", 0.2, None),
+            (3, "u", "alpha", 0.1, None), (4, "u", "beta", 0.1, None),
+            (5, "u", "beta", 0.2, None), (6, "u", "beta", 0.3, None)]
+    c = _comments(spark, rows)
+    for n in (1, 3, 7):
+        got = st.author_stance_onepass(c.repartition(n), "author_name",
+                                       "self_text", "score", ["alpha"],
+                                       ["beta"]).first()
+        assert got.stance == "Pro A" and got.score_a == got.score_b
