@@ -3,8 +3,8 @@
 A gear hash rolls over the bytes of each text; a chunk ends where its low
 bits are zero, so borders depend on the last ``WINDOW`` bytes only and an
 insertion shifts no border beyond its surroundings.  Chunks are named by
-their digest; of equal chunks the one in the document with the smallest id
-stays, and runs of repeated chunks with the same keeper form a span.
+their digest; of equal chunks those in the document with the smallest id stay, and
+runs of repeated chunks with the same keeper form a span.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ WINDOW = 32
 #: A border every 2**MASK_BITS bytes on average, beyond the shortest chunk.
 MASK_BITS = 5
 #: Longest chunk.
-MAX_CHUNK = 1024
+MAX_CHUNK = 256
+#: Shortest span that is reported; shorter repeats are lines and stock phrases.
+MIN_SPAN = 128
 #: Bytes hashed at a time.
 BLOCK = 1 << 22
 
@@ -83,13 +85,13 @@ def _cut(starts_character: np.ndarray, at: int) -> int:
     return at
 
 
-CHUNK = ("doc_id long, doc_key long, chunk int, first boolean, start long, "
-         "end long, n_bytes int, digest binary")
+CHUNK = ("doc_id long, doc_key long, chunk int, start long, end long, "
+         "n_bytes int, digest binary")
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "doc_key", "chunk", "first", "start", "end", "n_bytes", "digest"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(),
+    names = ["doc_id", "doc_key", "chunk", "start", "end", "n_bytes", "digest"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
              pa.int32(), pa.binary()]
 
     def out(cols):
@@ -105,13 +107,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = borders(x)
             starts = [0, *ends[:-1]]
             digests = [blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts, ends)]
-            met: set = set()
-            first = [not (d in met or met.add(d)) for d in digests]
             # Code points before each border.
             points = np.cumsum((x & 0xC0) != 0x80)
             char_ends = points[np.array(ends, np.int64) - 1].tolist() if ends else []
             n = len(ends)
-            for c, v in zip(cols, ([doc_id] * n, [key] * n, range(n), first,
+            for c, v in zip(cols, ([doc_id] * n, [key] * n, range(n),
                                    [0, *char_ends[:-1]] if n else [], char_ends,
                                    [b - a for a, b in zip(starts, ends)], digests)):
                 c.extend(v)
@@ -124,8 +124,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The chunks of every text: doc_id, doc_key (hash of id and text), chunk
-    number, first (no equal chunk before it in the text), start and end (code
-    points), n_bytes and digest.  Null and empty texts have none."""
+    number, start and end (code points), n_bytes and digest.  Null and empty texts have none."""
     prepare(docs.sparkSession)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc_key"),
@@ -134,36 +133,36 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             .mapInArrow(_chunks, CHUNK))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   min_span: int = MIN_SPAN) -> DataFrame:
     """One row per repeated span: doc_id, doc_key, start and end (code
     points), n_bytes, n_chunks and keep_doc_id, the document whose copy stays.
 
     A chunk is repeated when an equal one occurs in a document with a smaller
-    id, or before it in the same text; consecutive repeated chunks with the
-    same keeper are one span.  Null ids rank last.  Rows that share an id are
-    one document: repeats among them are not reported, and equal rows report
-    their spans once.  Documents without a repeat have no row.
+    id; consecutive repeated chunks with the same keeper are one span, and
+    spans of at least ``min_span`` bytes are reported.  Repeats within one
+    document (a refrain, a ruled table) are left alone.  Null ids rank last.
+    Rows that share an id are one document; equal rows report their spans
+    once.  Documents without a repeat have no row.
     """
     found = stage(chunks(docs, id_col, text_col))
     # Chunks of one digest are counted before the shuffle, so a passage that a
     # third of all documents share costs one row per task.
     groups = (found.groupBy("digest")
-              .agg(F.min("doc_id").alias("keep_doc_id"),
-                   F.max("n_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_n"))
-              .filter("_n > 1").drop("_n"))
+              .agg(F.min("doc_id").alias("keep_doc_id"), F.max("doc_id").alias("_last"),
+                   F.max("n_bytes").alias("_bytes"), F.count("doc_id").alias("_ids"),
+                   F.count(F.lit(1)).alias("_n"))
+              .filter("keep_doc_id < _last OR (_ids > 0 AND _ids < _n)")
+              .select(F.col("digest").alias("_d"), "_bytes", "keep_doc_id"))
     # Joined on digest and length: the length needs a shuffle of both sides,
     # and AQE may then split a digest with very many chunks.
-    repeats = (found.join(groups.withColumnRenamed("digest", "_d"),
-                          (F.col("digest") == F.col("_d")) & (F.col("n_bytes") == F.col("_bytes")))
-               .filter(~F.col("first") | F.coalesce(
-                   F.col("doc_id") > F.col("keep_doc_id"),
-                   F.col("doc_id").isNull() & F.col("keep_doc_id").isNotNull()))
+    repeats = (found.join(groups, (F.col("digest") == F.col("_d"))
+                          & (F.col("n_bytes") == F.col("_bytes")))
+               .filter((F.col("doc_id") > F.col("keep_doc_id")) | F.col("doc_id").isNull())
                .select("doc_id", "doc_key", "chunk", "start", "end", "n_bytes", "keep_doc_id"))
     run = Window.partitionBy("doc_id", "doc_key").orderBy("chunk")
-    keeper = F.coalesce(F.col("keep_doc_id"), F.lit(-1))
     fresh = (F.col("chunk") != F.lag("chunk").over(run) + 1) \
-        | (keeper != F.lag(keeper).over(run))
+        | (F.col("keep_doc_id") != F.lag("keep_doc_id").over(run))
     return (repeats.distinct()
             .withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
             .withColumn("_run", F.sum("_new").over(run))
@@ -171,7 +170,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id",
             .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                  F.sum("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("n_chunks"),
                  F.min("keep_doc_id").alias("keep_doc_id"))
-            .drop("_run"))
+            .filter(F.col("n_bytes") >= min_span).drop("_run"))
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id",
