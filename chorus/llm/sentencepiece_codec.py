@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -99,20 +100,45 @@ def automaton(pieces: Pieces):
     return a
 
 
+class _Parts(dict):
+    """part -> its piece ids as int32 bytes.  Two generations: when the young
+    one is full it becomes the old one, whose parts come back when met."""
+
+    def __init__(self, search, limit: int = MEMO_PARTS):
+        super().__init__()
+        self.search, self.limit, self.old = search, limit, {}
+
+    def __missing__(self, part: str) -> bytes:
+        raw = self.old.get(part)
+        if raw is None:
+            raw = array("i", self.search(part)[0]).tobytes()
+        if len(part) <= 64:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[part] = raw
+        return raw
+
+
 class Codec:
     """Encodes and decodes, with a bounded memory of parts."""
 
     def __init__(self, pieces: Pieces):
-        self.cuts, self.byte_ids, self.memo = pieces.cuts, pieces.bytes, {}
+        self.cuts, self.byte_ids = pieces.cuts, pieces.bytes
         self.automaton = automaton(pieces)
-        self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.singles = frozenset(t for t, _, v in pieces.pieces
                                  if len(t) == 1 and v > BYTE_SCORE)
+        self.memo = _Parts(self.viterbi)
+        self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.mark = np.array([pieces.bytes[b] for b in MARK.encode()], np.int32).tobytes()
         self.text_of = [b""] * pieces.n_ids
-        for text, i, _ in pieces.pieces:
+        self.score_of = np.zeros(pieces.n_ids)
+        for text, i, score in pieces.pieces:
             self.text_of[i] = text.replace(MARK, " ").encode()
+            self.score_of[i] = score
         for b, i in enumerate(pieces.bytes):
             self.text_of[i] = bytes([b])
+            self.score_of[i] = BYTE_SCORE
 
     def viterbi(self, s: str) -> tuple[list[int], float]:
         """Best path over ``s``; of equal scores the longer last piece."""
@@ -152,49 +178,42 @@ class Codec:
         """The same where every character is a piece: bytes, which score less
         than any piece, are then on no best path.  The automaton names the
         longest piece of a position first, so it also wins ties."""
-        best = [0.0] + [-math.inf] * len(s)
-        back: list = [None] * (len(s) + 1)
+        n = len(s)
+        best = [-math.inf] * n
+        best.append(0.0)                   # best[-1]: nothing read yet
+        back: list = [None] * n
         for end, piece in self.automaton.iter(s):
-            end += 1
-            v = best[end - piece[0]] + piece[2]
+            length, _, score = piece
+            v = best[end - length] + score
             if v > best[end]:
-                best[end], back[end] = v, piece
-        ids, at = [], len(s)
-        while at:
-            piece = back[at]
-            ids.append(piece[1])
-            at -= piece[0]
+                best[end] = v
+                back[end] = piece
+        ids, at = [], n - 1
+        while at >= 0:
+            length, i, _ = back[at]
+            ids.append(i)
+            at -= length
         ids.reverse()
-        return ids, best[-1]
+        return ids, best[n - 1]
 
-    def encode(self, text: str) -> tuple[list[int], float]:
-        """Piece ids and path score of a text ([] and 0 for an empty one)."""
+    def encode(self, text: str) -> np.ndarray:
+        """Piece ids of a text (none for an empty one)."""
         if not text:
-            return [], 0.0
-        ids: list[int] = []
-        total = 0.0
+            return np.zeros(0, np.int32)
+        out: list[bytes] = []
         for k, stretch in enumerate((" " + text).split(MARK)):
             if k:                           # a U+2581 of the text itself
-                ids += [self.byte_ids[b] for b in MARK.encode()]
-                total += BYTE_SCORE * len(MARK.encode())
-            total += self._stretch(stretch.replace(" ", MARK), ids)
-        return ids, total
-
-    def _stretch(self, marked: str, ids: list[int]) -> float:
-        total, memo = 0.0, self.memo
-        for part in self.parts.findall(marked) if self.cuts else [marked] if marked else []:
-            hit = memo.get(part)
-            if hit is None:
-                hit = self.viterbi(part)
-                if len(part) <= 64:
-                    if len(memo) >= MEMO_PARTS:
-                        memo.clear()
-                    memo[part] = hit
-            ids += hit[0]
-            total += hit[1]
-        return total
-
-    def decode(self, ids: list[int]) -> str:
+                out.append(self.mark)
+            marked = stretch.replace(" ", MARK)
+            out += map(self.memo.__getitem__, self.parts.findall(marked) if self.cuts
+                       else [marked] if marked else [])
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def score(self, ids: np.ndarray) -> float:
+        return float(self.score_of[ids].sum())
+
+    def decode(self, ids) -> str:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8")[1:]
 
 
@@ -205,25 +224,28 @@ def codec(pieces: Pieces) -> Codec:
 
 
 def encode_udf(pieces: Pieces):
-    """Column function text -> struct(ids, score); null for a null text."""
-    out = pa.struct([("ids", pa.list_(pa.int32())), ("score", pa.float64())])
+    """Column function text -> struct(ids, score, round_trip), where
+    round_trip tells that the ids decode to the text; null for a null text."""
+    fields = [pa.field("ids", pa.list_(pa.int32())), pa.field("score", pa.float64()),
+              pa.field("round_trip", pa.bool_())]
 
-    @F.arrow_udf("struct<ids: array<int>, score: double>")
+    @F.arrow_udf("struct<ids: array<int>, score: double, round_trip: boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = codec(pieces).encode
+        own = codec(pieces)
         for texts in batches:
-            counts, flat, scores = [0], [], []
+            flat, scores, back = [np.zeros(0, np.int32)], [], []
             for t in texts:
-                ids, score = encode(t.as_py() or "")
-                flat.append(np.array(ids, np.int32))
-                counts.append(counts[-1] + len(ids))
-                scores.append(score)
-            lists = pa.ListArray.from_arrays(
-                pa.array(counts, pa.int32()),
-                pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
+                text = t.as_py() or ""
+                ids = own.encode(text)
+                flat.append(ids)
+                scores.append(own.score(ids))
+                back.append(own.decode(ids) == text)
+            ends = np.cumsum([len(ids) for ids in flat], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                             pa.array(np.concatenate(flat)))
             yield pa.StructArray.from_arrays(
-                [lists, pa.array(scores, pa.float64())], fields=list(out),
-                mask=texts.is_null())
+                [lists, pa.array(scores, pa.float64()), pa.array(back, pa.bool_())],
+                fields=fields, mask=texts.is_null())
     return run.asNondeterministic()
 
 
@@ -248,10 +270,9 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     """
     prepare(docs.sparkSession)
     pieces = load_pieces(model_path)
-    encoded = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
-               .withColumn("_e", encode_udf(pieces)(F.col("_t"))))
-    return (encoded.withColumn("_d", decode_udf(pieces)(F.col("_e.ids")))
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
+            .select("doc_id", encode_udf(pieces)(F.col("_t")).alias("_e"))
             .select("doc_id", F.col("_e.ids").alias("ids"),
                     F.coalesce(F.size("_e.ids"), F.lit(0)).alias("n_pieces"),
                     F.col("_e.score").alias("score"),
-                    F.col("_d").eqNullSafe(F.col("_t")).alias("round_trip")))
+                    F.coalesce(F.col("_e.round_trip"), F.lit(True)).alias("round_trip")))
