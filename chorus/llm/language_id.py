@@ -27,7 +27,7 @@ from chorus.llm.common import prepare
 
 UND = "und"
 #: Hashed features (a power of two); feature 0 is never used.
-BUCKET_BITS = 15
+BUCKET_BITS = 14
 #: Documents per language that the machines are fitted on, about.
 SAMPLE = 400
 #: Languages that a label column may hold.
@@ -113,34 +113,46 @@ def histogram(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 # ------------------------------------------------------------------ machines
 def fit_svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by accelerated gradient steps.
+    """Linear machine with squared hinge loss, by accelerated gradient steps;
+    ``x`` is scaled in place.
 
     Features are scaled by the square root of their mean share, so that rare
     n-grams count beside common ones; the scale is folded into the weights.
     """
-    scale = 1.0 / np.sqrt(x.mean(axis=0) + 1e-6)
-    z = x * scale
-    z = np.hstack([z, np.ones((len(z), 1))])
+    scale = (1.0 / np.sqrt(x.mean(axis=0) + 1e-6)).astype(x.dtype)
+    x *= scale                                 # in place: one matrix per task
     n = np.where(y > 0, (y > 0).sum(), (y < 0).sum())       # classes weigh alike
-    weight = 0.5 / n
-    lipschitz = 2 * np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2 + REGULAR
-    w = v = np.zeros(z.shape[1])
+    weight = (0.5 / n).astype(x.dtype)
+    lipschitz = 2.2 * _largest_eigenvalue(x, weight) + REGULAR
+    w = v = np.zeros(x.shape[1] + 1, x.dtype)  # the last weight is the bias
     for t in range(1, STEPS + 1):
-        slack = np.maximum(0.0, 1.0 - y * (z @ v))
-        gradient = REGULAR * v - 2 * z.T @ (weight * y * slack)
+        pull = weight * y * np.maximum(0.0, 1.0 - y * (x @ v[:-1] + v[-1]))
+        gradient = REGULAR * v - 2 * np.append(x.T @ pull, pull.sum())
         step = v - gradient / lipschitz
         v, w = step + (t - 1) / (t + 2) * (step - w), step
-    return w[:-1] * scale, float(w[-1])
+    return (w[:-1] * scale).astype(np.float64), float(w[-1])
+
+
+def _largest_eigenvalue(x: np.ndarray, weight: np.ndarray) -> float:
+    """Of the weighted Gram matrix with a bias column, by power iteration."""
+    u = np.ones(x.shape[1] + 1, x.dtype)
+    size = 1.0
+    for _ in range(30):
+        u = u / size
+        r = weight * (x @ u[:-1] + u[-1])
+        u = np.append(x.T @ r, r.sum())
+        size = float(np.linalg.norm(u)) or 1.0
+    return size
 
 
 def _fit_group(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by([("h", "ascending"), ("lang", "ascending")])
-    x = np.zeros((rows.num_rows, 1 << BUCKET_BITS), np.float32)
+    used = np.unique(rows["index"].combine_chunks().flatten().to_numpy())
+    x = np.zeros((rows.num_rows, len(used)), np.float32)
     for i, (index, share) in enumerate(zip(rows["index"], rows["share"])):
-        x[i, index.values.to_numpy()] = share.values.to_numpy()
-    used = np.flatnonzero(x.any(axis=0))
-    y = rows["side"].to_numpy().astype(np.float64)
-    w, bias = fit_svm(x[:, used].astype(np.float64), y)
+        x[i, np.searchsorted(used, index.values.to_numpy())] = share.values.to_numpy()
+    y = rows["side"].to_numpy().astype(np.float32)
+    w, bias = fit_svm(x, y)
     return pa.table({"machine": rows["machine"].slice(0, 1),
                      "index": pa.array([used.astype(np.int32)], pa.list_(pa.int32())),
                      "weight": pa.array([w], pa.list_(pa.float64())),

@@ -37,7 +37,7 @@ MARK = "▁"
 #: Score of one byte piece.
 BYTE_SCORE = -30.0
 #: Remembered parts per worker; beyond it the memory starts afresh.
-MEMO_PARTS = 300_000
+MEMO_PARTS = 200_000
 
 
 @dataclass(frozen=True, eq=False)
