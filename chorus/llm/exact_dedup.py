@@ -104,10 +104,11 @@ def _scratch() -> str | None:
 
 def _read_spill(path: str) -> Iterator[Record]:
     with open(path, "rb") as f:
-        unpickler = pickle.Unpickler(f)
         while True:
             try:
-                yield from unpickler.load()
+                # A fresh unpickler for each batch: a kept one would resolve
+                # repeated objects against the batches before.
+                yield from pickle.load(f)
             except EOFError:
                 return
 
