@@ -85,31 +85,37 @@ def _normalise(s, alpha: float, places: int):
 
 
 def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
-                 rules: Rules | None = None, every_row: bool = False,
+                 rules: Rules | None = None,
                  lexicon_rows: int | None = None) -> DataFrame:
-    """(id, _s): summed valence per text.
+    """(id, _d, _n, _s): per id and text (``_d`` is the text's digest) the
+    number of rows that hold it and the summed valence of one of them.
 
     Only lexicon hits survive the (inner, broadcast) join, so the aggregate
-    sees hits rather than every token.  By default only texts with at least
-    one hit are returned; ``every_row`` adds one null row per input text
-    (a union of its ids), so every text is listed (``_s`` null without a
-    hit) and the caller needs no join back.
+    sees hits rather than every token.  One row per input row is added by a
+    union: it lists every text (``_s`` is null without a hit) and counts
+    repeated rows, whose hits are summed together and divided again.
+    A term that the lexicon repeats counts once, with its smallest valence;
+    terms match in lower case.
     """
-    lex = small_side(lexicon.select("term", F.col("valence").cast("double")),
-                     LEXICON_MAX_ROWS, lexicon_rows)
+    terms = (lexicon.select(F.lower("term").alias("term"),
+                            F.col("valence").cast("double").alias("valence"))
+             .groupBy("term").agg(F.min("valence").alias("valence")))
+    lex = small_side(terms, LEXICON_MAX_ROWS, lexicon_rows)
+    df = df.withColumn("_d", text_digest(F.col(text)))
+    key = [id_col, "_d"]
 
     def with_every_row(hits: DataFrame, cols: list[str]) -> DataFrame:
-        if not every_row:
-            return hits
-        zeros = df.select(id_col, *[F.lit(None).cast("double").alias(c)
-                                    for c in cols])
-        return hits.unionByName(zeros)
+        rows = df.select(*key, *[F.lit(None).cast("double").alias(c)
+                                 for c in cols], F.lit(1).alias("_row"))
+        return hits.withColumn("_row", F.lit(None).cast("int")).unionByName(rows)
+
+    n, total = F.count("_row"), F.sum("_v")
 
     if rules is None:
-        hits = (df.select(id_col, F.explode(tokens(F.col(text))).alias("term"))
-                .join(lex, "term").select(id_col, F.col("valence").alias("_v")))
-        return (with_every_row(hits, ["_v"]).groupBy(id_col)
-                .agg(F.sum("_v").alias("_s")))
+        hits = (df.select(*key, F.explode(tokens(F.col(text))).alias("term"))
+                .join(lex, "term").select(*key, F.col("valence").alias("_v")))
+        return (with_every_row(hits, ["_v"]).groupBy(*key)
+                .agg(n.alias("_n"), F.try_divide(total, n).alias("_s")))
     win = len(rules.decay)
     # Each token with its 1-based position and the tokens 1..win before it
     # (null at the start), built by one higher-order pass over the
@@ -124,12 +130,12 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         carried.append("_amp")
     if rules.caps:
         orig = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 0)
-        arr = df.select(id_col, orig.alias("_orig"),
+        arr = df.select(*key, orig.alias("_orig"),
                         *([F.col(text)] if rules.punctuation else []))
         up = F.transform(F.col("_orig"), lambda t: (t == F.upper(t))
                          & (t != F.lower(t)))
         arr = arr.select(
-            id_col, F.transform(F.col("_orig"), F.lower).alias("_toks"),
+            *key, F.transform(F.col("_orig"), F.lower).alias("_toks"),
             up.alias("_up"),
             *([F.col(text)] if rules.punctuation else []))
         n_up = F.size(F.filter(F.col("_up"), lambda u: u))
@@ -137,12 +143,12 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                      .alias("_capdiff"))
         carried.append("_capdiff")
     else:
-        arr = df.select(id_col, tokens(F.col(text)).alias("_toks"),
+        arr = df.select(*key, tokens(F.col(text)).alias("_toks"),
                         *([F.col(text)] if rules.punctuation else []))
     # Per-text values are computed once per text, in a projection below
     # the explode (inside the generator's select they would be evaluated
     # once per token).
-    arr = arr.select(id_col, "_toks", *(["_up"] if rules.caps else []),
+    arr = arr.select(*key, "_toks", *(["_up"] if rules.caps else []),
                      *extra)
     toks = F.col("_toks")
     ups = F.col("_up")
@@ -158,8 +164,8 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         return F.struct(*fields)
 
     items = F.transform(toks, item)
-    rows = (arr.select(id_col, *carried, F.explode(items).alias("it"))
-            .select(id_col, *carried, "it.*")
+    rows = (arr.select(*key, *carried, F.explode(items).alias("it"))
+            .select(*key, *carried, "it.*")
             .join(lex, "term"))
     v = F.col("valence")
     if rules.caps:
@@ -192,43 +198,59 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                      .when((ci > 0) & (pos > ci), F.lit(CONTRAST_AFTER))
                      .otherwise(F.lit(1.0)))
     if not rules.punctuation:
-        hits = rows.select(id_col, adj.alias("_v"))
-        return (with_every_row(hits, ["_v"]).groupBy(id_col)
-                .agg(F.sum("_v").alias("_s")))
-    hits = rows.select(id_col, adj.alias("_v"), F.col("_amp"))
-    sums = (with_every_row(hits, ["_v", "_amp"]).groupBy(id_col)
-            .agg(F.sum("_v").alias("_s0"), F.max("_amp").alias("_amp")))
+        hits = rows.select(*key, adj.alias("_v"))
+        return (with_every_row(hits, ["_v"]).groupBy(*key)
+                .agg(n.alias("_n"), F.try_divide(total, n).alias("_s")))
+    hits = rows.select(*key, adj.alias("_v"), F.col("_amp"))
+    sums = (with_every_row(hits, ["_v", "_amp"]).groupBy(*key)
+            .agg(n.alias("_n"), F.try_divide(total, n).alias("_s0"),
+                 F.max("_amp").alias("_amp")))
     s0, amp = F.col("_s0"), F.col("_amp")
-    return sums.select(id_col, F.when(s0 > 0, s0 + amp)
+    return sums.select(*key, "_n", F.when(s0 > 0, s0 + amp)
                        .when(s0 < 0, s0 - amp).otherwise(s0).alias("_s"))
 
 
+def text_digest(text):
+    """Tells texts under one id apart; null and the empty text differ."""
+    return F.xxhash64(text, text.isNull())
+
+
 def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                   out: str = "sentiment_score", rules: Rules | None = None,
                   alpha: float = ALPHA, places: int = 4,
                   score_type: str = "double",
                   lexicon_rows: int | None = None) -> DataFrame:
-    """``df`` with a sentiment score column (``id_col`` must be unique).
-    ``lexicon_rows``: the lexicon's size when the caller knows it."""
+    """``df`` with a sentiment score column; every row is scored by its own
+    text, however often its id occurs.
+    ``lexicon_rows``: the lexicon's size when the caller knows it.
+
+    The texts' digests are compared beside the join on the id, not as a key
+    of it, so a table bucketed by id still joins without a shuffle.
+    """
     sums = lexicon_sums(df, id_col, text, lexicon, rules,
-                        lexicon_rows=lexicon_rows)
+                        lexicon_rows=lexicon_rows) \
+        .withColumnsRenamed({id_col: "_id", "_d": "_sd"}).drop("_n")
     s = _normalise(F.col("_s"), alpha, places)
     if score_type == "float":
         s = s.cast("float")
-    return df.join(sums, id_col, "left").withColumn(out, s).drop("_s")
+    left = df.withColumn("_d", text_digest(F.col(text)))
+    same = (left[id_col] == sums["_id"]) \
+        & (left["_d"].bitwiseXOR(sums["_sd"]) == 0)
+    return left.join(sums, same, "left").withColumn(out, s) \
+        .drop("_s", "_d", "_sd", "_id")
 
 
 def lexicon_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                    out: str = "sentiment_score", rules: Rules | None = None,
                    alpha: float = ALPHA, places: int = 4,
                    lexicon_rows: int | None = None) -> DataFrame:
-    """(id, score) for every row of ``df``.
+    """(id, score) for every row of ``df``, each by its own text.
 
     One shuffle of one partial sum per text: the hits are unioned with one
-    null row per text, so no join back to ``df`` is needed (``id_col`` must
-    be unique).
+    row per input row, so no join back to ``df`` is needed.
     """
-    sums = lexicon_sums(df, id_col, text, lexicon, rules, every_row=True,
+    sums = lexicon_sums(df, id_col, text, lexicon, rules,
                         lexicon_rows=lexicon_rows)
-    return sums.select(id_col, _normalise(F.col("_s"), alpha, places)
-                       .alias(out))
+    return (sums.select(id_col, "_s", F.explode(F.sequence(
+        F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
+            .select(id_col, _normalise(F.col("_s"), alpha, places).alias(out)))
