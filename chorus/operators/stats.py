@@ -17,59 +17,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Continued-fraction settings of the incomplete beta.
-_CF_MAX_ITER = 300
-_CF_EPS = 3e-16
-_CF_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta (modified Lentz)."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _CF_TINY else _CF_TINY)
-    h = d
-    for m in range(1, _CF_MAX_ITER + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _CF_TINY else _CF_TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _CF_TINY else _CF_TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _CF_TINY else _CF_TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _CF_TINY else _CF_TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _CF_EPS:
-            break
-    return h
-
-
-def reg_incomplete_beta(a: float, b: float, x: float) -> float:
-    """I_x(a, b) for a, b > 0 and 0 <= x <= 1."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                + a * math.log(x) + b * math.log1p(-x))
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+def _gamma_ratio(a: float) -> float:
+    """Gamma(a + 1/2) / Gamma(a) without cancellation for large ``a``."""
+    if a < 100:
+        return math.exp(math.lgamma(a + 0.5) - math.lgamma(a))
+    r = 1.0 / a         # asymptotic series; the next term is below 1e-13
+    return math.sqrt(a) * (1 - r / 8 + r ** 2 / 128 + 5 * r ** 3 / 1024
+                           - 21 * r ** 4 / 32768 - 399 * r ** 5 / 262144)
+
+
+def _rising_series(x: float, top: float, bottom: float) -> float:
+    """Sum over n of x**n times the product of (top + k) / (bottom + k).
+
+    All terms are positive, and beyond some n they shrink by a ratio that
+    tends to x < 1, so the sum ends when a term no longer counts.
+    """
+    total = term = 1.0
+    n = 0
+    while True:
+        ratio = x * (top + n) / (bottom + n)
+        term *= ratio
+        total += term
+        n += 1
+        if ratio < 1.0 and term * ratio < 1e-17 * total * (1.0 - ratio):
+            return total
 
 
 def t_two_sided_p(t: float, df: float) -> float:
-    """Two-sided p-value of Student's t with ``df`` degrees of freedom."""
+    """Two-sided p-value of Student's t with ``df`` degrees of freedom.
+
+    p = I_x(df/2, 1/2) with x = df / (df + t^2), by the hypergeometric series
+    of the incomplete beta function on the side where its argument is at most
+    one half.
+    """
     if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
         return float("nan")
-    if math.isinf(t):
+    if t == 0:
+        return 1.0
+    a, q = df / 2.0, (t / math.sqrt(df)) ** 2
+    log_x = -math.log1p(q)                       # log of x
+    if math.isinf(q) or a * log_x < -700.0:
         return 0.0
-    return reg_incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
+    x, y = 1.0 / (1.0 + q), q / (1.0 + q)        # y = 1 - x
+    front = math.exp(a * log_x) * math.sqrt(y) * _gamma_ratio(a) / math.sqrt(math.pi)
+    if y <= 0.5:
+        return max(0.0, 1.0 - 2.0 * front * _rising_series(y, a + 0.5, 1.5))
+    return min(1.0, front / a * _rising_series(x, a + 0.5, a + 1.0))
 
 
 def _ship_by_value() -> None:
