@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chorus.functions.labels import NEUTRAL, topic_tag
 from chorus.functions.text import mentions
-from chorus.operators.clean import drop_all_null, fill_nulls
+from chorus.operators.clean import drop_all_null
 from chorus.operators.joins import enrich_left, outer_means, spine_left
 
 
@@ -28,14 +28,20 @@ def side_conditions(text, kw_a, kw_b, mode: str = "substring",
 # Side sums are accumulated as exact decimals: the stance compares two
 # means, and with floating-point sums an exact tie could flip with the order
 # in which partial sums meet (a different partitioning, or a re-aggregation
-# of partial groups).  Decimal sums are exact in any order; the mean keeps
-# 18 decimal places.
+# of partial groups).  Decimal sums are exact in any order; scores and means
+# are taken to 18 decimal places.
 EXACT = "decimal(38,18)"
 
 
 def exact_score(score) -> Column:
+    """The score as an exact decimal; null and NaN give null.  A score of
+    1e20 or more does not fit and raises: it is never dropped."""
     s = F.col(score) if isinstance(score, str) else score
-    return s.try_cast(EXACT)
+    x = s.try_cast(EXACT)
+    value = s.isNotNull() & ~F.isnan(s.cast("double"))
+    return F.when(value & x.isNull(), F.raise_error(F.concat(
+        F.lit("score out of range for exact sums: "), s.cast("string"))).cast(EXACT)) \
+        .otherwise(x)
 
 
 def exact_mean(total, count) -> Column:
@@ -98,15 +104,19 @@ def author_stance(comments: DataFrame, author: str, text: str, score: str,
     keyed = comments.filter(F.col(author).isNotNull())
 
     def cohort_mean(cond):
+        x = exact_score(score)
         return (keyed.filter(cond).groupBy(author)
-                .agg(F.avg(score).alias("m"), F.count(F.lit(1)).alias("n")))
+                .agg(exact_mean(F.sum(x), F.count(x)).alias("m"),
+                     F.count(F.lit(1)).alias("n")))
 
     both = outer_means(cohort_mean(only_a), cohort_mean(only_b), author,
                        "m", "m", "score_a", "score_b")
-    both = fill_nulls(both, {"score_a": 0.0, "score_b": 0.0})
+    both = both.withColumns({c: F.coalesce(c, F.lit(0).cast(EXACT))
+                             for c in ("score_a", "score_b")})
     spine = spine_left(comments, author, both)
     spine = drop_all_null(spine, ["score_a", "score_b"])
-    return _classify(spine, label_a, label_b)
+    return _classify(spine, label_a, label_b).withColumns(
+        {c: F.col(c).cast("double") for c in ("score_a", "score_b")})
 
 
 def stance_counts(stance: DataFrame) -> DataFrame:
@@ -126,11 +136,18 @@ def enriched_comments(comments: DataFrame, stance: DataFrame, author: str,
     exclusive topic tag and the comment date.  ``salt_buckets`` /
     ``salt_col`` salt the author join (see :func:`enrich_left`)."""
     st = stance.select(author, F.col("stance").alias(stance_col))
-    out = enrich_left(comments, st, author, {stance_col: neutral},
-                      salt_buckets, salt_col)
-    return out.withColumns({
+    # Topic and date come before the join: when the caller does not select
+    # the text, it is not shuffled by author.
+    tagged = comments.withColumns({
         "topic": topic_tag(F.col(text), kw_a, kw_b, topic_a, topic_b,
                            neutral=neutral,
                            case_sensitive=topic_case_sensitive),
         "created_date": F.to_date(F.col(created)),
     })
+    # Rows without an author match nothing: they pass beside the join, so
+    # they are not one hot key.
+    named = enrich_left(tagged.filter(F.col(author).isNotNull()), st, author,
+                        {stance_col: neutral}, salt_buckets, salt_col)
+    rest = tagged.filter(F.col(author).isNull()) \
+        .withColumn(stance_col, F.lit(neutral))
+    return named.unionByName(rest)
