@@ -17,14 +17,16 @@ def score_label(score, pos: float = POS_THRESHOLD, neg: float = NEG_THRESHOLD,
     """'Positive' above ``pos``, 'Negative' below ``neg``, else 'Neutral'.
 
     ``score_type='float'`` reproduces a 32-bit score: 0.05 stored as float is
-    0.0500000007 and is therefore 'Positive'.  Null scores are 'Neutral'.
+    0.0500000007 and is therefore 'Positive'.  Null and NaN scores are 'Neutral'.
     """
     s = F.col(score) if isinstance(score, str) else score
     if score_type == "float":
         s = s.cast("float")
     elif score_type != "double":
         raise ValueError("score_type must be 'double' or 'float'")
-    return (F.when(s > F.lit(pos), POSITIVE)
+    # Spark orders NaN above every number.
+    return (F.when(F.isnan(s.cast("double")), NEUTRAL)
+            .when(s > F.lit(pos), POSITIVE)
             .when(s < F.lit(neg), NEGATIVE)
             .otherwise(NEUTRAL))
 

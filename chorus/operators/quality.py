@@ -33,7 +33,10 @@ TYPE_FAMILIES = {
 TYPE_ALIASES = {"int64": "int", "integer": "int", "long": "int",
                 "float64": "float", "double": "float", "string": "str",
                 "boolean": "bool", "timestamp": "datetime",
-                "datetime64": "datetime", "date": "datetime"}
+                "datetime64": "datetime", "date": "datetime",
+                "bigint": "int", "smallint": "int", "tinyint": "int",
+                "short": "int", "real": "float", "decimal": "float",
+                "object": "str", "varchar": "str", "text": "str"}
 
 # strftime directives and their Spark datetime-pattern equivalents.
 STRFTIME_TO_SPARK = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH",
@@ -99,7 +102,23 @@ def strftime_to_spark(fmt: str) -> str:
 
 def _family(t: str) -> str:
     t = t.lower()
-    return TYPE_ALIASES.get(t, t)
+    family = TYPE_ALIASES.get(t, t)
+    if family not in TYPE_FAMILIES:
+        raise ValueError(f"unknown type name {t!r}")
+    return family
+
+
+def _comparable(c: Column, dtype: T.DataType, values) -> Column:
+    """A text column read as the type of the values it is compared with; text
+    that does not parse is null, which counts as unexpected."""
+    values = [v for v in values if v is not None]
+    if not isinstance(dtype, T.StringType) or not values:
+        return c
+    if all(isinstance(v, bool) for v in values):
+        return c.try_cast("boolean")
+    if all(isinstance(v, (int, float)) for v in values):
+        return c.try_cast("double")
+    return c
 
 
 def _value_has_type(c: Column, dtype: T.DataType, family: str) -> Column:
@@ -145,12 +164,13 @@ def unexpected(df: DataFrame, e: Expectation) -> Column:
             ok = ok | _value_has_type(c, dtype, _family(t))
         return ~ok
     if e.kind == "in_set":
-        return ~c.isin(list(e.args))
+        return ~_comparable(c, dtype, e.args).isin(list(e.args))
     if e.kind == "datetime_format":
         fmt = strftime_to_spark(e.args[0])
         return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).isNull()
     if e.kind == "between":
         lo, hi = e.args
+        c = _comparable(c, dtype, e.args)
         bad = F.lit(False)
         if lo is not None:
             bad = bad | (c < F.lit(lo))
@@ -204,7 +224,7 @@ class QualityGateError(RuntimeError):
 
 def assert_passed(results: DataFrame) -> DataFrame:
     """Fail fast: raise if any expectation failed (one small action)."""
-    bad = results.filter(~F.col("success")).limit(20).collect()
+    bad = results.filter(~F.col("success")).collect()    # one row per check
     if bad:
         raise QualityGateError(
             "; ".join(f"{r.suite}/{r.expectation}({r.column}): "

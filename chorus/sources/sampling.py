@@ -15,9 +15,10 @@ HASH_SPACE = 2 ** 32
 
 
 def key_hash32(key) -> Column:
-    """First 32 bits of md5(key as text), as a non-negative bigint."""
+    """First 32 bits of md5(key as text), as a non-negative bigint; a null
+    key hashes like an empty text, so its rows are sampled as one key."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10
+    return F.conv(F.substring(F.md5(F.coalesce(k.cast("string"), F.lit(""))), 1, 8), 16, 10
                   ).cast("bigint")
 
 
