@@ -189,6 +189,10 @@ def write_star(tables: dict[str, DataFrame], out_dir: str,
         paths[name] = f"{out_dir}/{name}"
         part = (["month_year"] if partition_facts_by_month
                 and name == "fact_comment" else None)
+        if part:
+            # One task (or a few, for a large month) per folder instead of
+            # one file per task and month.
+            df = df.hint("rebalance", *part)
         write_stage(df, paths[name], mode, part)
     return paths
 
@@ -196,15 +200,23 @@ def write_star(tables: dict[str, DataFrame], out_dir: str,
 def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
               lexicon: DataFrame, out_dir: str, url: str | None = None,
               properties: dict | None = None, gate: bool = True,
-              mode: str = "overwrite", load_mode: str = "append",
+              mode: str = "overwrite", load_mode: str = "overwrite",
               rules: Rules | None = None,
               partition_facts_by_month: bool = True,
               clean_buckets: int | None = None,
-              clean_table: str = "star_cleaned_comments") -> dict[str, str]:
+              clean_table: str = "star_cleaned_comments",
+              advisory=None, **jdbc_options) -> dict[str, str]:
     """One scheduled run: staged Parquet -> star schema -> quality gate
     (fail fast, before anything is written) -> staged star tables ->
     optional JDBC load of the written tables, dimensions first.
 
+    ``advisory``: the format checks that report without stopping the run
+    (default ``gate.ADVISORY``; empty: every failing check stops it).
+
+    A re-run replaces what it wrote and loaded before (``load_mode="append"``
+    adds to the served tables instead).  ``jdbc_options`` (``batchsize``,
+    ``num_partitions``: the number of connections) reach the sink.
+
     The gate's suites are aggregations over the lazy tables; the load
     reads back the written Parquet, so scoring is not recomputed.
 
@@ -213,7 +225,7 @@ def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
     table then needs no shuffle, and the dimensions read only their own
     columns (the null filter on the text has already been applied).
     """
-    from chorus.plans.gate import quality_gate
+    from chorus.plans.gate import ADVISORY, quality_gate
     comments = read_parquet(spark, comments_path)
     if clean_buckets:
         cleaned = clean_comments(comments)
@@ -226,12 +238,13 @@ def daily_etl(spark: SparkSession, comments_path: str, events_path: str,
                                rules=rules,
                                already_clean=bool(clean_buckets))
     if gate:
-        quality_gate(tables, fail_fast=True)
+        quality_gate(tables, fail_fast=True,
+                     advisory=ADVISORY if advisory is None else advisory)
     paths = write_star(tables, out_dir, mode, partition_facts_by_month)
     if url:
         written = {n: read_parquet(spark, p).select(*tables[n].columns)
                    for n, p in paths.items()}
-        serve(written, url, properties or {}, load_mode)
+        serve(written, url, properties or {}, load_mode, **jdbc_options)
     return paths
 
 

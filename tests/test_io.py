@@ -2,6 +2,7 @@
 (embedded in this JVM, no server or port), staging and serving jobs."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -142,19 +143,27 @@ def test_daily_etl_end_to_end(spark, tmp_dir):
     lex = spark.createDataFrame([("the", 0.5)], "term string, valence double")
     url = "jdbc:derby:memory:chorus_etl;create=true"
     props = {"driver": DERBY}
-    # the date suite expects date-times, which a date column never matches,
-    # so the gate stops the run before anything is written
+    # the date suite expects date-times, which a date column never matches:
+    # taken strictly, the gate stops the run before anything is written
     from chorus.operators.quality import QualityGateError
     import pytest
     with pytest.raises(QualityGateError):
         star.daily_etl(spark, f"{tmp_dir}/raw_c", f"{tmp_dir}/raw_e", lex,
-                       f"{tmp_dir}/star", url, props)
+                       f"{tmp_dir}/star", url, props, advisory=())
+    assert not os.path.exists(f"{tmp_dir}/star")
     paths = star.daily_etl(spark, f"{tmp_dir}/raw_c", f"{tmp_dir}/raw_e",
-                           lex, f"{tmp_dir}/star", url, props, gate=False,
-                           load_mode="overwrite")
-    n = spark.read.parquet(paths["fact_comment"]).count()
-    assert n == jdbc.read_jdbc(spark, url, "fact_comment", props).count()
+                           lex, f"{tmp_dir}/star", url, props)
+    first = _rows(spark.read.parquet(paths["fact_comment"]))
+    # a second default run replaces the first: nothing doubles
+    star.daily_etl(spark, f"{tmp_dir}/raw_c", f"{tmp_dir}/raw_e", lex,
+                   f"{tmp_dir}/star", url, props, num_partitions=2)
+    fact = spark.read.parquet(paths["fact_comment"])
+    assert _rows(fact) == first
+    assert len(first) == jdbc.read_jdbc(spark, url, "fact_comment", props).count()
     assert jdbc.read_jdbc(spark, url, "dim_date", props).count() == 3306
+    # about one file per month, not one per task and month
+    months = fact.select("month_year").distinct().count()
+    assert len(fact.inputFiles()) <= months + 8
 
 
 def test_daily_etl_with_cleaned_stage(spark, tmp_dir):
