@@ -12,8 +12,8 @@ on id for the wide form; none on a table bucketed by id].  No Python runs
 per row.
 
 The optional rules of the published rule-based method (Hutto & Gilbert,
-ICWSM 2014): on a window of the three preceding tokens, booster words shift
-a hit's valence away from zero with a distance decay and each negator
+ICWSM 2014): walking back over the three preceding tokens, a booster word
+shifts a hit's valence away from zero with a distance decay and a negator
 multiplies it by a negative scalar; hits before the first contrast word
 ("but") count half and hits after it one and a half times; all-caps hits
 and boosters in mixed-case text gain emphasis; and '!' / '?' marks push
@@ -53,8 +53,7 @@ class Rules:
     With it, tokens are cut from the original text and lower-cased one by
     one (so their case is known).
 
-    Not applied: the method's special idioms, and its check that a booster
-    word is not itself a lexicon term (boosters apply regardless).
+    Not applied: the method's special idioms.
     """
     negators: Sequence[str] = ()
     boosters: Mapping[str, float] = None  # term -> B_INCR or B_DECR
@@ -172,13 +171,19 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         caps_on = F.col("_capdiff") & F.coalesce(F.col("u0"), F.lit(False))
         v = F.when(caps_on, F.when(v > 0, v + C_INCR).otherwise(v - C_INCR)
                    ).otherwise(v)
-    sign = F.signum(v)
-    boost = F.lit(0.0)
-    n_neg = F.lit(0)
-    boosters = dict(rules.boosters or {})
+    # The method walks back one token at a time and carries the changed
+    # valence along: a booster beyond a negator works on the negated sign.
+    # Words that the lexicon itself holds act as neither.
+    boosters = {k: float(x) for k, x in (rules.boosters or {}).items()}
+    named = sorted({*boosters, *rules.negators})
+    own = {r["term"] for r in lex.filter(F.col("term").isin(named))
+           .collect()} if named else set()          # at most the rules' words
+    boosters = {k: x for k, x in boosters.items() if k not in own}
+    negators = [w for w in rules.negators if w not in own]
     bmap = (F.create_map(*[x for k, b in sorted(boosters.items())
-                           for x in (F.lit(k), F.lit(float(b)))])
+                           for x in (F.lit(k), F.lit(b))])
             if boosters else None)
+    adj = v
     for k in range(1, win + 1):
         p = F.col(f"p{k}")
         if bmap is not None:
@@ -187,11 +192,13 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                 b = b + F.when((b != 0) & F.col("_capdiff")
                                & F.coalesce(F.col(f"u{k}"), F.lit(False)),
                                F.lit(C_INCR)).otherwise(F.lit(0.0))
-            boost = boost + b * F.lit(rules.decay[k - 1])
-        if rules.negators:
-            n_neg = n_neg + F.coalesce(p.isin(list(rules.negators)),
-                                       F.lit(False)).cast("int")
-    adj = (v + sign * boost) * F.pow(F.lit(rules.n_scalar), n_neg)
+            adj = adj + F.signum(adj) * b * F.lit(rules.decay[k - 1])
+        if negators:
+            adj = adj * F.when(p.isin(negators), F.lit(rules.n_scalar)) \
+                .otherwise(F.lit(1.0))
+        # One column per step, so that each step's value is computed once.
+        rows = rows.withColumn(f"_a{k}", adj)
+        adj = F.col(f"_a{k}")
     if rules.contrast:
         ci, pos = F.col("_ci"), F.col("pos")
         adj = adj * (F.when((ci > 0) & (pos < ci), F.lit(CONTRAST_BEFORE))

@@ -894,6 +894,18 @@ def _boost_sql(p):
             + " ELSE 0.0 END")
 
 
+def _walk_sql(value):
+    """CTEs w1..w3: the valence after each token back, nearest first."""
+    out, prev = [], value
+    for k, w in ((1, 1.0), (2, 0.95), (3, 0.9)):
+        out.append(f"""
+w{k} AS (SELECT *, ({prev} + sign({prev}) * ({_boost_sql(f"p{k}")}) * {w!r})
+         * CASE WHEN p{k} IN {NEG_SQL} THEN -0.74 ELSE 1.0 END AS v{k}
+  FROM {"items JOIN lex USING (term)" if k == 1 else f"w{k - 1}"}),""")
+        prev = f"v{k}"
+    return "".join(out)
+
+
 @query("lexicon_score_negated", "WITH " + LEX_SQL + """,
 arrs AS (SELECT doc_id, regexp_extract_all(lower(text), '""" + TOKEN_RE + """') AS a
          FROM documents),
@@ -903,15 +915,8 @@ items AS (
          CASE WHEN i > 2 THEN a[i - 2] END AS p2,
          CASE WHEN i > 3 THEN a[i - 3] END AS p3
   FROM (SELECT doc_id, a, generate_subscripts(a, 1) AS i FROM arrs)),
-hits AS (
-  SELECT doc_id,
-         (valence + sign(valence) * (""" + " + ".join(
-    f"({_boost_sql(p)}) * {w!r}" for p, w in
-    (("p1", 1.0), ("p2", 0.95), ("p3", 0.9))) + """))
-         * pow(-0.74, """ + " + ".join(
-    f"CAST(coalesce({p} IN {NEG_SQL}, false) AS INTEGER)"
-    for p in ("p1", "p2", "p3")) + """) AS v
-  FROM items JOIN lex USING (term)),
+""" + _walk_sql("valence") + """
+hits AS (SELECT doc_id, v3 AS v FROM w3),
 sums AS (SELECT doc_id, sum(v) AS s FROM hits GROUP BY doc_id)
 SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
 FROM documents d LEFT JOIN sums USING (doc_id)""")
@@ -934,17 +939,12 @@ items AS (
          CASE WHEN i > 2 THEN a[i - 2] END AS p2,
          CASE WHEN i > 3 THEN a[i - 3] END AS p3
   FROM (SELECT doc_id, a, generate_subscripts(a, 1) AS i FROM arrs)),
+""" + _walk_sql("valence") + """
 hits AS (
-  SELECT doc_id,
-         (valence + sign(valence) * (""" + " + ".join(
-    f"({_boost_sql(p)}) * {w!r}" for p, w in
-    (("p1", 1.0), ("p2", 0.95), ("p3", 0.9))) + """))
-         * pow(-0.74, """ + " + ".join(
-    f"CAST(coalesce({p} IN {NEG_SQL}, false) AS INTEGER)"
-    for p in ("p1", "p2", "p3")) + """)
+  SELECT doc_id, v3
          * CASE WHEN ci > 0 AND pos < ci THEN 0.5
                 WHEN ci > 0 AND pos > ci THEN 1.5 ELSE 1.0 END AS v
-  FROM items JOIN lex USING (term)),
+  FROM w3),
 sums AS (SELECT doc_id, sum(v) AS s0 FROM hits GROUP BY doc_id),
 marks AS (
   SELECT doc_id, length(text) - length(replace(text, '!', '')) AS e,

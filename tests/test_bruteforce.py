@@ -106,19 +106,18 @@ def _score_py(text, lex, negators=(), boosters=None, contrast=None,
         v = lex[t]
         if capdiff and up[i]:
             v = v + 0.733 if v > 0 else v - 0.733
-        sign = (v > 0) - (v < 0)
-        boost, neg = 0.0, 0
-        for k in range(1, 4):
-            if i - k < 0:
-                break
+        for k in range(1, min(4, i + 1)):       # walking back, value carried along
             p = toks[i - k]
+            if p in lex:
+                continue
             b = (boosters or {}).get(p, 0.0)
             if b and capdiff and up[i - k]:
                 b += 0.733
-            boost += b * DISTANCE_DECAY[k - 1]
-            neg += p in negators
+            v += math.copysign(b * DISTANCE_DECAY[k - 1], b * v) if v else 0.0
+            if p in negators:
+                v *= N_SCALAR
         f = 1.0 if ci is None or i == ci else (0.5 if i < ci else 1.5)
-        s += (v + sign * boost) * N_SCALAR ** neg * f
+        s += v * f
     if punctuation and text:
         q = text.count("?")
         amp = min(text.count("!"), 4) * 0.292 + (

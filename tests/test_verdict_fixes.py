@@ -31,6 +31,18 @@ def test_every_row_is_scored_by_its_own_text(spark):
     assert sorted(map(tuple, got)) == sorted((i, own[t]) for i, t in rows)
 
 
+def test_rules_walk_back_one_token_at_a_time(spark):
+    from chorus.operators.lexicon import B_INCR, Rules
+    lex = spark.createDataFrame([("good", 1.9), ("no", -1.2)], "term string, valence double")
+    rules = Rules(negators=["not", "no"], boosters={"very": B_INCR})
+    texts = {"very not good": (1.9 * -0.74) - 0.293 * 0.95,
+             "not very good": (1.9 + 0.293) * -0.74,
+             "no good": -1.2 + 1.9}           # a lexicon word does not negate
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = {r.id: r.sentiment_score for r in lexicon_scores(df, "id", "text", lex, rules=rules).collect()}
+    assert [got[i] for i in range(3)] == [_norm(v) for v in texts.values()]
+
+
 def test_nan_label_is_neutral(spark):
     df = spark.createDataFrame([(float("nan"),), (None,), (0.2,), (-0.2,)], "s double")
     for kind in ("double", "float"):
