@@ -2,14 +2,18 @@
 
 An automaton over all pieces reads a text once; at each character it follows
 the output links to every piece that ends there, and each of them relaxes the
-best score of the position.  The path back from the end is the encoding.
+best path of the position.  The path back from the end is the encoding.
 
-The path's score is the sum of its pieces' scores.  A unigram model brings
-log-probabilities; a merge-ranked model (type BPE) brings ranks, which are
-turned into log-probabilities by Zipf's law, -ln(rank + 2).  Characters that
-no piece covers are written as byte pieces.  Spaces are written as U+2581
-behind one dummy space; a U+2581 of the text itself goes through byte pieces,
-so decoding gives back every text exactly.
+What is best depends on the model.  In a unigram model it is the largest sum
+of the pieces' scores.  In a merge-ranked model (type BPE) it is the path that
+the merges leave: a prefix of a text has one such path, it extends such a path
+of a shorter prefix, and a piece may extend it when the merges, run over the
+characters of the path's last piece and of this one, leave just these two.
+Its ids are the library's.
+
+Characters that no piece covers are written as byte pieces.  Spaces are
+written as U+2581 behind one dummy space; a U+2581 of the text itself goes
+through byte pieces, so decoding gives back every text exactly.
 
 Texts are cut where a run of U+2581 begins: no piece of such a model spans
 that border (checked when the model is loaded; otherwise texts are not cut),
@@ -25,6 +29,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,12 @@ MARK = "▁"
 BYTE_SCORE = -30.0
 #: Remembered parts per worker; beyond it the memory starts afresh.
 MEMO_PARTS = 200_000
+#: Remembered pairs of neighbours per worker (merge-ranked models).
+MEMO_PAIRS = 200_000
+#: Last piece of the empty path.
+START = -1
+#: A pair's key is left * PAIR + right; ids lie within half of it.
+PAIR = 1 << 22
 
 
 @dataclass(frozen=True, eq=False)
@@ -48,6 +59,7 @@ class Pieces:
     bytes: tuple       # id of each byte piece
     n_ids: int
     cuts: bool
+    merges: bool       # scores are merge ranks
 
     def __hash__(self):
         return hash(self.key)
@@ -75,17 +87,10 @@ def load_pieces(path: str) -> Pieces:
             plain.append((sp.id_to_piece(i), i, sp.get_score(i)))
     if None in byte_ids:
         raise ValueError(f"the model has no byte pieces: {path}")
-    scores = [s for _, _, s in plain]
-    ranked = sorted(scores, reverse=True)[:64]
-    if all(float(s).is_integer() for s in ranked):          # merge ranks
-        plain = [(p, i, -math.log(_rank(s, k) + 2)) for k, (p, i, s) in enumerate(plain)]
+    ranked = sorted((v for _, _, v in plain), reverse=True)[:64]
+    merges = all(float(v).is_integer() for v in ranked)
     cuts = not any(MARK in p.lstrip(MARK) for p, _, _ in plain)
-    return Pieces(hashlib.sha256(raw).hexdigest(), tuple(plain), tuple(byte_ids), n, cuts)
-
-
-def _rank(score: float, place: int) -> float:
-    """Merge rank of a piece; user-defined pieces have none and count by place."""
-    return -score if -score < 1e8 else place
+    return Pieces(hashlib.sha256(raw).hexdigest(), tuple(plain), tuple(byte_ids), n, cuts, merges)
 
 
 @lru_cache(maxsize=2)
@@ -94,12 +99,20 @@ def automaton(pieces: Pieces):
     import ahocorasick
 
     a = ahocorasick.Automaton()
+    if pieces.merges:                  # merges start from single characters
+        for c in {c for text, _, _ in pieces.pieces for c in text}:
+            a.add_word(c, (1, _bare(c), BYTE_SCORE))
     for text, i, score in pieces.pieces:
         a.add_word(text, (len(text), i, score))
     a.make_automaton()
     return a
 
 
+def _bare(c: str) -> int:
+    """Stands for a character that is no piece of its own."""
+    return START - 1 - ord(c)
+
+
 class _Parts(dict):
     """part -> its piece ids as int32 bytes.  Two generations: when the young
     one is full it becomes the old one, whose parts come back when met."""
@@ -111,7 +124,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         raw = self.old.get(part)
         if raw is None:
-            raw = array("i", self.search(part)[0]).tobytes()
+            raw = array("i", self.search(part)).tobytes()
         if len(part) <= 64:
             if len(self) >= self.limit:
                 self.old = dict(self)
@@ -120,6 +133,22 @@ class _Parts(dict):
         return raw
 
 
+class _Pairs(dict):
+    """left * PAIR + right -> whether the merges leave the two pieces."""
+
+    def __init__(self, test, limit: int = MEMO_PAIRS):
+        super().__init__()
+        self.test, self.limit = test, limit
+
+    def __missing__(self, pair: int) -> bool:
+        left = (pair + PAIR // 2) // PAIR
+        kept = self.test(left, pair - left * PAIR)
+        if len(self) >= self.limit:
+            self.clear()
+        self[pair] = kept
+        return kept
+
+
 class Codec:
     """Encodes and decodes, with a bounded memory of parts."""
 
@@ -128,7 +157,15 @@ class Codec:
         self.automaton = automaton(pieces)
         self.singles = frozenset(t for t, _, v in pieces.pieces
                                  if len(t) == 1 and v > BYTE_SCORE)
-        self.memo = _Parts(self.viterbi)
+        self.memo = _Parts(self.merge_path if pieces.merges
+                           else lambda part: self.viterbi(part)[0])
+        if pieces.merges:
+            self.alphabet = frozenset(c for t, _, _ in pieces.pieces for c in t)
+            self.rank = {t: v for t, _, v in pieces.pieces}
+            self.piece = {i: t for t, i, _ in pieces.pieces} | {
+                _bare(c): c for c in self.alphabet} | {START: ""}
+            self.grow = lru_cache(None)(self._grow)          # one per piece
+            self.pairs = _Pairs(self.beside)
         self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.mark = np.array([pieces.bytes[b] for b in MARK.encode()], np.int32).tobytes()
         self.text_of = [b""] * pieces.n_ids
@@ -196,6 +233,85 @@ class Codec:
         ids.reverse()
         return ids, best[n - 1]
 
+    def merge_path(self, s: str) -> list[int]:
+        """The path that the merges leave over ``s``.  Characters outside the
+        model's alphabet merge with nothing, so ``s`` falls apart there."""
+        if self.alphabet.issuperset(s):
+            return self._merge_path(s)
+        ids = []
+        for known, run in groupby(s, self.alphabet.__contains__):
+            stretch = "".join(run)
+            ids += self._merge_path(stretch) if known else map(
+                self.byte_ids.__getitem__, stretch.encode())
+        return ids
+
+    def _merge_path(self, s: str) -> list[int]:
+        n, pairs = len(s), self.pairs
+        back: list = [None] * n
+        last: list = [None] * n + [START]          # last[-1]: nothing read yet
+        for end, piece in self.automaton.iter(s):
+            if last[end] is None:
+                length, i, _ = piece
+                if pairs[last[end - length] * PAIR + i]:
+                    last[end], back[end] = i, piece
+        ids, at = [], n - 1
+        while at >= 0:
+            length, i, _ = back[at]
+            if i < 0:
+                ids.extend(self.byte_ids[b] for b in reversed(s[at].encode()))
+            else:
+                ids.append(i)
+            at -= length
+        ids.reverse()
+        return ids
+
+    def _grow(self, i: int):
+        """How a piece grows out of its characters when the best-scored pair
+        of neighbours merges first, of equals the leftmost: its left edges
+        and its right edges, each with the score at which it grows on.  None
+        when the merges leave something else."""
+        parts, rank = list(self.piece[i]), self.rank.get
+        left, right, before = [parts[0]], [parts[-1]], math.inf
+        left_ends, right_ends = [], []
+        while len(parts) > 1:
+            scores = [rank(x + y, -math.inf) for x, y in zip(parts, parts[1:])]
+            score = max(scores)
+            if score == -math.inf:
+                return None
+            if score > before:
+                raise ValueError(f"merges of {self.piece[i]!r} do not follow their ranks")
+            at, before = scores.index(score), score
+            if at == 0:
+                left.append(parts[0] + parts[1])
+                left_ends.append(score)
+            if at == len(parts) - 2:
+                right.append(parts[-2] + parts[-1])
+                right_ends.append(score)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return (list(zip(left, [*left_ends, -math.inf])),
+                list(zip(right, [*right_ends, -math.inf])))
+
+    def beside(self, left: int, right: int) -> bool:
+        """Whether the merges leave ``left`` and ``right`` as they are: both
+        grow, and no pair over their border is ever the next to merge."""
+        after = self.grow(right)
+        if after is None or left == START:
+            return after is not None
+        tails, heads, a, b = self.grow(left)[1], after[0], 0, 0
+        while True:
+            (tail, tail_ends), (head, head_ends) = tails[a], heads[b]
+            over = self.rank.get(tail + head, -math.inf)
+            if over > tail_ends and over >= head_ends:
+                return False
+            if tail_ends == head_ends:       # leftmost first, unless both are done
+                if tail_ends == -math.inf:
+                    return True
+                a += 1
+            elif tail_ends > head_ends:
+                a += 1
+            else:
+                b += 1
+
     def encode(self, text: str) -> np.ndarray:
         """Piece ids of a text (none for an empty one)."""
         if not text:

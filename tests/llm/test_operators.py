@@ -212,15 +212,64 @@ def best_score(pieces, s):
     return best[-1]
 
 
+TEXTS = st.lists(st.one_of(st.sampled_from([" ", "  ", "    ", "the", "ing", "aa", "==", "\n", "é", "你", "▁",
+                                            "\x00", "𝒳"]), st.text(max_size=3)), max_size=20).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS)
+def test_codec_equals_the_library_and_round_trips(text):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    own = sentencepiece_codec.codec(sentencepiece_codec.load_pieces(MODEL))
+    ids = own.encode(text)
+    assert (own.decode(ids) if text else "") == text
+    if "▁" not in text:
+        assert ids.tolist() == library.encode(text)
+
+
+def test_documents_equal_the_library(spark):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {r.doc_id: r.text for r in docs(spark, SF01).collect()}
+    for r in sentencepiece_codec.encode_documents(docs(spark, SF01), MODEL).collect():
+        assert r.round_trip and r.ids == (None if texts[r.doc_id] is None
+                                          else library.encode(texts[r.doc_id]))
+
+
+def test_merges_leave_a_pair_as_brute_force_does():
+    own = sentencepiece_codec.codec(sentencepiece_codec.load_pieces(MODEL))
+
+    def merged(text):
+        parts = list(text)
+        while True:
+            scores = [own.rank.get(x + y, -1e30) for x, y in zip(parts, parts[1:])]
+            if not scores or max(scores) == -1e30:
+                return parts
+            at = scores.index(max(scores))
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+    rng = random.Random(8)
+    ids = [i for i in own.piece if i >= 0]
+    short = [i for i in ids if len(own.piece[i]) < 4]
+    for pool in (ids, short):
+        for _ in range(3000):
+            x, y = rng.choice(pool), rng.choice(pool)
+            want = [own.piece[x], own.piece[y]]
+            assert own.beside(x, y) == (merged("".join(want)) == want)
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.one_of(st.sampled_from([" ", "  ", "the", "ing", "\n", "é", "你", "▁", "\x00", "𝒳"]),
-                          st.text(max_size=3)), max_size=20).map("".join))
-def test_codec_round_trip_and_best_path(text):
-    pieces = sentencepiece_codec.load_pieces(MODEL)
+@given(st.text(alphabet="abcd \né", max_size=30))
+def test_unigram_best_path(text):
+    words = ["▁", "a", "b", "c", "ab", "abc", "bc", "▁a", "▁ab", "ca", "cab", "bd"]
+    pieces = sentencepiece_codec.Pieces(
+        "unigram", tuple((w, 256 + k, -1.5 - k % 5 - len(w) / 3) for k, w in enumerate(words)),
+        tuple(range(256)), 256 + len(words), True, False)
     own = sentencepiece_codec.codec(pieces)
     ids = own.encode(text)
-    assert (own.decode(ids) if text else "") == text
-    if text and "▁" not in text:
+    if text:
+        assert own.decode(ids) == text
         assert own.score(ids) == pytest.approx(best_score(pieces, (" " + text).replace(" ", "▁")))
 
 
