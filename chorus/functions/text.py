@@ -14,6 +14,13 @@ WORD_CHARS = r"\p{L}\p{N}_"
 MIN_TOKEN_LEN = 2
 TOKEN_RE = rf"[{WORD_CHARS}]{{{MIN_TOKEN_LEN},}}"
 
+# Sentiment scoring keeps what that rule cuts: a chunk between white space
+# loses the punctuation around it when more than two characters remain
+# ("isn't", "good"), else it stays whole (":)", "ok!"), as published.
+_SPACE, _PUNCT = r"\x09-\x0D ", r"!-/:-@\[-`{-~"
+_CORE = rf"[^{_SPACE}{_PUNCT}][^{_SPACE}]+[^{_SPACE}{_PUNCT}]"
+SCORING_RE = rf"{_CORE}|(?<![^{_SPACE}])(?![{_PUNCT}]*+{_CORE})[^{_SPACE}]+"
+
 MODES = ("substring", "word", "regex")
 
 
@@ -75,6 +82,13 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_RE), 0)
 
 
+def scoring_tokens(text, lower: bool = True) -> Column:
+    """Array of the tokens of sentiment scoring, in one regex pass:
+    contractions and symbol tokens such as ":)" are kept."""
+    t = _c(text)
+    return F.regexp_extract_all(F.lower(t) if lower else t, F.lit(SCORING_RE), 0)
+
+
 def nan_to_null(c) -> Column:
     """NaN is not null in Spark aggregates; turn it into null on entry."""
     x = _c(c)

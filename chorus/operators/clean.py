@@ -3,7 +3,7 @@ handling, schema conformance, deduplication)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,13 +88,20 @@ def _conform_expr(src: T.DataType, name: str, target) -> Column:
     return F.col(name).try_cast(target)
 
 
+def _types(df: DataFrame, names: Iterable[str]) -> dict[str, T.DataType]:
+    """Types of the named columns, found as Spark finds them (by default in
+    any letter case)."""
+    found = df.select(*[F.col(n) for n in names]).schema.fields
+    return {n: f.dataType for n, f in zip(names, found)}
+
+
 def conform(df: DataFrame, schema: Mapping[str, T.DataType | str]) -> DataFrame:
     """Cast the named columns to a target schema without ANSI failures.
 
     Text that does not parse becomes null; :func:`conform_report` counts how
     many values each column lost.
     """
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    fields = _types(df, schema)
     return df.withColumns({name: _conform_expr(fields[name], name, target)
                            for name, target in schema.items()})
 
@@ -103,7 +110,7 @@ def conform_report(df: DataFrame, schema: Mapping[str, T.DataType | str]
                    ) -> DataFrame:
     """(column, lost): values that were non-null before and null after
     :func:`conform` -- one aggregation over one scan."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
+    fields = _types(df, schema)
     cols = list(schema)
     wide = df.agg(*[
         F.count_if(F.col(c).isNotNull()

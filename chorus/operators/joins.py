@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count this library will broadcast on its own.  Anything above
-# it (or not provably below it) is joined by shuffle, and AQE may still turn
-# the join into a broadcast from runtime sizes.
+# Most rows and bytes this library will broadcast on its own.  Anything above
+# them (or not provably below them) is joined by shuffle, and AQE may still
+# turn the join into a broadcast from runtime sizes.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
+    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows
+    of at most ``BROADCAST_MAX_BYTES`` together.
 
     The proof is ``known_rows`` when the caller built ``df`` from data of a
-    known size, else a bounded count (it reads at most ``max_rows + 1``
-    rows), so a large input costs one short job, never a full scan.
+    known size, else a bounded measurement while the plan is built (it keeps
+    at most ``max_rows + 1`` rows and sums their bytes, written as JSON).
     Otherwise ``df`` is returned unchanged and the join shuffles.
     """
-    n = known_rows if known_rows is not None \
-        else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    row = F.octet_length(F.to_json(F.struct("*")))
+    n, size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(row), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= BROADCAST_MAX_BYTES else df
 
 
 def outer_means(a: DataFrame, b: DataFrame, key: str, a_value: str,

@@ -1,12 +1,13 @@
 """Lexicon sentiment scoring as a distributed job.
 
-Each text is tokenised on the executors, its tokens are joined to a
+Each text is tokenised on the executors (contractions and symbol tokens
+are kept, see ``functions.text.scoring_tokens``), its tokens are joined to a
 caller-supplied ``(term, valence)`` table, valences are summed per text and
 normalised to [-1, 1] as ``s / sqrt(s^2 + alpha)``.  Texts without a
 lexicon hit (or without text) score 0.0.
 
 Plan shape: scan -> explode tokens -> broadcast hash join (the lexicon is
-broadcast only after its row count is proven bounded; only hits pass) ->
+broadcast only after its size is proven bounded; only hits pass) ->
 partial sum per text -> one shuffle of (id, partial sum) rows [-> join back
 on id for the wide form; none on a table bucketed by id].  No Python runs
 per row.
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.functions.text import TOKEN_RE, tokens
+from chorus.functions.text import scoring_tokens
 from chorus.operators.joins import small_side
 
 # Fixed values of the published method.
@@ -111,7 +112,7 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     n, total = F.count("_row"), F.sum("_v")
 
     if rules is None:
-        hits = (df.select(*key, F.explode(tokens(F.col(text))).alias("term"))
+        hits = (df.select(*key, F.explode(scoring_tokens(F.col(text))).alias("term"))
                 .join(lex, "term").select(*key, F.col("valence").alias("_v")))
         return (with_every_row(hits, ["_v"]).groupBy(*key)
                 .agg(n.alias("_n"), F.try_divide(total, n).alias("_s")))
@@ -128,7 +129,7 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         extra.append(punctuation_amplifier(F.col(text)).alias("_amp"))
         carried.append("_amp")
     if rules.caps:
-        orig = F.regexp_extract_all(F.col(text), F.lit(TOKEN_RE), 0)
+        orig = scoring_tokens(F.col(text), lower=False)
         arr = df.select(*key, orig.alias("_orig"),
                         *([F.col(text)] if rules.punctuation else []))
         up = F.transform(F.col("_orig"), lambda t: (t == F.upper(t))
@@ -142,7 +143,7 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                      .alias("_capdiff"))
         carried.append("_capdiff")
     else:
-        arr = df.select(*key, tokens(F.col(text)).alias("_toks"),
+        arr = df.select(*key, scoring_tokens(F.col(text)).alias("_toks"),
                         *([F.col(text)] if rules.punctuation else []))
     # Per-text values are computed once per text, in a projection below
     # the explode (inside the generator's select they would be evaluated

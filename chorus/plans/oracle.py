@@ -109,6 +109,17 @@ TOKENS = ("toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '"
           + TOKEN_RE + "')) AS term FROM documents)")
 
 
+_EDGE = r"[!-/:-@\[-`{-~]+"
+
+
+def scoring_tokens_sql(text: str) -> str:
+    """Lower-cased chunks between white space; the punctuation around a chunk
+    goes when more than two characters remain."""
+    bare = f"regexp_replace(x, '^{_EDGE}|{_EDGE}$', '', 'g')"
+    return (f"[CASE WHEN length({bare}) > 2 THEN {bare} ELSE x END FOR x IN "
+            rf"regexp_split_to_array(lower({text}), '[\x09-\x0D ]+') IF x <> '']")
+
+
 def values_cte(name: str, cols: tuple[str, ...], rows) -> str:
     def lit(v):
         if isinstance(v, str):

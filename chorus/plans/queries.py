@@ -25,8 +25,8 @@ from chorus.operators.lexicon import B_DECR, B_INCR, Rules, lexicon_scores
 from chorus.plans import gate, report, star
 from chorus.plans.oracle import (COMMENTS, EVENTS_CLEAN, FEATURES,
                                  MONTH_NUM, MONTHLY_EVENTS, RAW_COMMENTS,
-                                 SIDES, STANCE, TOKEN_RE, TOKENS, in_list,
-                                 values_cte, with_)
+                                 SIDES, STANCE, TOKENS, in_list,
+                                 scoring_tokens_sql, values_cte, with_)
 from chorus.session import scratch_path
 from chorus.sources import files, proxies, sampling
 
@@ -876,7 +876,8 @@ def doc_term_counts(spark, sf):
                                  TOP_K)
 
 
-@query("lexicon_score", "WITH " + TOKENS + ",\n" + LEX_SQL + """,
+@query("lexicon_score", "WITH " + LEX_SQL + """,
+toks AS (SELECT doc_id, unnest(""" + scoring_tokens_sql("text") + """) AS term FROM documents),
 sums AS (SELECT doc_id, sum(valence) AS s FROM toks JOIN lex USING (term) GROUP BY doc_id)
 SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
 FROM documents d LEFT JOIN sums USING (doc_id)""")
@@ -907,7 +908,7 @@ w{k} AS (SELECT *, ({prev} + sign({prev}) * ({_boost_sql(f"p{k}")}) * {w!r})
 
 
 @query("lexicon_score_negated", "WITH " + LEX_SQL + """,
-arrs AS (SELECT doc_id, regexp_extract_all(lower(text), '""" + TOKEN_RE + """') AS a
+arrs AS (SELECT doc_id, """ + scoring_tokens_sql("text") + """ AS a
          FROM documents),
 items AS (
   SELECT doc_id, a[i] AS term,
@@ -930,7 +931,7 @@ CONTRAST = "is"
 
 
 @query("lexicon_score_rules", "WITH " + LEX_SQL + """,
-arrs AS (SELECT doc_id, regexp_extract_all(lower(text), '""" + TOKEN_RE + """') AS a
+arrs AS (SELECT doc_id, """ + scoring_tokens_sql("text") + """ AS a
          FROM documents),
 items AS (
   SELECT doc_id, a[i] AS term, i AS pos,
@@ -1215,7 +1216,7 @@ FACT_SQL = """cleaned AS (
   WHERE post_id IS NOT NULL AND score IS NOT NULL AND post_title IS NOT NULL
     AND comment_id IS NOT NULL AND self_text IS NOT NULL AND subreddit IS NOT NULL
     AND author_name IS NOT NULL AND created_time IS NOT NULL),
-ctoks AS (SELECT comment_id, unnest(regexp_extract_all(lower(self_text), '""" + TOKEN_RE + """')) AS term
+ctoks AS (SELECT comment_id, unnest(""" + scoring_tokens_sql("self_text") + """) AS term
           FROM cleaned),
 csums AS (SELECT comment_id, sum(valence) AS s FROM ctoks JOIN lex USING (term)
           GROUP BY comment_id),
@@ -1294,6 +1295,37 @@ dim_date AS (
                                            INTERVAL 1 DAY)) AS DATE) AS d
         FROM raw_comments))"""
 
+def _star_sql(table: str) -> str:
+    return with_(RAW_COMMENTS, LEX_SQL, FACT_SQL, STAR_DIMS_SQL) + f"\nSELECT * FROM {table}"
+
+
+@query("star_dim_user", _star_sql("dim_user"))
+def star_dim_user(spark, sf):
+    return _star(spark, sf)["dim_user"]
+
+
+@query("star_dim_post", _star_sql("dim_post"))
+def star_dim_post(spark, sf):
+    return _star(spark, sf)["dim_post"]
+
+
+@query("star_dim_date", _star_sql("dim_date"))
+def star_dim_date(spark, sf):
+    return _star(spark, sf)["dim_date"]
+
+
+@query("star_load_types", with_(RAW_COMMENTS, LEX_SQL, FACT_SQL, STAR_DIMS_SQL) + """
+SELECT p.*, CAST(d.month AS INTEGER) AS month, CAST(d.year AS INTEGER) AS year
+FROM dim_post p LEFT JOIN dim_date d ON d.date = CAST(p.post_created_time AS DATE)""")
+def star_load_types(spark, sf):
+    """Posts as they are loaded, beside the loaded date of their creation."""
+    tables = _star(spark, sf)
+    ready = star.conform_for_load({k: tables[k] for k in ("dim_post", "dim_date")})
+    dates = ready["dim_date"].select("date", "month", "year")
+    return ready["dim_post"].join(
+        dates, F.to_date("post_created_time") == dates["date"], "left").drop("date")
+
+
 DTF = "try_strptime(CAST({0} AS VARCHAR), '%Y-%m-%d %H:%M:%S') IS NULL"
 GATE_SQL_CHECKS = {
     "expectation-dim-post": ("dim_post", [

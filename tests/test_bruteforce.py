@@ -3,6 +3,7 @@
 
 import math
 import random
+import string
 from collections import Counter
 from fractions import Fraction
 
@@ -86,15 +87,21 @@ def test_extract_equals_a_counter(spark):
     assert got == dict(want)
 
 
+def _chunks(text):
+    """Chunks between white space, bare of punctuation if over two characters are left."""
+    bare = [(x, x.strip(string.punctuation)) for x in regex.split("[\t-\r ]+", text) if x]
+    return [b if len(b) > 2 else x for x, b in bare]
+
+
 def _score_py(text, lex, negators=(), boosters=None, contrast=None,
               punctuation=False, caps=False):
     if caps:
-        orig = TOKEN.findall(text) if text else []
+        orig = _chunks(text) if text else []
         toks = [t.lower() for t in orig]
         up = [t.isupper() for t in orig]
         capdiff = 0 < sum(up) < len(orig)
     else:
-        toks = TOKEN.findall(text.lower()) if text else []
+        toks = _chunks(text.lower()) if text else []
         up, capdiff = [False] * len(toks), False
     ci = toks.index(contrast) if contrast in toks else None
     s = 0.0

@@ -1,13 +1,14 @@
 """Repeated ids, NaN, dirty text, null keys and extreme numbers."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from chorus.functions.labels import score_label
 from chorus.operators import quality, stance, stats
-from chorus.operators.lexicon import lexicon_score, lexicon_scores
+from chorus.operators.lexicon import Rules, lexicon_score, lexicon_scores
 from chorus.sources import sampling
 
 
@@ -111,3 +112,41 @@ def test_author_join_keeps_nulls_and_text_out(spark):
         assert "text" not in joined[1].split("AS topic")[-1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scoring_keeps_contractions_and_symbol_tokens(spark):
+    from chorus.functions.text import scoring_tokens
+    from test_bruteforce import _chunks
+    lex = spark.createDataFrame([(":)", 2.0), ("Great", 3.0), ("good", 1.9), ("good", 1.9)],
+                                "term string, valence double")
+    df = spark.createDataFrame([(1, "nice :)"), (2, "Great!"), (3, "isn't good"), (4, "(good)")],
+                               "id long, text string")
+    got = {r.id: r.sentiment_score for r in lexicon_scores(
+        df, "id", "text", lex, rules=Rules(negators=["isn't"])).collect()}
+    assert got == {k: round(s / (s * s + 15) ** 0.5, 4)
+                   for k, s in {1: 2.0, 2: 3.0, 3: 1.9 * -0.74, 4: 1.9}.items()}
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab'!?\"()é𝒳 \n\t_:-") for _ in range(rng.randint(0, 25)))
+             for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", scoring_tokens("t").alias("x")).collect()
+    assert all(r.x == _chunks(r.t.lower()) for r in rows)
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark, monkeypatch):
+    from chorus.operators import joins
+    df = spark.createDataFrame([("x" * 500,)] * 5, "term string")
+
+    def hinted(d):
+        return "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(joins.small_side(df, 5)) and not hinted(joins.small_side(df, 4))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 2000)
+    assert not hinted(joins.small_side(df, 5))
+
+
+def test_conform_finds_columns_in_any_case(spark):
+    from chorus.operators.clean import conform, conform_report
+    df = spark.createDataFrame([("1",), ("x",)], "Id string")
+    assert [r[0] for r in conform(df, {"id": "int"}).collect()] == [1, None]
+    assert [tuple(r) for r in conform_report(df, {"ID": "int"}).collect()] == [("ID", 1)]
