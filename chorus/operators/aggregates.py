@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chorus.session import cut_lineage
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -93,25 +95,67 @@ def cohort_period_means(df: DataFrame, value: str,
 
 def numeric_summary(df: DataFrame, col: str, exact: bool = True,
                     accuracy: int = 100000) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max of one column.
+    """count, mean, sample std, min, quartiles, max of one column (one row;
+    all but the count are null when there is no value).
 
-    Exact quartiles use ``percentile`` (linear interpolation); its state is
-    one count per distinct value, merged partially across tasks, so it is
-    bounded for rounded scores but not for high-cardinality doubles: pass
-    ``exact=False`` there for ``percentile_approx``.
+    Exact quartiles come from :func:`exact_quantiles`; ``exact=False`` takes
+    ``percentile_approx`` from the same scan instead.
     """
-    c = F.col(col)
-    qs = [0.25, 0.5, 0.75]
-    q = (F.percentile(c, F.array(*[F.lit(x) for x in qs])) if exact
-         else F.percentile_approx(c, qs, accuracy))
+    c, names, qs = F.col(col), ["q25", "q50", "q75"], [0.25, 0.5, 0.75]
+    approx = [] if exact else [F.percentile_approx(c, q, accuracy).cast("double").alias(n)
+                               for n, q in zip(names, qs)]
     out = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"),
                  F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-                 q.alias("_q"), F.max(c).alias("max"))
-    return out.select("n", "mean", "std", "min",
-                      F.col("_q")[0].cast("double").alias("q25"),
-                      F.col("_q")[1].cast("double").alias("q50"),
-                      F.col("_q")[2].cast("double").alias("q75"),
-                      F.col("max").cast("double").alias("max"))
+                 F.max(c).cast("double").alias("max"), *approx)
+    if exact:
+        out = out.unionByName(exact_quantiles(df, col, dict(zip(names, qs))),
+                              allowMissingColumns=True)
+        out = out.agg(*[F.max(x).alias(x) for x in out.columns])
+    return out.select("n", "mean", "std", "min", *names, "max")
+
+
+def exact_quantiles(df: DataFrame, col: str, quantiles: Mapping[str, float]
+                    ) -> DataFrame:
+    """One row with the named quantiles as doubles (linear interpolation
+    between neighbours; null without values).
+
+    Rows are counted per value and the counts are range-partitioned, so no
+    task sees more than its slice.  Slice totals (one row per slice) tell in
+    which slices the wanted ranks lie; only those are ordered.  The slices are
+    checkpointed while the plan is built, as a second reading of a sampled
+    range partitioning might cut elsewhere.
+    """
+    counts = (df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
+    slices = cut_lineage(counts.repartitionByRange("_v")
+                         .withColumn("_p", F.spark_partition_id()))
+    first, size, total = F.col("_first"), F.col("_in"), F.col("_total")
+    per = (slices.groupBy("_p").agg(F.sum("_n").alias("_in"))
+           .withColumn("_first", F.sum("_in").over(Window.orderBy("_p")) - size)
+           .withColumn("_total", F.sum("_in").over(Window.partitionBy())))
+
+    def ranks(q: float):
+        at = F.lit(float(q)) * (total - 1)
+        return F.floor(at), F.ceil(at), at - F.floor(at)
+
+    wanted = F.lit(False)
+    for q in quantiles.values():
+        for r in ranks(q)[:2]:
+            wanted = wanted | ((first <= r) & (r < first + size))
+    # At most two slices per quantile pass.
+    rows = slices.join(F.broadcast(per.where(wanted)), "_p").withColumn(
+        "_before", first - F.col("_n")
+        + F.sum("_n").over(Window.partitionBy("_p").orderBy("_v")))
+    v, before = F.col("_v").cast("double"), F.col("_before")
+
+    def at_rank(r):
+        return F.max(F.when((before <= r) & (r < before + F.col("_n")), v))
+
+    out = rows.agg(*[x for name, q in quantiles.items() for lo, hi, part in [ranks(q)]
+                     for x in (at_rank(lo).alias(f"{name}_lo"), at_rank(hi).alias(f"{name}_hi"),
+                               F.max(part).alias(f"{name}_part"))])
+    return out.select(*[(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo"))
+                         * F.col(f"{n}_part")).alias(n) for n in quantiles])
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None

@@ -695,6 +695,19 @@ def numeric_summary(spark, sf):
                     *_r6("q25", "q50", "q75"), "max")
 
 
+@query("numeric_summary_prices", """
+SELECT count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean,
+       round(stddev_samp(o_totalprice), 4) AS std, min(o_totalprice) AS min,
+       round(quantile_cont(o_totalprice, 0.25), 6) AS q25,
+       round(quantile_cont(o_totalprice, 0.5), 6) AS q50,
+       round(quantile_cont(o_totalprice, 0.75), 6) AS q75, max(o_totalprice) AS max
+FROM orders""")
+def numeric_summary_prices(spark, sf):
+    s = agg.numeric_summary(_t(spark, sf, "orders"), "o_totalprice")
+    return s.select("n", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min",
+                    *_r6("q25", "q50", "q75"), "max")
+
+
 NULL_COLS = ["comment_id", "author_name", "self_text", "post_self_text",
              "user_is_verified", "created_time"]
 

@@ -150,3 +150,19 @@ def test_conform_finds_columns_in_any_case(spark):
     df = spark.createDataFrame([("1",), ("x",)], "Id string")
     assert [r[0] for r in conform(df, {"id": "int"}).collect()] == [1, None]
     assert [tuple(r) for r in conform_report(df, {"ID": "int"}).collect()] == [("ID", 1)]
+
+
+@pytest.mark.parametrize("values", [[], [None], [2.5], [1.0, 2.0], [3.0] * 7 + [None, 9.0],
+                                    [float(x * x % 97) / 7 for x in range(500)]])
+def test_exact_quantiles_equal_numpy(spark, values):
+    import numpy as np
+    from chorus.operators import aggregates
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    r = aggregates.numeric_summary(df, "v").collect()
+    have = [v for v in values if v is not None]
+    assert len(r) == 1 and r[0].n == len(have)
+    got = [r[0].q25, r[0].q50, r[0].q75, r[0].min, r[0].max]
+    if have:
+        assert got == pytest.approx([*np.quantile(have, [0.25, 0.5, 0.75]), min(have), max(have)])
+    else:
+        assert got == [None] * 5
