@@ -15,6 +15,11 @@ ids: more of its copies can never be in a result.  Buckets are cut into
 blocks of about ``BLOCK`` entries that different tasks may hold.  A query
 that finds too few candidates is searched again against every block, so a
 small table gives all its candidates.
+
+The number of hash functions and of probes is fitted on some of the queries
+and their true neighbours in the whole table.  When no number of hash
+functions reaches ``AIM`` within ``MAX_PROBES``, every query is searched
+against every block.
 """
 
 from __future__ import annotations
@@ -35,10 +40,11 @@ TABLES = 4
 BUCKET = 2048
 #: Entries of one block.
 BLOCK = 4096
-#: The index is fitted on at most about this many vectors and probe queries.
+#: The index is fitted on at most about this many vectors and queries.
 SAMPLE, SAMPLE_QUERIES = 4096, 128
-#: Share of the sample's true neighbours that the probes must reach.
+#: Share of the sampled queries' true neighbours that the probes must reach.
 AIM = 0.985
+#: Most probes per table; fewer hash functions are used when more are needed.
 MAX_PROBES = 512
 #: Slot width in standard deviations of a projection of the (lifted) vectors.
 WIDTH = 1.5
@@ -97,14 +103,15 @@ def bucket_keys(table: int, slots: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def fit(sample: np.ndarray, n: int, norm: float, k_nearest: int, seed: int = 7) -> Index:
-    """Hash functions for ``n`` entries, fitted on a bounded sample.
+def fit(sample: np.ndarray, n: int, norm: float, queries: np.ndarray,
+        near: list[np.ndarray], seed: int = 7) -> Index | None:
+    """Hash functions for ``n`` entries, fitted on a bounded ``sample`` of
+    them and on ``queries`` with the vectors of their true neighbours ``near``.
 
-    ``k`` is the smallest number of hash functions for which a sample vector
-    meets at most ``BUCKET`` of ``n`` entries; ``probes`` the smallest number
-    of buckets per table that reaches ``AIM`` of the sample's true neighbours.
-    Neighbours in the sample are farther off than those in the whole table,
-    so the number of probes errs on the high side.
+    ``k`` starts at the smallest number of hash functions for which a sample
+    vector meets at most ``BUCKET`` of ``n`` entries and falls until at most
+    ``MAX_PROBES`` buckets per table reach ``AIM`` of the neighbours;
+    ``probes`` is the smallest number that does.  None when no ``k`` does.
     """
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
@@ -114,31 +121,34 @@ def fit(sample: np.ndarray, n: int, norm: float, k_nearest: int, seed: int = 7)
     spread = float(np.std(lifted @ directions[0].T, axis=0).mean()) or 1.0
     w = WIDTH * spread
     offsets = rng.uniform(0, w, (TABLES, 40))
-    for k in range(2, 41):
-        index = Index(directions[:, :k], offsets[:, :k], w, 1, norm)
+    for most in range(2, 41):
+        index = Index(directions[:, :most], offsets[:, :most], w, 1, norm)
         slots, _ = index.slots(lifted, 0)
         _, size = np.unique(bucket_keys(0, slots), return_counts=True)
         if float((size.astype(float) ** 2).sum()) / len(sample) ** 2 * n <= BUCKET:
             break
-    probes = min(MAX_PROBES, 3 ** k)
-    queries = sample[np.linalg.norm(sample, axis=1) > 0][:SAMPLE_QUERIES]
-    if len(sample) > k_nearest + 1 and len(queries):
-        product = queries @ sample.T
-        product[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
-        near = np.argsort(-product, axis=1, kind="stable")[:, :k_nearest]
-        rank = np.full(near.shape, probes)
-        ql = index.lift_query(queries)
+    asked = [i for i, x in enumerate(near) if len(x)]
+    if not asked:
+        return index
+    ql = blank.lift_query(queries[asked])
+    theirs = [blank.lift(near[i]) for i in asked]
+    for k in range(most, 0, -1):
+        index = Index(directions[:, :k], offsets[:, :k], w, 1, norm)
+        most_probes = min(MAX_PROBES, 3 ** k)
+        ranks = [np.full(len(x), most_probes) for x in theirs]
         for t in range(TABLES):
             base, inside = index.slots(ql, t)
-            theirs, _ = index.slots(lifted, t)
-            delta = theirs[near] - base[:, None, :]
-            moves = index.perturbations(inside, probes)
-            for i in range(len(queries)):
-                hit = (moves[i][None, :, :] == delta[i][:, None, :]).all(axis=2)
-                rank[i] = np.minimum(rank[i], np.where(hit.any(axis=1), hit.argmax(axis=1), probes))
-        ranks = np.sort(rank.ravel())
-        probes = int(min(probes, ranks[int(np.ceil(AIM * len(ranks))) - 1] + 1))
-    return Index(index.a, index.b, w, probes, norm)
+            moves = index.perturbations(inside, most_probes)
+            for i, x in enumerate(theirs):
+                delta = index.slots(x, t)[0] - base[i]
+                hit = (moves[i][None, :, :] == delta[:, None, :]).all(axis=2)
+                ranks[i] = np.minimum(ranks[i], np.where(
+                    hit.any(axis=1), hit.argmax(axis=1), most_probes))
+        every = np.sort(np.concatenate(ranks))
+        probes = int(every[int(np.ceil(AIM * len(every))) - 1]) + 1
+        if probes <= most_probes:
+            return Index(index.a, index.b, w, probes, norm)
+    return None
 
 
 def usable(vec: Column, dim: int | None = None) -> Column:
@@ -154,6 +164,48 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _best(queries: np.ndarray, keep: int, dim: int):
+    """The ``keep`` best rows of each partition for each of a few queries."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = np.zeros((len(queries), 0))
+        vecs = np.zeros((len(queries), 0, dim))
+        for batch in batches:
+            whole = _matrix(batch["vec"], dim)
+            for at in range(0, len(whole), 4096):
+                base = whole[at:at + 4096]
+                new = queries @ base.T
+                pick = np.argsort(-new, axis=1, kind="stable")[:, :keep]
+                score = np.hstack([score, np.take_along_axis(new, pick, axis=1)])
+                vecs = np.concatenate([vecs, base[pick]], axis=1)
+                pick = np.argsort(-score, axis=1, kind="stable")[:, :keep]
+                score = np.take_along_axis(score, pick, axis=1)
+                vecs = np.take_along_axis(vecs, pick[:, :, None], axis=1)
+        if score.size:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(queries)), score.shape[1]), pa.int32()),
+                 pa.array(score.ravel(), pa.float64()),
+                 pa.array(vecs.reshape(-1, dim).tolist(), pa.list_(pa.float64()))],
+                ["query", "score", "vec"])
+    return run
+
+
+def true_neighbours(entries: DataFrame, queries: np.ndarray, k_nearest: int,
+                    dim: int) -> list[np.ndarray]:
+    """The vectors of the ``k_nearest`` best entries of each of a few queries
+    by brute force over all entries, the query's own vector left out."""
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
+    rows = (entries.select("vec").mapInArrow(
+                _best(queries, k_nearest + 1, dim),
+                "query int, score double, vec array<double>")
+            .withColumn("_r", F.row_number().over(best))
+            .filter(F.col("_r") <= k_nearest + 1).orderBy("query", "_r").collect())
+    near: list[list] = [[] for _ in queries]
+    for r in rows:
+        if r["vec"] != queries[r["query"]].tolist() and len(near[r["query"]]) < k_nearest:
+            near[r["query"]].append(r["vec"])
+    return [np.array(x, np.float64).reshape(-1, dim) for x in near]
+
+
 def _hash_entries(index: Index, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,6 +321,19 @@ def _search(entries: DataFrame, probes: DataFrame, k_nearest: int, dim: int) ->
             .mapInArrow(_rerank(k_nearest, dim), "query_id long, entry long, score double"))
 
 
+def _search_all(entries: DataFrame, queries: DataFrame, n: int, k_nearest: int,
+                dim: int) -> DataFrame:
+    """(query_id, entry, score): every query against every block."""
+    cuts = max(1, -(-n // BLOCK))
+    every = entries.select(F.lit(-1).cast("long").alias("bucket"),
+                           F.pmod(F.xxhash64("entry"), F.lit(cuts)).cast("int").alias("block"),
+                           F.col("entry").alias("id"), "vec")
+    asked = queries.select(F.lit(-1).cast("long").alias("bucket"),
+                           F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))).alias("block"),
+                           F.col("query_id").alias("id"), "vec")
+    return _search(every, asked, k_nearest, dim)
+
+
 def _ranked(hits: DataFrame, copies: DataFrame, k_nearest: int) -> DataFrame:
     """The ``k_nearest`` best ids of each query.  Hits are first cut to the
     best entries, then entries become the ids of their copies."""
@@ -325,7 +390,15 @@ def nearest(vectors: DataFrame, is_query: Column, k_nearest: int = 20,
         .orderBy(F.xxhash64("entry", F.lit(1)), "entry").limit(2 * SAMPLE).collect()], np.float64)
     if not len(sample):
         sample = np.array([entries.first()["vec"]], np.float64)
-    index = fit(sample, n, norm, k_nearest)
+    queries = stage(rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "vec")
+                    .groupBy("query_id").agg(F.min("vec").alias("vec")))
+    some = np.array([r["vec"] for r in queries.orderBy(F.xxhash64("query_id"), "query_id")
+                     .limit(SAMPLE_QUERIES).collect()], np.float64).reshape(-1, dim)
+    if not len(some):
+        return spark.createDataFrame([], schema)
+    index = fit(sample, n, norm, some, true_neighbours(entries, some, k_nearest, dim))
+    if index is None:
+        return _ranked(_search_all(entries, queries, n, k_nearest, dim), copies, k_nearest)
 
     hashed = entries.mapInArrow(
         _hash_entries(index, dim), "bucket long, entry long, vec array<double>")
@@ -336,8 +409,6 @@ def nearest(vectors: DataFrame, is_query: Column, k_nearest: int = 20,
     split = blocks.filter("blocks > 1")       # at most tables * entries / BLOCK rows
     placed = (hashed.join(split, "bucket", "left")
               .select("bucket", own_block.alias("block"), F.col("entry").alias("id"), "vec"))
-    queries = stage(rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "vec")
-                    .groupBy("query_id").agg(F.min("vec").alias("vec")))
     visits = (queries.mapInArrow(_probe(index, dim),
                                  "bucket long, query_id long, vec array<double>")
               .join(blocks, "bucket")
@@ -351,12 +422,5 @@ def nearest(vectors: DataFrame, is_query: Column, k_nearest: int = 20,
         .filter(F.col("n") >= enough)
     short = stage(queries.join(met, "query_id", "left_anti"))
     if short.limit(1).count():
-        cuts = max(1, -(-n // BLOCK))
-        every = entries.select(F.lit(-1).cast("long").alias("bucket"),
-                               F.pmod(F.xxhash64("entry"), F.lit(cuts)).cast("int").alias("block"),
-                               F.col("entry").alias("id"), "vec")
-        asked = short.select(F.lit(-1).cast("long").alias("bucket"),
-                             F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))).alias("block"),
-                             F.col("query_id").alias("id"), "vec")
-        hits = hits.unionByName(_search(every, asked, k_nearest, dim))
+        hits = hits.unionByName(_search_all(entries, short, n, k_nearest, dim))
     return _ranked(hits, copies, k_nearest)

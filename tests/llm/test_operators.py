@@ -466,6 +466,27 @@ def test_nearest_odd_vectors(spark):
     assert ann.nearest(d.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("most_probes, aim", [(6, 0.985), (1, 1.0)])
+def test_nearest_reaches_its_aim_under_few_probes(spark, monkeypatch, most_probes, aim):
+    """Many hash functions for the table's size, too few probes for them."""
+    monkeypatch.setattr(ann, "BUCKET", 16)
+    monkeypatch.setattr(ann, "MAX_PROBES", most_probes)
+    monkeypatch.setattr(ann, "AIM", aim)
+    x = np.random.default_rng(3).normal(size=(6_000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                              "vec_id long, embedding array<double>")
+    got = ann.nearest(d, F.col("vec_id") % 60 == 0, 10).collect()
+    hits = 0
+    for q in range(0, 6_000, 60):
+        score = x @ x[q]
+        score[q] = -np.inf
+        best = set(np.argsort(-score)[:10].tolist())
+        hits += len(best & {r.vec_id for r in got if r.query_id == q})
+    assert len(got) == 1_000
+    assert hits >= (950 if aim < 1 else 1_000)      # searched exactly where no probes reach it
+
+
 # ----------------------------------------------------------------- pipeline
 def test_pipeline_stages_against_brute_force(spark, odd, empty):
     import corpus_pipeline as p
