@@ -3,8 +3,10 @@
 A gear hash rolls over the bytes of each text; a chunk ends where its low
 bits are zero, so borders depend on the last ``WINDOW`` bytes only and an
 insertion shifts no border beyond its surroundings.  Chunks are named by
-their digest; of equal chunks those in the document with the smallest id stay, and
-runs of repeated chunks with the same keeper form a span.
+their digest; of equal chunks those in the document with the smallest id stay.
+Neighbouring repeated chunks with one keeper form a piece, extended at both ends
+as far as the text equals the keeper's.  Pieces that touch form a run, whatever
+their keepers, and the length limit holds for the run.
 """
 
 from __future__ import annotations
@@ -18,16 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from chorus.llm.common import prepare, stage
+from chorus.llm.common import prepare
 
-#: Bytes that a border depends on; also the shortest chunk but for a text's last.
+#: Bytes that a border depends on.
 WINDOW = 32
+#: Shortest chunk but for a text's last.
+MIN_CHUNK = 16
 #: A border every 2**MASK_BITS bytes on average, beyond the shortest chunk.
-MASK_BITS = 5
+MASK_BITS = 4
 #: Longest chunk.
 MAX_CHUNK = 256
-#: Shortest span that is reported; shorter repeats are lines and stock phrases.
-MIN_SPAN = 128
+#: Shortest run that is reported: below 51 words of one letter each.
+MIN_SPAN = 100
+#: Code points on either side of a piece that are compared with the keeper's;
+#: borders of equal texts meet again after few chunks.
+REACH = 4 * MAX_CHUNK
 #: Bytes hashed at a time.
 BLOCK = 1 << 22
 
@@ -68,7 +75,7 @@ def borders(x: np.ndarray) -> list[int]:
         while e - start > MAX_CHUNK:
             start = _cut(starts_character, start + MAX_CHUNK)
             out.append(start)
-        if e - start >= WINDOW:
+        if e - start >= MIN_CHUNK:
             out.append(e)
             start = e
     while n - start > MAX_CHUNK:
@@ -133,44 +140,130 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             .mapInArrow(_chunks, CHUNK))
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    return next((i for i in range(n) if a[i] != b[i]), n)
+
+
+def _resolve(text: str, pieces: list[dict]) -> list[list[tuple]]:
+    """The runs of one text, each a list of (start, end, n_chunks,
+    keep_doc_id).  A piece inside an extended one with a smaller keeper joins
+    it; what two spans both reach counts for the first."""
+    spans: list[list] = []
+    for p in sorted(pieces, key=lambda p: (p["keep_doc_id"], p["start"])):
+        start, end = p["start"], p["end"]
+        inside = next((x for x in spans if x[0] <= start and end <= x[1]), None)
+        if inside:
+            inside[2] += p["n_chunks"]
+            continue
+        before, after = p["before"], p["after"]
+        own = text[max(0, start - len(before)):start]
+        spans.append([start - _common(own[::-1], before[::-1]),
+                      end + _common(text[end:end + len(after)], after),
+                      p["n_chunks"], p["keep_doc_id"]])
+    runs: list[list[tuple]] = []
+    last = -1
+    for start, end, n, keep in sorted(spans):
+        if end <= last:
+            continue
+        if not runs or start > last:
+            runs.append([])
+        runs[-1].append((max(start, last), end, n, keep))
+        last = end
+    return runs
+
+
+SPAN = ("doc_id long, doc_key long, start long, end long, n_bytes long, "
+        "n_chunks long, keep_doc_id long")
+
+
+def _spans(min_span: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "doc_key", "start", "end", "n_bytes", "n_chunks", "keep_doc_id"]
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                pieces: dict[int, dict] = {}
+                for x in r["sides"]:
+                    pieces.setdefault(x["start"], x)[x["side"]] = x["part"]
+                for spans in _resolve(r["text"], list(pieces.values())):
+                    size = [len(r["text"][a:b].encode()) for a, b, _, _ in spans]
+                    if sum(size) >= min_span:
+                        rows += [(r["doc_id"], r["doc_key"], a, b, n_bytes, n, keep)
+                                 for (a, b, n, keep), n_bytes in zip(spans, size)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names)
+    return run
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_span: int = MIN_SPAN) -> DataFrame:
     """One row per repeated span: doc_id, doc_key, start and end (code
     points), n_bytes, n_chunks and keep_doc_id, the document whose copy stays.
 
     A chunk is repeated when an equal one occurs in a document with a smaller
-    id; consecutive repeated chunks with the same keeper are one span, and
-    spans of at least ``min_span`` bytes are reported.  Repeats within one
-    document (a refrain, a ruled table) are left alone.  Null ids rank last.
-    Rows that share an id are one document; equal rows report their spans
-    once.  Documents without a repeat have no row.
+    id.  A span is a stretch of chunks with the same keeper, extended at both
+    ends over the text that equals the keeper's.  Spans that touch are a run,
+    and the spans of runs of at least ``min_span`` bytes are reported (one of
+    several spans may be shorter).  Repeats within one document (a
+    refrain, a ruled table) are left alone.  Null ids rank last.  Rows that
+    share an id are one document; equal rows report their spans once.
+    Documents without a repeat have no row.
     """
-    found = stage(chunks(docs, id_col, text_col))
+    # Chunks are made twice, which costs less than to keep them all on disk.
+    found = chunks(docs, id_col, text_col)
     # Chunks of one digest are counted before the shuffle, so a passage that a
     # third of all documents share costs one row per task.
+    place = F.struct("doc_id", "doc_key", "start")
     groups = (found.groupBy("digest")
-              .agg(F.min("doc_id").alias("keep_doc_id"), F.max("doc_id").alias("_last"),
-                   F.max("n_bytes").alias("_bytes"), F.count("doc_id").alias("_ids"),
-                   F.count(F.lit(1)).alias("_n"))
-              .filter("keep_doc_id < _last OR (_ids > 0 AND _ids < _n)")
-              .select(F.col("digest").alias("_d"), "_bytes", "keep_doc_id"))
+              .agg(F.min(F.when(F.col("doc_id").isNotNull(), place)).alias("_keep"),
+                   F.max("doc_id").alias("_last"), F.max("n_bytes").alias("_bytes"),
+                   F.max(F.col("doc_id").isNull()).alias("_null"))
+              .filter("_keep.doc_id < _last OR (_last IS NOT NULL AND _null)")
+              .select(F.col("digest").alias("_d"), "_bytes", "_keep"))
     # Joined on digest and length: the length needs a shuffle of both sides,
     # and AQE may then split a digest with very many chunks.
     repeats = (found.join(groups, (F.col("digest") == F.col("_d"))
                           & (F.col("n_bytes") == F.col("_bytes")))
-               .filter((F.col("doc_id") > F.col("keep_doc_id")) | F.col("doc_id").isNull())
-               .select("doc_id", "doc_key", "chunk", "start", "end", "n_bytes", "keep_doc_id"))
-    run = Window.partitionBy("doc_id", "doc_key").orderBy("chunk")
+               .filter((F.col("doc_id") > F.col("_keep.doc_id")) | F.col("doc_id").isNull())
+               .select("doc_id", "doc_key", "chunk", "start", "end", "_keep"))
+    run = Window.partitionBy("doc_key").orderBy("chunk")
     fresh = (F.col("chunk") != F.lag("chunk").over(run) + 1) \
-        | (F.col("keep_doc_id") != F.lag("keep_doc_id").over(run))
-    return (repeats.distinct()
-            .withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
-            .withColumn("_run", F.sum("_new").over(run))
-            .groupBy("doc_id", "doc_key", "_run")
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                 F.sum("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("n_chunks"),
-                 F.min("keep_doc_id").alias("keep_doc_id"))
-            .filter(F.col("n_bytes") >= min_span).drop("_run"))
+        | (F.col("_keep.doc_id") != F.lag("_keep.doc_id").over(run))
+    pieces = (repeats.repartition("doc_key").dropDuplicates(["doc_key", "chunk"])
+              .withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
+              .withColumn("_piece", F.sum("_new").over(run))
+              .groupBy("doc_key", "_piece")
+              .agg(F.first("doc_id").alias("doc_id"),
+                   F.min("start").alias("start"), F.max("end").alias("end"),
+                   F.count(F.lit(1)).alias("n_chunks"),
+                   F.min_by("_keep", "chunk").alias("_first"),
+                   F.max_by(F.struct(F.col("_keep.doc_key").alias("doc_key"),
+                                     (F.col("_keep.start") + F.col("end") - F.col("start"))
+                                     .alias("end")), "chunk").alias("_last")))
+    texts = (docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("text_key"),
+                         F.col(text_col).alias("text"))
+             .filter(F.length("text") > 0).dropDuplicates(["text_key"]))
+    # The keepers' texts around the pieces; a keeper of very many is a skewed
+    # join, which AQE may split.
+    own = ["doc_id", "doc_key", "start", "end", "n_chunks", "keep_doc_id"]
+    ask = F.explode(F.array(
+        F.struct(F.lit("before").alias("side"), F.col("_first.doc_key").alias("text_key"),
+                 F.greatest(F.col("_first.start") - REACH, F.lit(0)).cast("int").alias("at"),
+                 F.least(F.col("_first.start"), F.lit(REACH)).cast("int").alias("n")),
+        F.struct(F.lit("after").alias("side"), F.col("_last.doc_key").alias("text_key"),
+                 F.col("_last.end").cast("int").alias("at"), F.lit(REACH).alias("n")))).alias("ask")
+    around = (pieces.withColumn("keep_doc_id", F.col("_first.doc_id")).select(*own, ask)
+              .select(*own, "ask.*").join(texts, "text_key")
+              .select(*own, "side", F.expr("substring(text, at + 1, n)").alias("part")))
+    per = around.groupBy("doc_key").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.collect_list(F.struct("start", "end", "n_chunks", "keep_doc_id", "side", "part"))
+        .alias("sides"))
+    return (per.join(texts, F.col("doc_key") == F.col("text_key"))
+            .select("doc_id", "doc_key", "text", "sides")
+            .mapInArrow(_spans(min_span), SPAN))
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id",

@@ -146,6 +146,32 @@ def test_passages_across_documents_are_found_and_others_left(spark):
     assert all(cut[i] == texts[i] for i in [0, 201, 202, *range(100, 120)])
 
 
+@pytest.mark.parametrize("letters, half", [((2, 9), False), ((2, 9), True), ((2, 4), False)])
+def test_passages_of_51_words_are_found_to_their_ends(spark, letters, half):
+    """Passages in two otherwise different documents; with ``half`` an earlier
+    document holds the first half, so the keeper changes inside."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvé") for _ in range(rng.randint(*letters)))
+    words = lambda n: [word() for _ in range(n)]
+    rows, whole = [], {}
+    for i in range(0, 600, 3):
+        p = words(51)
+        if half:
+            rows.append((i, " ".join(words(60) + p[:26] + words(60))))
+        rows.append((i + 1, " ".join(words(70) + p + words(70))))
+        rows.append((i + 2, " ".join(words(80) + p + words(80))))
+        whole[i + 2] = " ".join(p)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    texts, covered = dict(rows), collections.defaultdict(set)
+    for r in substring_dedup.repeated_spans(d).collect():
+        piece = texts[r.doc_id][r.start:r.end]
+        assert piece in texts[r.keep_doc_id] and len(piece.encode()) == r.n_bytes
+        covered[r.doc_id] |= set(range(r.start, r.end))
+    full = sum(covered[i] >= set(range(texts[i].index(p), texts[i].index(p) + len(p)))
+               for i, p in whole.items())
+    assert full >= 0.98 * len(whole)
+
+
 def test_substring_dedup_odd_rows(odd, empty):
     rows = substring_dedup.repeated_spans(odd).collect()
     assert {(r.doc_id, r.keep_doc_id) for r in rows} == {(6, 5)}
