@@ -151,7 +151,8 @@ def _resolve(text: str, pieces: list[dict]) -> list[list[tuple]]:
     keep_doc_id).  A piece inside an extended one with a smaller keeper joins
     it; what two spans both reach counts for the first."""
     spans: list[list] = []
-    for p in sorted(pieces, key=lambda p: (p["keep_doc_id"], p["start"])):
+    for p in sorted(pieces, key=lambda p: (
+            p["keep_doc_id"] is None, p["keep_doc_id"] or 0, p["start"])):
         start, end = p["start"], p["end"]
         inside = next((x for x in spans if x[0] <= start and end <= x[1]), None)
         if inside:
@@ -164,7 +165,7 @@ def _resolve(text: str, pieces: list[dict]) -> list[list[tuple]]:
                       p["n_chunks"], p["keep_doc_id"]])
     runs: list[list[tuple]] = []
     last = -1
-    for start, end, n, keep in sorted(spans):
+    for start, end, n, keep in sorted(spans, key=lambda x: x[:2]):
         if end <= last:
             continue
         if not runs or start > last:
@@ -207,7 +208,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ends over the text that equals the keeper's.  Spans that touch are a run,
     and the spans of runs of at least ``min_span`` bytes are reported (one of
     several spans may be shorter).  Repeats within one document (a
-    refrain, a ruled table) are left alone.  Null ids rank last.  Rows that
+    refrain, a ruled table) are left alone.  Null ids rank last,
+    each distinct text a document of its own, in the order of doc_key, and have
+    a null keep_doc_id when no other document holds the passage.  Rows that
     share an id are one document; equal rows report their spans once.
     Documents without a repeat have no row.
     """
@@ -215,22 +218,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = chunks(docs, id_col, text_col)
     # Chunks of one digest are counted before the shuffle, so a passage that a
     # third of all documents share costs one row per task.
-    place = F.struct("doc_id", "doc_key", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "start")
     groups = (found.groupBy("digest")
-              .agg(F.min(F.when(F.col("doc_id").isNotNull(), place)).alias("_keep"),
+              .agg(F.min(place).alias("_keep"), F.max("doc_key").alias("_key"),
                    F.max("doc_id").alias("_last"), F.max("n_bytes").alias("_bytes"),
                    F.max(F.col("doc_id").isNull()).alias("_null"))
-              .filter("_keep.doc_id < _last OR (_last IS NOT NULL AND _null)")
+              .filter("_keep.doc_id < _last OR (_last IS NOT NULL AND _null)"
+                      " OR (_last IS NULL AND _keep.doc_key < _key)")
               .select(F.col("digest").alias("_d"), "_bytes", "_keep"))
     # Joined on digest and length: the length needs a shuffle of both sides,
     # and AQE may then split a digest with very many chunks.
     repeats = (found.join(groups, (F.col("digest") == F.col("_d"))
                           & (F.col("n_bytes") == F.col("_bytes")))
-               .filter((F.col("doc_id") > F.col("_keep.doc_id")) | F.col("doc_id").isNull())
+               .filter((F.col("doc_id") > F.col("_keep.doc_id"))
+                       | (F.col("doc_id").isNull() & (F.col("doc_key") != F.col("_keep.doc_key"))))
                .select("doc_id", "doc_key", "chunk", "start", "end", "_keep"))
     run = Window.partitionBy("doc_key").orderBy("chunk")
     fresh = (F.col("chunk") != F.lag("chunk").over(run) + 1) \
-        | (F.col("_keep.doc_id") != F.lag("_keep.doc_id").over(run))
+        | ~F.col("_keep.doc_id").eqNullSafe(F.lag("_keep.doc_id").over(run)) \
+        | (F.col("_keep.no_id") & (F.col("_keep.doc_key") != F.lag("_keep.doc_key").over(run)))
     pieces = (repeats.repartition("doc_key").dropDuplicates(["doc_key", "chunk"])
               .withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
               .withColumn("_piece", F.sum("_new").over(run))

@@ -172,6 +172,22 @@ def test_passages_of_51_words_are_found_to_their_ends(spark, letters, half):
     assert full >= 0.98 * len(whole)
 
 
+def test_passages_shared_only_by_rows_without_id(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join(rng.choice("abcdefg") * rng.randint(1, 3) + str(rng.random())[2:7] for _ in range(n))
+    p, q = words(60), words(60)
+    texts = [words(70) + " " + p + " " + words(70) for _ in range(2)]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]),
+            (4, words(70) + " " + q), (None, words(80) + " " + q)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.repeated_spans(d).collect()
+    assert sorted((r.doc_id is None, r.keep_doc_id or 0) for r in got) == [(True, 0), (True, 4)]
+    cut = collections.Counter(r.text for r in substring_dedup.cut_spans(
+        d, substring_dedup.repeated_spans(d)).collect())
+    assert sum(n for x, n in cut.items() if p in x) in (1, 2)
+    assert sum(n for x, n in cut.items() if q in x) == 1
+
+
 def test_substring_dedup_odd_rows(odd, empty):
     rows = substring_dedup.repeated_spans(odd).collect()
     assert {(r.doc_id, r.keep_doc_id) for r in rows} == {(6, 5)}
