@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,5 +76,28 @@ def broadcast_if_small(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if n_rows * row_bytes <= BROADCAST_BYTES else df
 
 
-__all__ = ["read_table", "prepare", "stage", "null_key",
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of a partition that is sorted by ``keys`` (integers), one
+    table per distinct key."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        cols = np.stack([batch[k].to_numpy().astype(np.int64) for k in keys])
+        edges = (np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(axis=0)) + 1).tolist()
+        if held and tuple(cols[:, 0]) != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, stop in zip([0, *edges], [*edges, len(batch)]):
+            held.append(batch.slice(start, stop - start))
+            if stop < len(batch):
+                yield pa.Table.from_batches(held)
+                held = []
+        last = tuple(cols[:, -1])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+__all__ = ["read_table", "prepare", "stage", "null_key", "sorted_groups",
            "broadcast_if_small", "shared_dir", "SPACE_RUN", "WORD"]

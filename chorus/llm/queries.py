@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorus.llm import (ann, chat_format, exact_dedup, language_id, mixing,
-                        sentencepiece_codec, sharding, simhash,
-                        substring_dedup, token_counts)
-from chorus.llm.common import read_table
+from chorus.llm import (ann, chat_format, exact_dedup, hard_negatives, language_id,
+                        minmax_hash, mixing, periodic_runs, sentencepiece_codec,
+                        sharding, simhash, substring_dedup, token_counts)
+from chorus.llm.common import WORD, read_table
 
 #: Names of the tokenizer files; their folder is a parameter (see ``tokenizer``).
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -154,3 +154,107 @@ def op9_exact_dedup(spark, sf_dir):
 def op10_ann(spark, sf_dir):
     return ann.nearest(read_table(spark, sf_dir, "embeddings"),
                        F.col("vec_id") % 20 == 0, 20)
+
+
+def planted_text(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The contract's planted repeats: every tenth text by CRC-32 of its id
+    goes round and round from a word on."""
+    h = F.crc32(F.col(doc_id).cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
+    n = F.size(words).cast("long")
+    a = F.pmod(g, n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    i32 = lambda c: c.cast("int")
+    turn = F.slice(words, i32(a) + 1, i32(p))
+    turns = F.flatten(F.array_repeat(turn, i32(F.ceil((n - a) / p))))
+    planted = F.concat(F.slice(words, F.lit(1), i32(a)), F.slice(turns, F.lit(1), i32(n - a)))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(planted, " ")).otherwise(F.col(text))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", planted_text().alias("text"))
+    found = periodic_runs.periodic_runs(docs)
+    # Greatest length, then smallest start, then smallest period.
+    top = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"),
+        (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]),
+                              F.lit("\n"))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM worded),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+       coalesce(low.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(low.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
+
+@query("op12_minhash", OP12_SQL)
+def op12_minhash(spark, sf_dir):
+    return minmax_hash.minmax_components(read_table(spark, sf_dir, "documents"), shingle=4,
+                                         percent=80)
+
+
+OP13_SQL = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id
+                          ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10) \
+        .otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0)
