@@ -17,9 +17,9 @@ TOKEN_RE = rf"[{WORD_CHARS}]{{{MIN_TOKEN_LEN},}}"
 # Sentiment scoring keeps what that rule cuts: a chunk between white space
 # loses the punctuation around it when more than two characters remain
 # ("isn't", "good"), else it stays whole (":)", "ok!"), as published.
-_SPACE, _PUNCT = r"\x09-\x0D ", r"!-/:-@\[-`{-~"
-_CORE = rf"[^{_SPACE}{_PUNCT}][^{_SPACE}]+[^{_SPACE}{_PUNCT}]"
-SCORING_RE = rf"{_CORE}|(?<![^{_SPACE}])(?![{_PUNCT}]*+{_CORE})[^{_SPACE}]+"
+# Cutting at one blank and trimming are byte searches, no regex.
+_BREAKS = "\t\n\x0b\x0c\r"
+_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 MODES = ("substring", "word", "regex")
 
@@ -82,11 +82,24 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_RE), 0)
 
 
+def scoring_chunks(text) -> Column:
+    """Array of the chunks between white space, empty ones included."""
+    return F.split(F.translate(_c(text), _BREAKS, " " * len(_BREAKS)), " ")
+
+
+def scoring_term(chunk: Column) -> Column:
+    """A chunk without the punctuation around it when more than two
+    characters remain, else the chunk."""
+    bare = F.btrim(chunk, F.lit(_PUNCT))
+    return F.when(F.length(bare) > 2, bare).otherwise(chunk)
+
+
 def scoring_tokens(text, lower: bool = True) -> Column:
-    """Array of the tokens of sentiment scoring, in one regex pass:
-    contractions and symbol tokens such as ":)" are kept."""
+    """Array of the tokens of sentiment scoring: contractions and symbol
+    tokens such as ":)" are kept."""
     t = _c(text)
-    return F.regexp_extract_all(F.lower(t) if lower else t, F.lit(SCORING_RE), 0)
+    chunks = F.filter(scoring_chunks(F.lower(t) if lower else t), lambda x: x != "")
+    return F.transform(chunks, scoring_term)
 
 
 def nan_to_null(c) -> Column:

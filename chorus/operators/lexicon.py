@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.functions.text import scoring_tokens
+from chorus.functions.text import scoring_chunks, scoring_term, scoring_tokens
 from chorus.operators.joins import small_side
 
 # Fixed values of the published method.
@@ -112,7 +112,9 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     n, total = F.count("_row"), F.sum("_v")
 
     if rules is None:
-        hits = (df.select(*key, F.explode(scoring_tokens(F.col(text))).alias("term"))
+        chunk = F.col("_chunk")
+        hits = (df.select(*key, F.explode(scoring_chunks(F.lower(F.col(text)))).alias("_chunk"))
+                .filter(chunk != "").select(*key, scoring_term(chunk).alias("term"))
                 .join(lex, "term").select(*key, F.col("valence").alias("_v")))
         return (with_every_row(hits, ["_v"]).groupBy(*key)
                 .agg(n.alias("_n"), F.try_divide(total, n).alias("_s")))
@@ -227,13 +229,18 @@ def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                   out: str = "sentiment_score", rules: Rules | None = None,
                   alpha: float = ALPHA, places: int = 4,
                   score_type: str = "double",
-                  lexicon_rows: int | None = None) -> DataFrame:
+                  lexicon_rows: int | None = None,
+                  null_ids: bool = True) -> DataFrame:
     """``df`` with a sentiment score column; every row is scored by its own
-    text, however often its id occurs.
+    text, however often its id occurs, null ids too.
     ``lexicon_rows``: the lexicon's size when the caller knows it.
 
-    The texts' digests are compared beside the join on the id, not as a key
-    of it, so a table bucketed by id still joins without a shuffle.
+    The join back has two equality keys, id and text digest, so one id with
+    many texts is not paired with all of them, and Catalyst drops the scoring
+    when nothing reads the score.  ``null_ids=False`` says that no id is null:
+    the keys are then plain columns, and a table bucketed by id joins without
+    a shuffle under ``spark.sql.requireAllClusterKeysForCoPartition=false``
+    (set by ``chorus.session``).
     """
     sums = lexicon_sums(df, id_col, text, lexicon, rules,
                         lexicon_rows=lexicon_rows) \
@@ -242,8 +249,9 @@ def lexicon_score(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     if score_type == "float":
         s = s.cast("float")
     left = df.withColumn("_d", text_digest(F.col(text)))
-    same = (left[id_col] == sums["_id"]) \
-        & (left["_d"].bitwiseXOR(sums["_sd"]) == 0)
+    ids = (left[id_col].eqNullSafe(sums["_id"]) if null_ids
+           else left[id_col] == sums["_id"])
+    same = ids & (left["_d"] == sums["_sd"])
     return left.join(sums, same, "left").withColumn(out, s) \
         .drop("_s", "_d", "_sd", "_id")
 

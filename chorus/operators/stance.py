@@ -73,6 +73,13 @@ def author_stance_onepass(comments: DataFrame, author: str, text: str,
     # once per row and rows of neither side only touch the partial buffer.
     flags = comments.select(author, exact_score(s).alias("_x"),
                             only_a.alias("_a"), only_b.alias("_b"))
+    return stance_of_flags(flags, author, label_a, label_b)
+
+
+def stance_of_flags(flags: DataFrame, author: str, label_a: str = "Pro A",
+                    label_b: str = "Pro B") -> DataFrame:
+    """(author, score_a, score_b, stance) from per-comment rows with the exact
+    score ``_x`` and the side flags ``_a`` and ``_b``."""
     x = F.col("_x")
     agg = (flags.filter(F.col(author).isNotNull())
            .groupBy(author)
@@ -84,11 +91,10 @@ def author_stance_onepass(comments: DataFrame, author: str, text: str,
     agg = agg.filter(F.col("_sided")).select(
         author, exact_mean("_xa", "_na").alias("_ma"),
         exact_mean("_xb", "_nb").alias("_mb"))
-    agg = agg.select(author, F.col("_ma").cast("double").alias("score_a"),
-                     F.col("_mb").cast("double").alias("score_b"),
-                     F.when(F.col("_mb") > F.col("_ma"), label_b)
-                     .otherwise(label_a).alias("stance"))
-    return agg
+    return agg.select(author, F.col("_ma").cast("double").alias("score_a"),
+                      F.col("_mb").cast("double").alias("score_b"),
+                      F.when(F.col("_mb") > F.col("_ma"), label_b)
+                      .otherwise(label_a).alias("stance"))
 
 
 def author_stance(comments: DataFrame, author: str, text: str, score: str,

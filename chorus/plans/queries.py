@@ -119,17 +119,17 @@ def parquet_roundtrip(spark, sf):
 
 
 @query("hash_sample", f"""
-SELECT doc_id, lang FROM documents
+SELECT * FROM documents
 WHERE CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT)
       < {int(SAMPLE_FRACTION * 2 ** 32)}""")
 def hash_sample(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "lang")
+    d = _t(spark, sf, "documents")
     return sampling.hash_sample(d, "doc_id", SAMPLE_FRACTION)
 
 
 @query("seeded_sample")
 def seeded_sample(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "lang")
+    d = _t(spark, sf, "documents")
     return sampling.seeded_sample(d, SAMPLE_FRACTION, 42)
 
 
@@ -414,20 +414,20 @@ def conform_lost(spark, sf):
 
 
 @query("dedup_rows", """
-SELECT min(doc_id) AS doc_id, text, arg_min(lang, doc_id) AS lang,
-       arg_min(n_chars, doc_id) AS n_chars
+SELECT min(doc_id) AS doc_id, text, arg_min_null(lang, doc_id) AS lang,
+       arg_min_null(source, doc_id) AS source, arg_min_null(n_chars, doc_id) AS n_chars
 FROM documents GROUP BY text""")
 def dedup_rows(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    d = _t(spark, sf, "documents")
     return clean.dedup(d, keys=["text"], order_by=["doc_id"])
 
 
 @query("dedup_exact", """
-SELECT DISTINCT doc_id, lang, source FROM documents""")
+SELECT DISTINCT * FROM documents""")
 def dedup_exact(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "lang", "source")
-    doubled = d.unionByName(d.filter(F.col("doc_id") % 3 == 0))
-    return clean.dedup(doubled)
+    """Whole rows, of which a third came twice."""
+    d = _t(spark, sf, "documents")
+    return clean.dedup(d.unionByName(d.filter(F.col("doc_id") % 3 == 0)))
 
 
 # ============================================================== joins
@@ -1210,8 +1210,9 @@ def dq_suite(spark, sf):
 
 # ======================================================= star schema
 def _star(spark, sf, text_work: bool = False):
-    """The five star tables.  Counting and checking them does no text work
-    (Catalyst drops the scoring join), so the documents are not spread."""
+    """The five star tables.  Checking them does no text work (no check reads
+    the score, so Catalyst drops the scoring join): the documents are spread
+    only for queries that read it."""
     d = _docs(spark, sf) if text_work else _t(spark, sf, "documents")
     raw = proxies.raw_comments(d)
     ev = proxies.monthly_events(_t(spark, sf, "orders"),
@@ -1264,26 +1265,6 @@ def fact_assault(spark, sf):
     return star.clean_events(ev).select(*star.FACT_ASSAULT_COLUMNS)
 
 
-@query("star_schema", with_(RAW_COMMENTS, MONTHLY_EVENTS, EVENTS_CLEAN,
-                            LEX_SQL, FACT_SQL) + """,
-span AS (SELECT min(CAST(created_time AS DATE)) AS lo,
-                max(CAST(created_time AS DATE)) AS hi FROM raw_comments)
-SELECT 'fact_comment' AS table_name, count(*) AS n_rows FROM fact
-UNION ALL SELECT 'fact_assault', count(*) FROM events_clean
-UNION ALL SELECT 'dim_user', count(DISTINCT author_name) FROM cleaned
-UNION ALL SELECT 'dim_post', count(*) FROM (
-  SELECT DISTINCT post_id, post_title, post_self_text, month_year_post FROM cleaned)
-UNION ALL SELECT 'dim_date', CAST(max(hi) - min(lo) + 1 AS BIGINT) FROM span""")
-def star_schema(spark, sf):
-    tables = _star(spark, sf)
-    out = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 STAR_DIMS_SQL = """dim_post AS (
   SELECT post_id, post_title, post_self_text, month_year_post AS month_year,
          max(post_score) AS post_score, max(post_upvote_ratio) AS post_upvote_ratio,
@@ -1308,6 +1289,61 @@ dim_date AS (
                                            INTERVAL 1 DAY)) AS DATE) AS d
         FROM raw_comments))"""
 
+# Whole-number measures of each star table, whose sums are the same in any
+# order: (table, CTE, [(measure, Spark expression, SQL expression)]).
+def _days(c):
+    return (f"datediff(to_date({c}), date'1970-01-01')",
+            f"date_diff('day', DATE '1970-01-01', CAST({c} AS DATE))")
+
+
+def _plain(*cols):
+    return [(c, f"CAST({c} AS BIGINT)", f"CAST({c} AS BIGINT)") for c in cols]
+
+
+def _hundredths(c, factor):
+    e = f"CAST(round(CAST({c} AS DOUBLE) * {factor}) AS BIGINT)"
+    return (c, e, e)
+
+
+STAR_MEASURES = [
+    ("fact_comment", "fact", [
+        *_plain("score", "controversiality"), _hundredths("sentiment_score", 10000),
+        ("self_text", "char_length(self_text)", "length(self_text)"),
+        ("created_time", *_days("created_time"))]),
+    ("fact_assault", "events_clean", _plain("events", "fatalities")),
+    ("dim_user", "dim_user", [
+        ("user_is_verified", *["CASE WHEN user_is_verified THEN 1 ELSE 0 END"] * 2),
+        ("user_account_created_time", *_days("user_account_created_time")),
+        *_plain(*star.USER_MAX[1:])]),
+    ("dim_post", "dim_post", [
+        *_plain("post_score", "post_thumbs_ups", "post_total_awards_received"),
+        _hundredths("post_upvote_ratio", 100),
+        ("post_created_time", *_days("post_created_time"))]),
+    ("dim_date", "dim_date", [*_plain("month", "year"), ("date", *_days("date"))]),
+]
+
+
+@query("star_schema", with_(RAW_COMMENTS, MONTHLY_EVENTS, EVENTS_CLEAN, LEX_SQL, FACT_SQL,
+                            STAR_DIMS_SQL) + "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS table_name, '{name}' AS measure, count(*) AS n_rows, "
+    f"CAST(sum({sql}) AS BIGINT) AS total FROM {cte}"
+    for table, cte, measures in STAR_MEASURES for name, _, sql in measures))
+def star_schema(spark, sf):
+    """Row count and sum of every measure of the five tables."""
+    tables = _star(spark, sf, text_work=True)
+    out = None
+    for table, _, measures in STAR_MEASURES:
+        sums = tables[table].agg(F.count(F.lit(1)).alias("n"), *[
+            F.expr(f"sum({e})").cast("bigint").alias(f"s{i}")
+            for i, (_, e, _) in enumerate(measures)])
+        one = sums.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("measure"),
+                     F.col("n").alias("n_rows"), F.col(f"s{i}").alias("total"))
+            for i, (name, _, _) in enumerate(measures)])).alias("r")).select("r.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _star_sql(table: str) -> str:
     return with_(RAW_COMMENTS, LEX_SQL, FACT_SQL, STAR_DIMS_SQL) + f"\nSELECT * FROM {table}"
 
@@ -1388,3 +1424,7 @@ def stream_fact_comment(spark, sf):
                          transform=proxies.raw_comments,
                          glob="documents.parquet")
     return read_facts(spark, f"{base}/sink")
+
+
+# Registered beside these, on the same parameters.
+from chorus.plans import queries_daily  # noqa: E402, F401

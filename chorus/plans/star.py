@@ -118,7 +118,7 @@ def fact_comment(cleaned: DataFrame, lexicon: DataFrame,
     scored = lexicon_score(cleaned.select(*FACT_COMMENT_COLUMNS[:-2]),
                            "comment_id", "self_text", lexicon,
                            rules=rules, score_type=score_type,
-                           lexicon_rows=lexicon_rows)
+                           lexicon_rows=lexicon_rows, null_ids=False)
     return scored.withColumn("sentiment_label",
                              score_label("sentiment_score",
                                          score_type=score_type)

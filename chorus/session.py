@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
+    # A table bucketed by id is in place for a join on the id and more.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Remove checkpoint files once their DataFrame is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
