@@ -9,7 +9,7 @@ shingles, the estimate varies less than with as many independent minima.
 
 ``BANDS`` bands of ``ROWS`` values (never both values of one permutation) make
 the buckets.  Two sets of similarity 0.8 miss all buckets with probability
-(1 - 0.8 ** ROWS) ** BANDS, about 1e-7.
+(1 - 0.8 ** ROWS) ** BANDS, about 2e-6.
 
 Equal sets are one node from the start.  Links between nodes are looked for in
 rounds, each confirmed on the full sets, until the buckets hold no more:
@@ -18,11 +18,11 @@ rounds, each confirmed on the full sets, until the buckets hold no more:
   many pairs as it has nodes; its smallest node comes from an aggregation, so
   a bucket may be of any size);
 - then, only in buckets whose nodes still lie in several components, each node
-  with its most similar nodes of other components, by the share of equal
-  signature bytes.  A node asks for few partners at first and for eight times
-  as many in each later round, until no list was cut off: nodes of one
-  component need no link between them, so a dense group is joined by few
-  pairs, and no link between components is lost.
+  with its ``FIRST_PARTNERS`` most similar nodes of other components, by the
+  share of equal signature bytes;
+- last, where those lists were cut off, each node with all similar nodes of
+  other components.  Nodes of one component need no link between them, so a
+  dense group is joined by few pairs, and no link between components is lost.
 
 A bucket of more than ``TASK_NODES`` nodes is cut into chunks, and each pair
 of chunks is a task group, so no group is unbounded.
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +43,17 @@ from chorus.llm.common import broadcast_if_small, prepare, sorted_groups, stage
 from chorus.llm.components import components
 
 SEED = 42
-PERMUTATIONS, BANDS, ROWS = 100, 40, 5
+PERMUTATIONS, BANDS, ROWS = 100, 25, 4
 #: Nodes of one bucket that are compared in one group.
-TASK_NODES = 2048
+TASK_NODES = 1024
 #: Share of equal signature bytes below which a pair is not confirmed, as a
-#: distance from the similarity asked for: seven standard deviations.
-SLACK = 0.2
-#: Partners a node asks for in the first round within buckets.
-FIRST_PARTNERS = 4
+#: distance from the similarity asked for: four standard deviations (a pair of
+#: exactly 0.8 falls below it once in 30,000 times, a closer one less often).
+SLACK = 0.115
+#: Links that one task may join to components (16 bytes each).
+LOCAL_LINKS = 1 << 20
+#: Partners a node asks for in the first round within a bucket.
+FIRST_PARTNERS = 2
 #: Shingles whose permutations are evaluated together; words remembered.
 BLOCK, WORDS = 1 << 15, 1 << 20
 
@@ -60,7 +62,7 @@ _XOR, _MUL = (_RNG.integers(0, 2 ** 64, PERMUTATIONS, dtype=np.uint64) for _ in
 _MUL = _MUL | np.uint64(1)
 _POSITION = _RNG.integers(0, 2 ** 64, 64, dtype=np.uint64) | np.uint64(1)
 
-FEATURES = "struct<n:bigint,node:binary,bands:array<bigint>,sketch:binary>"
+FEATURES = "struct<n:bigint,digest:binary,bands:array<bigint>,sketch:binary>"
 
 
 # ------------------------------------------------------------- sets, signatures
@@ -164,47 +166,83 @@ def features_udf(text: Column, shingle: int) -> Column:
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                           pa.array(keys.ravel(), pa.int64())),
                  pa.array([None if k is None else sketches[k] for k in at], pa.binary())],
-                ["n", "node", "bands", "sketch"])
+                ["n", "digest", "bands", "sketch"])
     return run.asNondeterministic()(text)
 
 
 # --------------------------------------------------------------- confirmation
-def _confirm(percent: int, shingle: int):
-    """Rows (a, b, left, right: the two texts) -> (a, b, linked)."""
+def set_udf(text: Column, shingle: int) -> Column:
+    """The whole shingle set of a text, as the bytes of its sorted hashes."""
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = _Words()
+        for texts in batches:
+            yield pa.array([shingle_set(t.as_py(), shingle, known).tobytes()
+                            for t in texts.cast(pa.binary())], pa.binary())
+    return run.asNondeterministic()(text)
+
+
+def _confirm(percent: int):
+    """Rows (a, b, left, right: the two whole sets) -> (a, b, linked)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, held = _Words(), None, None
         for batch in batches:
             linked = []
-            for a, left, right in zip(batch["a"].to_pylist(),
-                                      batch["left"].cast(pa.binary()),
-                                      batch["right"].cast(pa.binary())):
-                if a != last:
-                    last, held = a, shingle_set(left.as_py(), shingle, known)
-                other = shingle_set(right.as_py(), shingle, known)
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                linked.append(100 * both >= percent * (len(held) + len(other) - both))
+            for left, right in zip(batch["left"], batch["right"]):
+                x = np.frombuffer(left.as_buffer(), np.uint64)
+                y = np.frombuffer(right.as_buffer(), np.uint64)
+                both = np.sort(np.concatenate((x, y)), kind="stable")    # two sorted runs
+                both = int((both[1:] == both[:-1]).sum())
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(
                 [batch["a"], batch["b"], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``, staged; sorted by a, so that a node
-    with many pairs is read once."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) with ``linked``, staged."""
+    left = sets.select(F.col("node").alias("a"), F.col("set").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
     return stage(pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-                 .mapInArrow(_confirm(percent, shingle), "a binary, b binary, linked boolean"))
+                 .mapInArrow(_confirm(percent), "a long, b long, linked boolean"))
+
+
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links (a, b) of a table -> (node, root)."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist()):
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+    nodes = list(up)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())],
+        ["node", "root"])
+
+
+def linked_components(links: DataFrame) -> DataFrame:
+    """(node, root), staged.  A table of at most ``LOCAL_LINKS`` links, as
+    counted, is one task's work; a larger one is contracted in rounds over the
+    cluster.  Both give the same components."""
+    links = stage(links)
+    if links.count() <= LOCAL_LINKS:
+        return stage(links.coalesce(1).mapInArrow(_union_find, "node long, root long"))
+    return stage(components(links))
 
 
 # ------------------------------------------------------ candidates in a bucket
-def _group_pairs(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, partners: int,
-                 percent: int) -> tuple[list, list, bool]:
+def _group_pairs(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, partners: int | None,
+                 percent: int) -> tuple[np.ndarray, np.ndarray, bool]:
     """Positions (i, j): each node outside the group's largest component with
     its most similar nodes of other components; and whether a list was cut."""
     names, number, count = np.unique(comp, return_inverse=True, return_counts=True)
     if len(names) < 2:
-        return [], [], False
+        return np.zeros(0, int), np.zeros(0, int), False
     need = (percent / 100 - SLACK) * sketch.shape[1]
     left, right, cut = [], [], False
     for i in np.flatnonzero(number != count.argmax()).tolist():
@@ -214,26 +252,24 @@ def _group_pairs(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, partners:
         same = (sketch[j] == sketch[i]).sum(axis=1)
         near = same >= need
         j, same = j[near], same[near]
-        if len(j) > partners:
+        if partners and len(j) > partners:
             cut = True
             j = j[np.argsort(-same, kind="stable")[:partners]]
-        left += [i] * len(j)
-        right += j.tolist()
-    return left, right, cut
+        left.append(np.full(len(j), i))
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right), cut
 
 
-def _bucket_pairs(partners: int, percent: int):
+def _bucket_pairs(partners: int | None, percent: int):
     """Rows sorted by (key, cell) -> candidate pairs; a row with null nodes
     tells that a list was cut."""
     def group(rows: pa.Table) -> pa.RecordBatch:
-        comp = np.array([c.hex() for c in rows["comp"].to_pylist()])
+        node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
         sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8)
-        i, j, cut = _group_pairs(comp, rows["n"].to_numpy(),
-                                 sketch.reshape(len(comp), -1), partners, percent)
-        node = rows["node"].to_pylist()
-        a = [min(node[x], node[y]) for x, y in zip(i, j)] + [None] * cut
-        b = [max(node[x], node[y]) for x, y in zip(i, j)] + [None] * cut
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+        i, j, cut = _group_pairs(comp, n, sketch.reshape(len(comp), -1), partners, percent)
+        a = np.minimum(node[i], node[j]).tolist() + [None] * cut
+        b = np.maximum(node[i], node[j]).tolist() + [None] * cut
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                           ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +295,7 @@ def _cells(rows: DataFrame, hot: DataFrame, n_hot: int) -> DataFrame:
             .drop("chunks"))
 
 
-def _spread(comps: DataFrame, members: DataFrame, nodes: DataFrame, partners: int,
+def _spread(comps: DataFrame, members: DataFrame, nodes: DataFrame, partners: int | None,
             percent: int) -> DataFrame:
     """Candidate pairs between components that share a bucket."""
     named = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -273,42 +309,45 @@ def _spread(comps: DataFrame, members: DataFrame, nodes: DataFrame, partners: in
     return (rows.join(nodes.select("node", "n", "sketch"), "node")
             .select("key", F.col("cell").cast("int").alias("cell"), "node", "comp", "n", "sketch")
             .repartition("key", "cell").sortWithinPartitions("key", "cell")
-            .mapInArrow(_bucket_pairs(partners, percent), "a binary, b binary"))
+            .mapInArrow(_bucket_pairs(partners, percent), "a long, b long"))
 
 
 # -------------------------------------------------------------------- operator
-def near_links(nodes: DataFrame, texts, percent: int, shingle: int) -> DataFrame:
-    """Confirmed links (a, b) that connect exactly the nodes that links of at
-    least ``percent`` connect.  ``nodes`` (node, low, n, bands, sketch) is
-    staged; ``texts`` gives (node, text) for a table of nodes."""
-    every = nodes.select("node", "low", "n", F.explode("bands").alias("key"))
-    lead = (every.groupBy("key").agg(F.min(F.struct("low", "node", "n")).alias("lead"),
-                                     F.count(F.lit(1)).alias("many"))
-            .filter("many > 1").select("key", "lead"))
-    starred = stage(every.join(lead, "key").select(
-        "key", "node", F.col("lead.node").alias("top"),
-        (F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent).alias("fits")))
+def near_components(nodes: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(node, root) for every node with a link; root is the same for exactly
+    the nodes that links of at least ``percent`` connect.  ``nodes`` (node, n,
+    bands, sketch) is staged; ``sets_of`` gives (node, set) for a table of
+    nodes."""
+    every = nodes.select("node", F.explode("bands").alias("key"))
+    lead = (every.groupBy("key").agg(F.min("node").alias("top"), F.count(F.lit(1)).alias("many"))
+            .filter("many > 1").select("key", "top"))
+    starred = stage(every.join(lead, "key").select("key", "node", "top"))
     members = starred.select("key", "node")
-    texts = stage(texts(starred.select("node").distinct()))
-    # The smallest nodes, those of most common buckets first.
-    star = (starred.filter("fits AND node <> top").groupBy("node", "top")
+    sets = stage(sets_of(starred.select("node").distinct()))
+    # Of the smallest nodes of its buckets, the one that a node meets most.
+    star = (starred.filter("node <> top").groupBy("node", "top")
             .agg(F.count(F.lit(1)).alias("shared"))
-            .groupBy("node").agg(F.max(F.struct("shared", "top"))["top"].alias("top")))
-    tested = [_confirmed(star.select(F.least("node", "top").alias("a"),
-                                     F.greatest("node", "top").alias("b")).distinct(),
-                         texts, percent, shingle)]
-    partners = FIRST_PARTNERS
-    while True:
-        links = reduce(DataFrame.union, tested).filter("linked").select("a", "b")
-        comps = stage(components(links)).select("node", F.col("root").alias("comp"))
+            .groupBy("node").agg(F.max_by("top", "shared").alias("top")))
+    tested = _confirmed(star.select(F.col("top").alias("a"), F.col("node").alias("b")),
+                        sets, percent)
+    # At first only the stars' links count as components: a finer division
+    # than the components, so no pair between components is left out.
+    up = tested.filter("linked").select(F.col("b").alias("node"), F.col("a").alias("comp"))
+    above = up.select(F.col("node").alias("comp"), F.col("comp").alias("_above"))
+    comps = up.join(above, "comp", "left").select(
+        "node", F.coalesce("_above", "comp").alias("comp"))
+    for partners in (FIRST_PARTNERS, None):
         found = stage(_spread(comps, members, nodes, partners, percent).distinct())
         cut = found.filter("a IS NULL").limit(1).count()
-        tested.append(_confirmed(found.filter("a IS NOT NULL").join(
-            reduce(DataFrame.union, tested).select("a", "b"), ["a", "b"], "left_anti"),
-            texts, percent, shingle))
-        if not cut:          # every pair between the components was confirmed or refused
-            return reduce(DataFrame.union, tested).filter("linked").select("a", "b")
-        partners *= 8
+        more = _confirmed(found.filter("a IS NOT NULL").join(
+            tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
+        tested = tested.union(more)
+        if partners or more.filter("linked").limit(1).count():
+            comps = linked_components(tested.filter("linked").select("a", "b")) \
+                .withColumnRenamed("root", "comp")
+        if not cut:          # every pair between components was confirmed or refused
+            break
+    return comps.select("node", F.col("comp").alias("root"))
 
 
 def minmax_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
@@ -333,24 +372,28 @@ def minmax_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
                              features_udf(F.col("text"), shingle).alias("f"))
                  .select("doc_id", "th", "f.*"))
     low = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
-    nodes = stage(made.filter("n > 0").groupBy("node").agg(
+    # Numbered and staged in one step: the numbers stay as they were written.
+    nodes = stage(made.filter("n > 0").groupBy("digest").agg(
         F.min(low).alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")))
-
-    def texts(wanted: DataFrame) -> DataFrame:
-        """One text of each wanted node: its smallest row's."""
-        named = nodes.join(wanted, "node", "left_semi").select(
-            "node", F.col("low.doc_id").alias("_d"), F.col("low.th").alias("_t"))
+        F.first("sketch").alias("sketch"))
+        .withColumn("node", F.monotonically_increasing_id()))
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """The set of each wanted node, from the text of its smallest row."""
+        named = stage(nodes.join(wanted, "node", "left_semi").select(
+            "node", F.col("low.doc_id").alias("_d"), F.col("low.th").alias("_t")))
+        named = broadcast_if_small(named, named.count(), 64)
         return (rows.join(named, (F.xxhash64("text") == F.col("_t"))
                           & F.col("doc_id").eqNullSafe(F.col("_d")))
-                .select("node", "text").dropDuplicates(["node"]))
-
-    roots = components(near_links(nodes, texts, percent, shingle))
-    rooted = roots.join(nodes.select("node", "low"), "node")
-    lows = rooted.groupBy("root").agg(F.min("low").alias("_low"))
-    label = (nodes.select("node", "low").join(roots, "node", "left").join(lows, "root", "left")
-             .select("node", F.coalesce("_low", "low")["doc_id"].alias("component_id")))
-    return (made.select("doc_id", "n", "node").join(label, "node", "left")
+                .select("node", set_udf(F.col("text"), shingle).alias("set"))
+                .dropDuplicates(["node"]))
+
+    roots = near_components(nodes, sets_of, percent)
+    named = nodes.select("digest", "node", "low").join(roots, "node", "left")
+    lows = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("low").alias("_low"))
+    label = (named.join(lows, "root", "left")
+             .select("digest", F.coalesce("_low", "low")["doc_id"].alias("component_id")))
+    return (made.select("doc_id", "n", "digest").join(label, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id"))
