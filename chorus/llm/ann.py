@@ -335,14 +335,13 @@ def _search_all(entries: DataFrame, queries: DataFrame, n: int, k_nearest: int,
 
 
 def _ranked(hits: DataFrame, copies: DataFrame, k_nearest: int) -> DataFrame:
-    """The ``k_nearest`` best ids of each query.  Hits are first cut to the
-    best entries, then entries become the ids of their copies."""
+    """The ``k_nearest`` best rows of each query.  Hits are first cut to the
+    best entries, then entries become the rows that hold them."""
     top = (hits.dropDuplicates(["query_id", "entry"])
            .withColumn("_r", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
            .filter(F.col("_r") <= k_nearest + 1).drop("_r"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (top.join(copies, "entry").filter("vec_id <> query_id")
-            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(final))
             .filter(F.col("rank") <= k_nearest)
             .select("query_id", "rank", "vec_id", "score"))
@@ -354,48 +353,57 @@ def nearest(vectors: DataFrame, is_query: Column, k_nearest: int = 20,
     product (double precision) found for each query row, nearest first, ties
     to the smaller id.
 
-    ``is_query`` is a condition on ``id_col``.  A query's own id is never its
-    neighbour.  Rows without an id, and vectors that are null, zero or hold a
-    null or non-finite component, take no part; nor do vectors whose length
-    is not the commonest one (the larger of two equally common).  Repeated
-    rows count once; of different query vectors under one id the smallest
-    (as an array) is used.  An empty table gives an empty table.
+    ``is_query`` is a condition on ``id_col``.  Rows of a query's own id are
+    never its neighbours.  Rows without an id, and vectors that are null, zero
+    or hold a null or non-finite component, take no part.  Vectors of each
+    length are searched among themselves, with an index of their own.  Repeated
+    rows count once; rows that share an id but not the vector are candidates
+    of their own.  Of different query vectors under one id the smallest (as an
+    array, shorter lengths apart) is used per length.  Other columns are not
+    read, whatever their names.  An empty table gives an empty table.
     """
     spark = vectors.sparkSession
     prepare(spark)
-    schema = "query_id long, rank int, vec_id long, score double"
-    rows = (vectors.select(F.col(id_col).cast("long").alias("vec_id"),
-                           F.col(vec_col).cast("array<double>").alias("vec"))
+    rows = (vectors
+            .select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
+                    F.col(f"`{vec_col}`").cast("array<double>").alias("vec"),
+                    F.coalesce(is_query, F.lit(False)).alias("asked"))
             .filter(F.col("vec_id").isNotNull() & usable(F.col("vec"))))
-    lengths = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    common = lengths.orderBy(F.desc("n"), F.desc("dim")).first()
-    if common is None:
-        return spark.createDataFrame([], schema)
-    dim = common["dim"]
-    rows = rows.filter(F.size("vec") == dim)
-
-    # One entry per distinct vector, named by its smallest id; of its copies
-    # the smallest ids.  The limit is applied before and after the shuffle.
+    # One row per vector length.
+    lengths = sorted(r["dim"] for r in rows.select(F.size("vec").alias("dim")).distinct().collect())
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim in lengths:
+        found = _nearest_of_length(rows.filter(F.size("vec") == dim), dim, k_nearest)
+        out = found if len(lengths) == 1 else out.unionByName(found)
+    return out
+
+
+def _nearest_of_length(rows: DataFrame, dim: int, k_nearest: int) -> DataFrame:
+    """:func:`nearest` among vectors of one length."""
+    # One entry per distinct vector, with a number of its own (staged, so that
+    # it stays); of its rows the smallest ids.  The limit is applied before and
+    # after the shuffle.
     copy = Window.partitionBy("vec").orderBy("vec_id")
-    ids = rows.dropDuplicates(["vec_id", "vec"]).withColumn("_c", F.row_number().over(copy)) \
-        .filter(F.col("_c") <= k_nearest + 1).drop("_c")
-    ids = stage(ids.withColumn("entry", F.min("vec_id").over(Window.partitionBy("vec"))))
-    entries = ids.filter("vec_id = entry").dropDuplicates(["entry", "vec"]) \
-        .select("entry", "vec")
-    copies = ids.select("entry", "vec_id").distinct()
+    ids = stage(rows.select("vec_id", "vec").distinct()
+                .withColumn("_c", F.row_number().over(copy))
+                .filter(F.col("_c") <= k_nearest + 1))
+    entries = stage(ids.filter("_c = 1").select(
+        F.monotonically_increasing_id().alias("entry"), "vec"))
+    copies = ids.join(entries, "vec").select("entry", "vec_id")
     size2 = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     n, norm = entries.agg(F.count(F.lit(1)), F.sqrt(F.max(size2))).first()
     sample = np.array([r["vec"] for r in entries.filter(
-        F.pmod(F.xxhash64("entry"), F.lit(max(1, -(-n // SAMPLE)))) == 0)
-        .orderBy(F.xxhash64("entry", F.lit(1)), "entry").limit(2 * SAMPLE).collect()], np.float64)
+        F.pmod(F.xxhash64("vec"), F.lit(max(1, -(-n // SAMPLE)))) == 0)
+        .orderBy(F.xxhash64("vec", F.lit(1)), "vec").limit(2 * SAMPLE).collect()], np.float64)
     if not len(sample):
-        sample = np.array([entries.first()["vec"]], np.float64)
-    queries = stage(rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "vec")
+        sample = np.array([entries.orderBy("vec").first()["vec"]], np.float64)
+    queries = stage(rows.filter("asked").select(F.col("vec_id").alias("query_id"), "vec")
                     .groupBy("query_id").agg(F.min("vec").alias("vec")))
     some = np.array([r["vec"] for r in queries.orderBy(F.xxhash64("query_id"), "query_id")
                      .limit(SAMPLE_QUERIES).collect()], np.float64).reshape(-1, dim)
     if not len(some):
-        return spark.createDataFrame([], schema)
+        return queries.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score double")
     index = fit(sample, n, norm, some, true_neighbours(entries, some, k_nearest, dim))
     if index is None:
         return _ranked(_search_all(entries, queries, n, k_nearest, dim), copies, k_nearest)

@@ -123,6 +123,11 @@ class _Windows:
         room = self.budget - fixed - self.past_tokens
         if self.fresh and self.prefix + tokens - self.begun > room:
             done = self.close()
+        if not self.fresh:
+            # The oldest history goes until the turn fits.
+            fixed = self.system[1] if self.system and self.number else 0
+            while self.past and fixed + self.past_tokens + tokens > self.budget:
+                self.past_tokens -= self.past.popleft()[1]
         self.fresh.append((self.turn, tokens, role, text))
         if role == "system" and self.turn == 0:
             self.system = self.fresh[0]

@@ -69,6 +69,22 @@ def null_key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("0"))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` as one struct column ``_row``, so that no name of its columns can
+    clash with names an operator sets."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
+def field(name: str) -> Column:
+    """A column of a packed row."""
+    return F.col("_row").getField(name)
+
+
+def unpacked(cols: list[str], **instead: Column) -> list[Column]:
+    """The columns ``cols`` of a packed row, some of them replaced."""
+    return [instead.get(c, field(c)).alias(c) for c in cols]
+
+
 def broadcast_if_small(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     """Hint a broadcast when ``n_rows`` rows of at most ``row_bytes`` are
     proven to fit; otherwise leave the join to be shuffled (AQE splits its
@@ -99,5 +115,5 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
-__all__ = ["read_table", "prepare", "stage", "null_key", "sorted_groups",
+__all__ = ["read_table", "prepare", "stage", "null_key", "sorted_groups", "packed", "field", "unpacked",
            "broadcast_if_small", "shared_dir", "SPACE_RUN", "WORD"]

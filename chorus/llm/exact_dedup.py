@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import SPACE_RUN, prepare
+from chorus.llm.common import SPACE_RUN, field, packed, prepare, unpacked
 
 #: Bytes of content that a task's table may hold before it spills.
 TABLE_BYTES = 128 << 20
@@ -253,10 +253,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = docs.columns
     groups = content_groups(docs, id_col, text_col, table_bytes).select(
         F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
-    rows = docs.withColumn("_sha", text_digest(F.col(text_col))) \
-        .withColumn("_id", F.col(id_col).cast("long"))
+    rows = packed(docs).withColumn("_sha", text_digest(field(text_col))) \
+        .withColumn("_id", field(id_col).cast("long"))
     kept = rows.join(groups.withColumnRenamed("_sha", "_gsha"),
                      (F.col("_sha") == F.col("_gsha"))
                      & F.col("_id").eqNullSafe(F.col("_keep")))
-    return (kept.dropDuplicates(["_gsha", "_keep"])
-            .select(*[F.col(f"`{c}`") for c in cols]))
+    return kept.dropDuplicates(["_gsha", "_keep"]).select(*unpacked(cols))

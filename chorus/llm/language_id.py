@@ -23,13 +23,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import prepare
+from chorus.llm.common import field, packed, prepare, unpacked
 
 UND = "und"
 #: Hashed features (a power of two); feature 0 is never used.
 BUCKET_BITS = 14
 #: Documents per language that the machines are fitted on, about.
 SAMPLE = 400
+#: Score from which a prediction places a text in its language.
+MIN_SCORE = 0.45
 #: Languages that a label column may hold.
 MAX_LANGUAGES = 1000
 #: Bytes of text whose n-grams are looked up at a time.
@@ -329,15 +331,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> DataFrame:
-    """``docs``, all columns, without the documents of no language: those
-    predicted ``und``, that is without any letter.  With no label to learn
-    from, documents with a letter stay."""
-    cols = docs.columns
+                    lang_col: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs``, all columns, without the documents that the machines place in
+    no learned language: predicted ``und`` (null text, or no letter), or with
+    a score below ``min_score``, where no language is ahead of the others.
+    With no label to learn from, documents with a letter stay.  Repeated rows
+    share their fate, null ids are kept like others, a very long text is
+    read whole by one task, and an empty table gives an empty table."""
     model = train(docs, ~held_out(F.col(id_col)), id_col, text_col, lang_col)
-    letters = has_letter(F.col(text_col))
     if not model.families:
-        return docs.filter(letters)
-    return (docs.withColumn("_p", predict_udf(model)(F.col(text_col), letters))
-            .filter(F.col("_p.lang_pred") != UND)
-            .select(*[F.col(f"`{c}`") for c in cols]))
+        return docs.filter(has_letter(F.col(text_col)))
+    letters = has_letter(field(text_col))
+    return (packed(docs).withColumn("_p", predict_udf(model)(field(text_col), letters))
+            .filter((F.col("_p.lang_pred") != UND) & (F.col("_p.score") >= min_score))
+            .select(*unpacked(docs.columns)))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from chorus.llm.common import WORD, broadcast_if_small, null_key, stage
+from chorus.llm.common import (WORD, broadcast_if_small, field, null_key, packed,
+                               stage, unpacked)
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -164,8 +165,9 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = docs.columns
     plan = plan_mix(_sizes(docs, id_col, text_col, source_col), weights,
                     max_repeat, seed).select("_src", "_rate", "_draw")
-    rows = (docs.withColumn("_id", F.col(id_col)).withColumn("_source", F.col(source_col))
-            .withColumn("_size", word_count(F.col(text_col))))
+    rows = (packed(docs).withColumn("_id", field(id_col))
+            .withColumn("_source", field(source_col))
+            .withColumn("_size", word_count(field(text_col))))
     return (_copies(rows, plan, seed).filter(F.col("_copies") > 0)
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in cols]))
+            .select(*unpacked(cols)))

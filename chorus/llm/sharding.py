@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from chorus.llm.common import null_key, stage
+from chorus.llm.common import field, null_key, packed, stage, unpacked
 
 #: Cells of each ranking (a power of two): rows are numbered within a cell.
 CELL_BITS = 12
@@ -43,10 +43,9 @@ def interleave(df: DataFrame, order_cols: list[str], stratum_col: str,
     cells = 1 << CELL_BITS
     base = df.drop(shard_col, slot_col)
     keep = base.columns
-    rows = stage(base.select(
-        *[F.col(f"`{c}`") for c in keep],
-        null_key(F.col(f"`{stratum_col}`")).alias("_ss"),
-        F.xxhash64(F.lit(seed), *[null_key(F.col(f"`{c}`")) for c in order_cols])
+    rows = stage(packed(base).select(
+        "_row", null_key(field(stratum_col)).alias("_ss"),
+        F.xxhash64(F.lit(seed), *[null_key(field(c)) for c in order_cols])
         .alias("_sh"))
         .withColumn("_sb", F.shiftrightunsigned("_sh", 64 - CELL_BITS)))
 
@@ -58,7 +57,7 @@ def interleave(df: DataFrame, order_cols: list[str], stratum_col: str,
         "_ss", "_sb",
         (F.sum("_n").over(whole.orderBy("_sb")) - F.col("_n")).alias("_before"),
         F.sum("_n").over(whole).alias("_rows"))
-    order = ["_sh", *[f"`{c}`" for c in order_cols]]
+    order = ["_sh", *[field(c) for c in order_cols]]
     ranked = (rows
               .withColumn("_rn", F.row_number().over(
                   Window.partitionBy("_ss", "_sb").orderBy(*order)))
@@ -67,7 +66,7 @@ def interleave(df: DataFrame, order_cols: list[str], stratum_col: str,
                           / F.col("_rows"))
               .withColumn("_cell", F.least(F.floor(F.col("_frac") * cells),
                                            F.lit(cells - 1)).cast("int"))
-              .select(*[F.col(f"`{c}`") for c in keep], "_ss", "_frac", "_cell"))
+              .select("_row", "_ss", "_frac", "_cell"))
     ranked = stage(ranked)
 
     # Position in the order of fractional ranks, by the same two steps.  The
@@ -87,8 +86,7 @@ def interleave(df: DataFrame, order_cols: list[str], stratum_col: str,
             .join(starts, "_cell")
             .withColumn("_pos", pos)
             .withColumn("_shard", shard)
-            .select(*[F.col(f"`{c}`") for c in keep],
-                    F.col("_shard").alias(shard_col),
+            .select(*unpacked(keep), F.col("_shard").alias(shard_col),
                     (F.col("_pos") - first).cast("long").alias(slot_col)))
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import broadcast_if_small, prepare, stage
+from chorus.llm.common import broadcast_if_small, field, packed, prepare, stage, unpacked
 from chorus.llm.components import components
 
 BITS = 64
@@ -326,7 +326,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
             .filter(F.col("doc_id").eqNullSafe(F.col("low")["doc_id"])
                     & (F.col("h") == F.col("low")["h"]))
             .select(F.col("doc_id").alias("_kid"), F.col("h").alias("_kh")).distinct())
-    return (docs.withColumn("_h", digest).withColumn("_id", F.col(id_col).cast("long"))
+    own = F.coalesce(F.md5(F.coalesce(field(text_col), F.lit(""))), F.lit(""))
+    return (packed(docs).withColumn("_h", own).withColumn("_id", field(id_col).cast("long"))
             .join(keep, (F.col("_h") == F.col("_kh"))
                   & F.col("_id").eqNullSafe(F.col("_kid")), "left_semi")
-            .select(*[F.col(f"`{c}`") for c in cols]))
+            .select(*unpacked(cols)))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from chorus.llm.common import prepare
+from chorus.llm.common import field, packed, prepare, unpacked
 
 #: Bytes that a border depends on.
 WINDOW = 32
@@ -284,7 +284,7 @@ def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id",
         F.concat(F.col("_spans.start"), F.array(F.length("_text").cast("long"))),
         lambda a, b: F.substring(F.col("_text"), (a + 1).cast("int"), (b - a).cast("int")))
     kept = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(F.array_join(gaps, ""))
-    return (docs.withColumn("_text", F.col(text_col))
-            .withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col)))
+    return (packed(docs).withColumn("_text", field(text_col))
+            .withColumn("_key", F.xxhash64(field(id_col), field(text_col)))
             .join(per, F.col("_key") == F.col("doc_key"), "left")
-            .select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols]))
+            .select(*unpacked(cols, **{text_col: kept})))
