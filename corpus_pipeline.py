@@ -16,7 +16,8 @@ from chorus.session import scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language (null text, or no letter) go."""
+    """Documents that the machines place in no learned language go: null text,
+    no letter, or a prediction whose score is below ``MIN_SCORE``."""
     return language_id.keep_identified(docs)
 
 
