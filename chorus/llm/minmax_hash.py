@@ -18,14 +18,16 @@ rounds, each confirmed on the full sets, until the buckets hold no more:
   many pairs as it has nodes; its smallest node comes from an aggregation, so
   a bucket may be of any size);
 - then, only in buckets whose nodes still lie in several components, each node
-  with its ``FIRST_PARTNERS`` most similar nodes of other components, by the
-  share of equal signature bytes;
-- last, where those lists were cut off, each node with all similar nodes of
-  other components.  Nodes of one component need no link between them, so a
-  dense group is joined by few pairs, and no link between components is lost.
-
-A bucket of more than ``TASK_NODES`` nodes is cut into chunks, and each pair
-of chunks is a task group, so no group is unbounded.
+  with its ``PARTNERS`` closest nodes of other components, by the share of
+  equal signature bytes;
+- last, in buckets whose nodes lie in several components even then, every
+  similar pair of two components, in the tasks that hold the bucket's sets;
+  they give only links that join two components.  Nodes of one component need
+  no link between them, so a dense group yields few pairs, and no link between
+  components is lost.
+
+A bucket of more than ``TASK_NODES`` nodes, or of large sets, is cut into
+chunks, and each pair of chunks is a task group, so no group is unbounded.
 """
 
 from __future__ import annotations
@@ -44,16 +46,16 @@ from chorus.llm.components import components
 
 SEED = 42
 PERMUTATIONS, BANDS, ROWS = 100, 25, 4
-#: Nodes of one bucket that are compared in one group.
-TASK_NODES = 1024
+#: Nodes of one bucket, and values of their sets, that are compared in one group.
+TASK_NODES, TASK_VALUES = 1024, 1 << 23
 #: Share of equal signature bytes below which a pair is not confirmed, as a
 #: distance from the similarity asked for: four standard deviations (a pair of
 #: exactly 0.8 falls below it once in 30,000 times, a closer one less often).
 SLACK = 0.115
 #: Links that one task may join to components (16 bytes each).
 LOCAL_LINKS = 1 << 20
-#: Partners a node asks for in the first round within a bucket.
-FIRST_PARTNERS = 2
+#: Closest nodes that a node is compared with before all others of a bucket.
+PARTNERS = 2
 #: Shingles whose permutations are evaluated together; words remembered.
 BLOCK, WORDS = 1 << 15, 1 << 20
 
@@ -182,17 +184,20 @@ def set_udf(text: Column, shingle: int) -> Column:
     return run.asNondeterministic()(text)
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of two whole sorted sets."""
+    both = np.sort(np.concatenate((x, y)), kind="stable")        # two sorted runs
+    both = int((both[1:] == both[:-1]).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(percent: int):
     """Rows (a, b, left, right: the two whole sets) -> (a, b, linked)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for left, right in zip(batch["left"], batch["right"]):
-                x = np.frombuffer(left.as_buffer(), np.uint64)
-                y = np.frombuffer(right.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate((x, y)), kind="stable")    # two sorted runs
-                both = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = [_linked(np.frombuffer(x.as_buffer(), np.uint64),
+                              np.frombuffer(y.as_buffer(), np.uint64), percent)
+                      for x, y in zip(batch["left"], batch["right"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["a"], batch["b"], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
     return run
@@ -236,80 +241,104 @@ def linked_components(links: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------ candidates in a bucket
-def _group_pairs(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, partners: int | None,
-                 percent: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Positions (i, j): each node outside the group's largest component with
-    its most similar nodes of other components; and whether a list was cut."""
-    names, number, count = np.unique(comp, return_inverse=True, return_counts=True)
-    if len(names) < 2:
-        return np.zeros(0, int), np.zeros(0, int), False
-    need = (percent / 100 - SLACK) * sketch.shape[1]
-    left, right, cut = [], [], False
-    for i in np.flatnonzero(number != count.argmax()).tolist():
-        # Sizes alone bound the similarity from above.
-        j = np.flatnonzero((number != number[i])
-                           & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
-        same = (sketch[j] == sketch[i]).sum(axis=1)
-        near = same >= need
-        j, same = j[near], same[near]
-        if partners and len(j) > partners:
-            cut = True
-            j = j[np.argsort(-same, kind="stable")[:partners]]
-        left.append(np.full(len(j), i))
-        right.append(j)
-    return np.concatenate(left), np.concatenate(right), cut
-
-
-def _bucket_pairs(partners: int | None, percent: int):
-    """Rows sorted by (key, cell) -> candidate pairs; a row with null nodes
-    tells that a list was cut."""
-    def group(rows: pa.Table) -> pa.RecordBatch:
-        node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8)
-        i, j, cut = _group_pairs(comp, n, sketch.reshape(len(comp), -1), partners, percent)
-        a = np.minimum(node[i], node[j]).tolist() + [None] * cut
-        b = np.maximum(node[i], node[j]).tolist() + [None] * cut
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                                          ["a", "b"])
+class _Group:
+    """The nodes of a bucket, or of two of its chunks, that lie in several
+    components."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        self.node, self.n, self.chunk = (rows[c].to_numpy() for c in ("node", "n", "chunk"))
+        self.comp = np.unique(rows["comp"].to_numpy(), return_inverse=True)[1]
+        self.whole = bool(rows["whole"][0].as_py())
+        self.sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()),
+                                    np.uint8).reshape(len(self.node), -1)
+        self.percent = percent
+        self.need = (percent / 100 - SLACK) * self.sketch.shape[1]
+
+    def similar(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(i, others, equal bytes): each node outside the largest component
+        with the similar nodes of other components.  A pair of two chunks is
+        their common cell's, a pair of one chunk its own cell's."""
+        count = np.bincount(self.comp)
+        if len(count) < 2:
+            return
+        for i in np.flatnonzero(self.comp != count.argmax()).tolist():
+            # Sizes alone bound the similarity from above.
+            low, high = np.minimum(self.n, self.n[i]), np.maximum(self.n, self.n[i])
+            ok = (self.comp != self.comp[i]) & (100 * low >= self.percent * high)
+            if not self.whole:
+                ok &= self.chunk != self.chunk[i]
+            j = np.flatnonzero(ok)
+            same = (self.sketch[j] == self.sketch[i]).sum(axis=1)
+            near = same >= self.need
+            if near.any():
+                yield i, j[near], same[near]
+
+
+def _closest(percent: int):
+    """Rows sorted by (key, cell) -> (a, b): each node with its closest nodes
+    of other components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in sorted_groups(batches, ["key", "cell"]):
+            g = _Group(rows, percent)
+            pairs = [(g.node[i], x) for i, j, same in g.similar()
+                     for x in g.node[j[np.argsort(-same, kind="stable")[:PARTNERS]]]]
+            x = np.array(pairs, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(x.min(axis=1)),
+                                              pa.array(x.max(axis=1))], ["a", "b"])
+    return run
+
 
+def _all_links(percent: int):
+    """Rows sorted by (key, cell), with whole sets -> (a, b): links that join
+    the group's components as far as its pairs do.  A pair is looked at in the
+    first bucket that its nodes share, and only there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_groups(batches, ["key", "cell"]):
-            yield group(rows)
+            g = _Group(rows, percent)
+            key = rows["key"][0].as_py()
+            bands = np.array(rows["bands"].to_pylist(), np.int64)
+            sets = [np.frombuffer(x, np.uint64) for x in rows["set"].to_pylist()]
+            up = list(range(len(g.node)))
+
+            def find(x: int) -> int:
+                while up[x] != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+            links = []
+            for i, others, _ in g.similar():
+                first = (bands[others] == bands[i]).argmax(axis=1)
+                for j in others[bands[i][first] == key].tolist():
+                    x, y = find(int(g.comp[i])), find(int(g.comp[j]))
+                    if x != y and _linked(sets[i], sets[j], percent):
+                        up[x] = y
+                        links.append((g.node[i], g.node[j]))
+            x = np.array(links, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
     return run
 
 
-def _cells(rows: DataFrame, hot: DataFrame, n_hot: int) -> DataFrame:
-    """``rows`` with a column ``cell``: 0, or for a bucket of ``hot`` (key,
-    chunks) every pair of chunks that the node's chunk is part of."""
-    if not n_hot:
-        return rows.withColumn("cell", F.lit(0))
+def _in_buckets(comps: DataFrame, members: DataFrame, carried: DataFrame) -> DataFrame:
+    """The nodes of buckets with several components, sorted by (key, cell),
+    with the columns of ``carried`` (node, n, ...).  A bucket of many nodes or
+    large sets is cut into chunks by hash; each two chunks, and each chunk with
+    itself (``whole``), are a cell."""
+    named = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    per = stage(named.join(carried.select("node", "n"), "node").groupBy("key").agg(
+        F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        F.sum("n").alias("_values"))
+        .filter("_lo <> _hi").select("key", F.greatest(
+            F.ceil(2 * F.col("_n") / TASK_NODES), F.ceil(2 * F.col("_values") / TASK_VALUES))
+            .cast("int").alias("chunks")))
     k = F.col("chunks")
     own = F.pmod(F.xxhash64("node"), k).cast("int")
-    mate = F.when(own == k - 1, F.lit(0)).otherwise(own + 1)
-    pair = lambda x, y: F.least(x, y) * k + F.greatest(x, y)
-    cells = F.array_distinct(F.transform(
-        F.sequence(F.lit(0), k - 1),
-        lambda o: F.when(o == own, pair(own, mate)).otherwise(pair(o, own))))
-    return (rows.join(broadcast_if_small(hot, n_hot, 24), "key", "left")
-            .withColumn("cell", F.explode(F.when(k.isNull(), F.array(F.lit(0))).otherwise(cells)))
-            .drop("chunks"))
-
-
-def _spread(comps: DataFrame, members: DataFrame, nodes: DataFrame, partners: int | None,
-            percent: int) -> DataFrame:
-    """Candidate pairs between components that share a bucket."""
-    named = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    per = stage(named.groupBy("key").agg(
-        F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-        .filter("_lo <> _hi").select("key", "_n"))
-    hot = per.filter(F.col("_n") > TASK_NODES).select(
-        "key", F.ceil(2 * F.col("_n") / TASK_NODES).cast("int").alias("chunks"))
-    rows = named.join(per.select("key"), "key", "left_semi")
-    rows = _cells(rows, hot, hot.count())
-    return (rows.join(nodes.select("node", "n", "sketch"), "node")
-            .select("key", F.col("cell").cast("int").alias("cell"), "node", "comp", "n", "sketch")
-            .repartition("key", "cell").sortWithinPartitions("key", "cell")
-            .mapInArrow(_bucket_pairs(partners, percent), "a long, b long"))
+    cells = F.transform(F.sequence(F.lit(0), k - 1),
+                        lambda o: F.least(o, own) * k + F.greatest(o, own))
+    rows = (named.join(per.withColumn("chunks", F.when(k > 2, k).otherwise(1)), "key")
+            .select("key", "node", "comp", own.alias("chunk"), (own * k + own).alias("_own"),
+                    F.explode(cells).alias("cell")))
+    return (rows.join(carried, "node").withColumn("whole", F.col("cell") == F.col("_own"))
+            .drop("_own").repartition("key", "cell").sortWithinPartitions("key", "cell"))
 
 
 # -------------------------------------------------------------------- operator
@@ -336,18 +365,19 @@ def near_components(nodes: DataFrame, sets_of, percent: int) -> DataFrame:
     above = up.select(F.col("node").alias("comp"), F.col("comp").alias("_above"))
     comps = up.join(above, "comp", "left").select(
         "node", F.coalesce("_above", "comp").alias("comp"))
-    for partners in (FIRST_PARTNERS, None):
-        found = stage(_spread(comps, members, nodes, partners, percent).distinct())
-        cut = found.filter("a IS NULL").limit(1).count()
-        more = _confirmed(found.filter("a IS NOT NULL").join(
-            tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
-        tested = tested.union(more)
-        if partners or more.filter("linked").limit(1).count():
-            comps = linked_components(tested.filter("linked").select("a", "b")) \
-                .withColumnRenamed("root", "comp")
-        if not cut:          # every pair between components was confirmed or refused
-            break
-    return comps.select("node", F.col("comp").alias("root"))
+    carried = nodes.select("node", "n", "sketch")
+    pairs = _in_buckets(comps, members, carried).mapInArrow(_closest(percent), "a long, b long")
+    tested = tested.union(_confirmed(
+        pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent))
+    roots = linked_components(tested.filter("linked").select("a", "b"))
+    comps = roots.select("node", F.col("root").alias("comp"))
+    # What still lies in several components: every similar pair is looked at.
+    rest = _in_buckets(comps, members, nodes.select("node", "n", "bands", "sketch")
+                       .join(sets, "node"))
+    links = stage(rest.mapInArrow(_all_links(percent), "a long, b long"))
+    if not links.limit(1).count():
+        return roots
+    return linked_components(tested.filter("linked").select("a", "b").union(links))
 
 
 def minmax_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
