@@ -76,6 +76,23 @@ def mentions(text, keywords: Iterable[str] | str, mode: str = "substring",
     return F.coalesce(cond, F.lit(False))
 
 
+def mentions_word(text, words: Iterable[str], case_sensitive: bool = False) -> Column:
+    """True when a token of ``text`` is one of ``words``, each a single run of
+    word characters; null text counts as False.
+
+    For thousands of words: one pass cuts the tokens, and each is looked up in
+    a hash set, so the cost does not grow with their number.
+    """
+    t = _c(text)
+    words = {w if case_sensitive else w.lower() for w in _as_list(words)}
+    bad = sorted(w for w in words if not re.fullmatch(r"\w+", w))
+    if not words or bad:
+        raise ValueError(f"words must be single runs of word characters: {bad[:5]}")
+    runs = F.regexp_extract_all(t if case_sensitive else F.lower(t),
+                                F.lit(f"[{WORD_CHARS}]+"), 0)
+    return F.coalesce(F.exists(runs, lambda x: x.isin(sorted(words))), F.lit(False))
+
+
 def tokens(text) -> Column:
     """Array of lower-cased tokens (maximal runs of word characters, length
     >= 2), extracted in one regex pass."""

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from chorus.functions.text import scoring_chunks, scoring_term, scoring_tokens
 from chorus.operators.joins import small_side
+from chorus.session import cut_lineage
 
 # Fixed values of the published method.
 ALPHA = 15.0                      # normalisation constant
@@ -43,6 +44,8 @@ EXCLAIM_STEP, EXCLAIM_MAX = 0.292, 4         # per '!', at most 4 counted
 QUESTION_STEP, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96  # 2-3 '?' / more
 C_INCR = 0.733                               # emphasis of an all-caps word
 LEXICON_MAX_ROWS = 2_000_000
+# Share of all tokens from which a term is hot.
+HOT_SHARE = 0.001
 
 
 @dataclass(frozen=True)
@@ -84,6 +87,27 @@ def _normalise(s, alpha: float, places: int):
                    places)
 
 
+def hot_terms(words: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """The terms that make up at least ``share`` of all rows of ``words``: at
+    most 1 / share of them.  Counted per task before the shuffle."""
+    counts = cut_lineage(words.groupBy("term").agg(F.count(F.lit(1)).alias("_c")))
+    total = counts.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
+    return counts.filter(F.col("_c") >= max(1.0, share * total)).select("term")
+
+
+def _with_valence(words: DataFrame, lex: DataFrame, small: bool) -> DataFrame:
+    """``words`` joined to the lexicon.  A lexicon too large to broadcast is
+    joined by shuffle, but for the hot terms: a term that is a third of all
+    tokens would be one task's work.  Their part of the lexicon, at most
+    1 / ``HOT_SHARE`` rows, is broadcast, and only the other tokens shuffle."""
+    if small:
+        return words.join(lex, "term")
+    hot = F.broadcast(cut_lineage(hot_terms(words)))
+    met = words.join(F.broadcast(lex.join(hot, "term", "left_semi")), "term")
+    rest = words.join(hot, "term", "left_anti").join(lex, "term")
+    return met.unionByName(rest)
+
+
 def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                  rules: Rules | None = None,
                  lexicon_rows: int | None = None) -> DataFrame:
@@ -101,6 +125,7 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                             F.col("valence").cast("double").alias("valence"))
              .groupBy("term").agg(F.min("valence").alias("valence")))
     lex = small_side(terms, LEXICON_MAX_ROWS, lexicon_rows)
+    small = lex is not terms
     df = df.withColumn("_d", text_digest(F.col(text)))
     key = [id_col, "_d"]
 
@@ -113,9 +138,9 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
     if rules is None:
         chunk = F.col("_chunk")
-        hits = (df.select(*key, F.explode(scoring_chunks(F.lower(F.col(text)))).alias("_chunk"))
-                .filter(chunk != "").select(*key, scoring_term(chunk).alias("term"))
-                .join(lex, "term").select(*key, F.col("valence").alias("_v")))
+        words = (df.select(*key, F.explode(scoring_chunks(F.lower(F.col(text)))).alias("_chunk"))
+                 .filter(chunk != "").select(*key, scoring_term(chunk).alias("term")))
+        hits = _with_valence(words, lex, small).select(*key, F.col("valence").alias("_v"))
         return (with_every_row(hits, ["_v"]).groupBy(*key)
                 .agg(n.alias("_n"), F.try_divide(total, n).alias("_s")))
     win = len(rules.decay)
@@ -166,9 +191,8 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
         return F.struct(*fields)
 
     items = F.transform(toks, item)
-    rows = (arr.select(*key, *carried, F.explode(items).alias("it"))
-            .select(*key, *carried, "it.*")
-            .join(lex, "term"))
+    rows = _with_valence(arr.select(*key, *carried, F.explode(items).alias("it"))
+                         .select(*key, *carried, "it.*"), lex, small)
     v = F.col("valence")
     if rules.caps:
         caps_on = F.col("_capdiff") & F.coalesce(F.col("u0"), F.lit(False))

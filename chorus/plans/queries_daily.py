@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chorus.operators.lexicon import lexicon_score
+from chorus.operators import filters
+from chorus.operators.inference import infer_types as infer
+from chorus.operators.lexicon import LEXICON_MAX_ROWS, lexicon_score, lexicon_scores
 from chorus.plans import publish, report, star
 from chorus.plans.oracle import (COMMENTS, EVENTS_CLEAN, FEATURES, MONTHLY_EVENTS,
                                  RAW_COMMENTS, SIDES, STANCE, TOKENS, scoring_tokens_sql,
@@ -15,7 +17,7 @@ from chorus.plans.queries import (FACT_SQL, GATE_SQL_CHECKS, LABEL_A, LABEL_B, L
                                   TOP_K, TOPIC_A, TOPIC_B, _comments, _docs, _dq_selects,
                                   _lexicon, _stop_sql, _t, query)
 from chorus.session import scratch_path
-from chorus.sources import proxies, versions
+from chorus.sources import csv_split, files, proxies, versions
 from chorus.streaming import merged
 
 # ------------------------------------------------------------------ P5 + P2 + P3
@@ -182,3 +184,75 @@ def lexicon_score_shared_id(spark, sf):
 def lexicon_score_null_id(spark, sf):
     """A third of the rows without an id: scored like the others."""
     return _scored(spark, sf, F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
+
+
+# ------------------------------------------------------------ a large lexicon
+@query("lexicon_score_large", SQL["lexicon_score"])
+def lexicon_score_large(spark, sf):
+    """The lexicon taken as too large to broadcast: only hot terms are."""
+    return lexicon_scores(_docs(spark, sf), "doc_id", "text", _lexicon(spark),
+                          lexicon_rows=LEXICON_MAX_ROWS + 1)
+
+
+# ------------------------------------------------------------- many keywords
+MANY_WORDS = [f"{a}{b}{c}" for a in ("ta", "ne", "ou", "the", "er")
+              for b in ("rion", "nti", "ion", "reth", "an", "st", "ed", "with", "th", "re")
+              for c in ("", "an", "in", "es", "ou", "le", "ti", "on", "ment", "en",
+                        *[str(n) for n in range(30)])]
+
+
+@query("keyword_any_many", f"""
+SELECT doc_id FROM documents
+WHERE len(list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'),
+                      lambda x: x IN ({", ".join(f"'{w}'" for w in MANY_WORDS)}))) > 0""")
+def keyword_any_many(spark, sf):
+    """Two thousand keywords."""
+    return filters.keyword_any_many(_docs(spark, sf), "text", MANY_WORDS).select("doc_id")
+
+
+# ------------------------------------------------------------ inferred types
+#: Columns of orders as an untyped export holds them, one with a stray value.
+EXPORT = {"o_orderkey": "CAST(o_orderkey AS {0})", "o_totalprice": "CAST(o_totalprice AS {0})",
+          "o_orderstatus": "CAST(o_orderstatus AS {0})",
+          "day": "substring(CAST(o_orderdate AS {0}), 1, 10)",
+          "late": "CASE WHEN o_orderkey % 2 = 0 THEN 'true' WHEN o_orderkey % 3 = 0 THEN 'FALSE' END",
+          "big": "concat('9', lpad(CAST(o_orderkey AS {0}), 12, '0'))",
+          "stray": "CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(o_custkey AS {0}) END",
+          "empty": "CAST(NULL AS {0})"}
+TOLERANCE = 0.05
+_FORMS_SQL = {
+    "boolean": "regexp_matches({0}, '^(true|false)$', 'i')",
+    "int": "regexp_matches({0}, '^[+-]?[0-9]{{1,10}}$') AND TRY_CAST({0} AS INTEGER) IS NOT NULL",
+    "bigint": "regexp_matches({0}, '^[+-]?[0-9]{{1,18}}$')",
+    "double": "regexp_matches({0}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$')",
+    "date": "regexp_matches({0}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') "
+            "AND TRY_CAST({0} AS DATE) IS NOT NULL"}
+
+
+def _infer_sql(column):
+    spoilt = {k: f"count_if(v IS NOT NULL AND NOT ({f.format('v')}))" for k, f in _FORMS_SQL.items()}
+    case = lambda then: " ".join(
+        f"WHEN count(v) > 0 AND {n} <= {TOLERANCE} * count(v) THEN {then(k, n)}"
+        for k, n in spoilt.items())
+    kind, bad = case(lambda k, n: f"'{k}'"), case(lambda k, n: n)
+    return (f"SELECT '{column}' AS \"column\", CASE {kind} ELSE 'string' END AS type, "
+            f"count(*) AS n_rows, count(v) AS n_values, "
+            f"CAST(CASE {bad} ELSE 0 END AS BIGINT) AS n_malformed "
+            f"FROM (SELECT {EXPORT[column].format('VARCHAR')} AS v FROM orders)")
+
+
+@query("infer_types", "\nUNION ALL\n".join(map(_infer_sql, EXPORT)))
+def infer_types(spark, sf):
+    o = _t(spark, sf, "orders")
+    return infer(o.select(*[F.expr(e.format("STRING")).alias(c) for c, e in EXPORT.items()]),
+                 tolerance=TOLERANCE)
+
+
+# ------------------------------------------------------- multi-line CSV, split
+@query("csv_split_scan", SQL["csv_roundtrip"])
+def csv_split_scan(spark, sf):
+    """The documents as multi-line CSV, each file read by several tasks."""
+    d = _t(spark, sf, "documents")
+    path = scratch_path(spark, "csv_split_scan")
+    files.write_extract(d, path, single_file=True)
+    return csv_split.read_csv_split(spark, path, d.schema)
