@@ -23,7 +23,7 @@ from chorus.operators.clean import (conform, drop_any_null, fill_nulls,
 from chorus.operators.lexicon import Rules, lexicon_score
 from chorus.sources.files import (read_csv, read_parquet, spread,
                                   write_bucketed, write_stage)
-from chorus.sources.jdbc import write_tables
+from chorus.sources.jdbc import merge_jdbc, write_tables
 from chorus.sources.sampling import hash_sample, seeded_sample
 
 # The reference's table layout.
@@ -41,6 +41,10 @@ POST_MAX = ["post_score", "post_upvote_ratio", "post_thumbs_ups",
             "post_total_awards_received"]
 LOAD_ORDER = ["dim_user", "fact_assault", "dim_post", "dim_date",
               "fact_comment"]
+#: What names a row of a served table.
+LOAD_KEYS = {"dim_user": ["author_name"], "fact_assault": ["country", "month_year"],
+             "dim_post": ["post_id", "post_title", "post_self_text", "month_year"],
+             "dim_date": ["date"], "fact_comment": ["comment_id"]}
 LOAD_SCHEMA = {
     "dim_user": {"user_account_created_time": "timestamp_ntz",
                  "user_is_verified": "boolean",
@@ -255,7 +259,17 @@ def conform_for_load(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def serve(tables: dict[str, DataFrame], url: str, properties: dict,
           mode: str = "append", **jdbc_options) -> None:
-    """Cast to the load schema and write dimensions before facts."""
+    """Cast to the load schema and write dimensions before facts.  Mode
+    ``merge`` replaces rows by key, in one transaction a table, and survives
+    retried tasks (:func:`chorus.sources.jdbc.merge_jdbc`; ``column_types``
+    is then a mapping of table to DDL)."""
     ready = conform_for_load(tables)
+    if mode == "merge":
+        types = jdbc_options.pop("column_types", {})
+        for n in LOAD_ORDER:
+            if n in ready:
+                merge_jdbc(ready[n], url, n, LOAD_KEYS[n], properties, types.get(n),
+                           **jdbc_options)
+        return
     write_tables([(n, ready[n]) for n in LOAD_ORDER if n in ready], url,
                  mode, properties, **jdbc_options)
