@@ -294,3 +294,53 @@ def lexicon_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     return (sums.select(id_col, "_s", F.explode(F.sequence(
         F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
             .select(id_col, _normalise(F.col("_s"), alpha, places).alias(out)))
+
+
+def phrase_scores(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
+                  out: str = "sentiment_score", alpha: float = ALPHA, places: int = 4,
+                  lexicon_rows: int | None = None) -> DataFrame:
+    """(id, score) for every row of ``df`` under a lexicon whose terms may be
+    phrases ("kiss of death": its words one blank apart).
+
+    Terms are matched from left to right; where several begin at one token the
+    longest counts, and the next match begins after it, so the words of a
+    phrase do not count on their own.
+
+    Runs of tokens, as many as the longest phrase has, are joined to the
+    lexicon; only hits are gathered per text (no more than it has tokens), and
+    one array expression walks over them.
+    """
+    terms = (lexicon.select(F.array_join(F.filter(F.split(F.lower("term"), " +"),
+                                                  lambda w: w != ""), " ").alias("term"),
+                            F.col("valence").cast("double").alias("valence"))
+             .filter("term <> ''").groupBy("term").agg(F.min("valence").alias("valence")))
+    # Lengths that the lexicon holds; a text is cut into runs of these only.
+    n_words = F.size(F.split("term", " "))
+    lengths = sorted(r[0] for r in terms.select(n_words).distinct().collect()) or [1]
+    lex = small_side(terms, LEXICON_MAX_ROWS, lexicon_rows)
+    small = lex is not terms
+    rows = df.select(F.col(id_col), text_digest(F.col(text)).alias("_d"), F.col(text))
+    toks = F.col("_toks")
+
+    def runs(k: int):
+        run = F.transform(F.sequence(F.lit(1), F.size(toks) - F.lit(k - 1)), lambda i: F.struct(
+            i.alias("pos"), F.lit(k).alias("len"),
+            F.array_join(F.slice(toks, i, F.lit(k)), " ").alias("term")))
+        none = F.array().cast("array<struct<pos:int,len:int,term:string>>")
+        return F.when(F.size(toks) >= k, run).otherwise(none)
+
+    words = (rows.select(id_col, "_d", scoring_tokens(F.col(text)).alias("_toks"))
+             .select(id_col, "_d", F.explode(F.concat(*map(runs, lengths))).alias("it"))
+             .select(id_col, "_d", "it.*"))
+    hits = _with_valence(words, lex, small).groupBy(id_col, "_d").agg(F.array_sort(
+        F.collect_set(F.struct("pos", (-F.col("len")).alias("shorter"), "valence")))
+        .alias("_hits"))
+    start = F.struct(F.lit(1).alias("next"), F.lit(0.0).alias("sum"))
+    walked = F.aggregate("_hits", start, lambda a, h: F.when(
+        h["pos"] >= a["next"], F.struct((h["pos"] - h["shorter"]).alias("next"),
+                                        (a["sum"] + h["valence"]).alias("sum"))).otherwise(a))
+    sums = hits.select(F.col(id_col).alias("_id"), F.col("_d").alias("_sd"),
+                       walked["sum"].alias("_s"))
+    same = rows[id_col].eqNullSafe(sums["_id"]) & (rows["_d"] == sums["_sd"])
+    return (rows.drop(text).join(sums, same, "left")
+            .select(id_col, _normalise(F.col("_s"), alpha, places).alias(out)))

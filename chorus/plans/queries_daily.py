@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from chorus.operators import filters
 from chorus.operators.inference import infer_types as infer
-from chorus.operators.lexicon import LEXICON_MAX_ROWS, lexicon_score, lexicon_scores
+from chorus.operators.lexicon import (LEXICON_MAX_ROWS, lexicon_score, lexicon_scores,
+                                      phrase_scores)
 from chorus.plans import publish, report, star
 from chorus.plans.oracle import (COMMENTS, EVENTS_CLEAN, FEATURES, MONTHLY_EVENTS,
                                  RAW_COMMENTS, SIDES, STANCE, TOKENS, scoring_tokens_sql,
-                                 with_)
+                                 values_cte, with_)
 from chorus.plans.queries import (FACT_SQL, GATE_SQL_CHECKS, LABEL_A, LABEL_B, LEX_SQL,
                                   LEXICON, PVALUE_SQL, SIDE_A, SIDE_B, SQL, STAR_DIMS_SQL,
                                   TOP_K, TOPIC_A, TOPIC_B, _comments, _docs, _dq_selects,
@@ -194,6 +195,40 @@ def lexicon_score_large(spark, sf):
                           lexicon_rows=LEXICON_MAX_ROWS + 1)
 
 
+# ------------------------------------------------------------------- phrases
+#: Phrases beside the words of the lexicon; some begin with one of them.
+PHRASES = [("of the", 1.5), ("the and", -2.0), ("and the", 0.75), ("with and the", 2.5),
+           ("the the of", -0.5), ("de la", 1.25), ("is the with", -1.0), ("on the", 0.5)]
+MAX_PHRASE = 3
+
+
+@query("lexicon_score_phrases", "WITH " + values_cte("lex", ("term", "valence"),
+                                                     LEXICON + PHRASES) + """,
+arrs AS (SELECT doc_id, """ + scoring_tokens_sql("text") + f""" AS a FROM documents),
+runs AS (
+  SELECT doc_id, i, k, array_to_string(a[i:i + k - 1], ' ') AS term
+  FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM arrs),
+       range(1, {MAX_PHRASE + 1}) r(k)
+  WHERE i + k - 1 <= len(a)),
+hits AS (
+  SELECT doc_id, list({{'next': i + 0, 'shorter': -k, 'sum': valence}} ORDER BY i, -k) AS h
+  FROM runs JOIN lex USING (term) GROUP BY doc_id),
+sums AS (
+  SELECT doc_id, list_reduce(
+    list_prepend({{'next': 1::BIGINT, 'shorter': 0::BIGINT, 'sum': 0.0::DOUBLE}}, h),
+    lambda acc, x: CASE WHEN x."next" >= acc."next"
+      THEN {{'next': x."next" - x.shorter, 'shorter': 0::BIGINT, 'sum': acc.sum + x.sum}}
+      ELSE acc END).sum AS s
+  FROM hits)
+SELECT d.doc_id, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 4) AS sentiment_score
+FROM documents d LEFT JOIN sums USING (doc_id)""")
+def lexicon_score_phrases(spark, sf):
+    """Words and phrases, the longest match from left to right."""
+    lex = spark.createDataFrame(LEXICON + PHRASES, "term string, valence double")
+    return phrase_scores(_docs(spark, sf), "doc_id", "text", lex,
+                         lexicon_rows=len(LEXICON + PHRASES))
+
+
 # ------------------------------------------------------------- many keywords
 MANY_WORDS = [f"{a}{b}{c}" for a in ("ta", "ne", "ou", "the", "er")
               for b in ("rion", "nti", "ion", "reth", "an", "st", "ed", "with", "th", "re")

@@ -159,3 +159,30 @@ def test_the_star_is_served_by_key(spark):
         star.serve(tables, url, DERBY, "merge",
                    column_types={"dim_date": "month_year VARCHAR(7)"})
     assert jdbc.read_jdbc(spark, url, "dim_date", DERBY).count() == 1
+
+
+def test_phrases_match_longest_from_the_left(spark):
+    lex = {"a": 1.0, "b": -2.0, "a b": 3.5, "b c": 5.0, "a b a": 0.25, "c c c": -1.5}
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 25))) for _ in range(80)]
+    rows = [(i % 50, t) for i, t in enumerate(texts)] + [(1, None), (None, "A  b\nc!"), (None, "a b")] * 2
+
+    def score(t):
+        words, i, s = (t or "").lower().split(), 0, 0.0
+        while i < len(words):
+            for k in (3, 2, 1):
+                if i + k <= len(words) and " ".join(words[i:i + k]) in lex:
+                    s += lex[" ".join(words[i:i + k])]
+                    i += k
+                    break
+            else:
+                i += 1
+        return round(s / (s * s + 15) ** 0.5, 4)
+    df = spark.createDataFrame(rows, "id long, t string")
+    table = spark.createDataFrame([(t.upper().replace(" ", "  "), v) for t, v in lex.items()],
+                                  "term string, valence double")
+    want = sorted(((i, score(t)) for i, t in rows), key=repr)
+    assert _rows(lexicon.phrase_scores(df, "id", "t", table)) == want
+    large = lexicon.LEXICON_MAX_ROWS + 1
+    assert _rows(lexicon.phrase_scores(df, "id", "t", table, lexicon_rows=large)) == want
+    assert lexicon.phrase_scores(df.limit(0), "id", "t", table).count() == 0
