@@ -573,5 +573,5 @@ def test_pipeline_stages_against_brute_force(spark, odd, empty):
 def test_entry_registers_the_operators():
     import __spark_entry__ as e
     names = e.queries()
-    assert len([n for n in names if re.match(r"op\d+_", n)]) == 10
+    assert len([n for n in names if re.match(r"op\d+_", n)]) == 13
     assert "pipeline" in names and set(e.oracle_sql()) <= set(names)
