@@ -204,9 +204,16 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     """One row per window: conv_id, window, first_turn, n_turns, n_repeated,
     n_tokens, formatted and loss_spans (code-point ranges of ``formatted``).
 
-    Turns are ordered by ``turn``, null first, ties by role and text.  A null
-    text or role counts as empty; null conversation ids form one conversation.
-    An empty table gives an empty table.
+    A window has at most ``budget`` tokens: history goes, oldest first, until
+    the next turn fits.  Only a turn that does not fit beside the system turn
+    (or the budget itself) makes a larger window, of these two alone.
+
+    Turns are ordered by ``turn``, null first, ties by role and text; repeated
+    rows are turns of their own.  A null text or role counts as empty; null
+    conversation ids form one conversation.  A conversation is one task's work
+    in a stream of its turns: memory holds a window, however long the
+    conversation, and a very long turn whole.  Other columns are not read,
+    whatever their names.  An empty table gives an empty table.
     """
     prepare(turns.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -319,7 +319,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Learned from rows that are not held out and have an id and a label.
     ``und`` with score 0 for a null text or one without a letter, and when
-    there is nothing to learn from.  Repeated rows and null ids are kept.
+    there is nothing to learn from.  Repeated rows and null ids are kept.  A
+    very long text is read whole by one task, its n-grams a block at a time.
+    Other columns are not read, whatever their names.  An empty table gives an
+    empty table.
     """
     model = train(docs, ~held_out(F.col(id_col)), id_col, text_col, lang_col)
     text = F.col(text_col)

@@ -67,6 +67,11 @@ def op4_chat_format(spark, sf_dir):
 
 @query("op5_sentencepiece")
 def op5_sentencepiece(spark, sf_dir):
+    """The given model is merge-ranked: its scores are ranks, whose largest
+    sum is not the library's encoding.  Over the automaton's output links a
+    piece therefore relaxes a position when the merges leave it beside the
+    path's last piece, which gives the library's ids; models with
+    log-probabilities relax by the sum of scores."""
     return sentencepiece_codec.encode_documents(
         read_table(spark, sf_dir, "documents"), tokenizer(PIECES))
 

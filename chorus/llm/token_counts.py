@@ -206,7 +206,9 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     Counts equal the tokenizer library's, without added begin or end tokens;
     special strings inside a text are one token each, as by its default.  A
     null text counts like an empty one: 0 bytes, 0 tokens.  Repeated rows and
-    null ids are kept.
+    null ids are kept, other columns are not read, and an empty table gives an
+    empty table.  A very long text is counted whole by one task, in memory
+    proportional to it.
     """
     prepare(docs.sparkSession)
     n = count_udf(vocabulary_path)

@@ -100,3 +100,19 @@ def test_the_machines_decide_the_language_stage(spark):
                    if r.lang_pred != "und" and r.score >= language_id.MIN_SCORE}
     assert len(ids & {-1, -2, -3}) < 3 and -4 not in ids
     assert len(ids) >= 0.97 * d.count()
+
+
+def test_windows_of_ties_repeated_rows_and_long_turns(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "c"),
+            (2, 0, "user", "word " * 50_000), (2, 1, "assistant", "ok")]
+    d = spark.createDataFrame([(*r, "x", 5) for r in rows],
+                              "conv_id long, turn long, role string, text string, "
+                              "formatted string, tokens int").repartition(3)
+    w = chat_format.format_windows(d, budget=60, history=20).orderBy("conv_id", "window").collect()
+    one = [t for r in w if r.conv_id == 1 for t in chat_format.parse(r.formatted)[r.n_repeated:]]
+    assert one == [("user", "a"), ("user", "a"), ("user", "b"), ("assistant", "c")]
+    two = [r for r in w if r.conv_id == 2]
+    assert [(r.n_turns, r.n_repeated) for r in two] == [(1, 0), (1, 0)]
+    back = {r.conv_id: r for r in chat_format.read_back(
+        chat_format.format_windows(d, budget=60, history=20)).collect()}
+    assert (back[2].n_turns, back[2].loss_chars) == (2, 2)
