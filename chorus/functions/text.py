@@ -99,9 +99,15 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_RE), 0)
 
 
-def scoring_chunks(text) -> Column:
-    """Array of the chunks between white space, empty ones included."""
-    return F.split(F.translate(_c(text), _BREAKS, " " * len(_BREAKS)), " ")
+def one_line(text) -> Column:
+    """The text with a blank for every other white-space character."""
+    return F.translate(_c(text), _BREAKS, " " * len(_BREAKS))
+
+
+def scoring_chunks(line) -> Column:
+    """Array of the chunks between the blanks of a :func:`one_line` text,
+    empty ones included."""
+    return F.split(_c(line), " ")
 
 
 def scoring_term(chunk: Column) -> Column:
@@ -115,7 +121,7 @@ def scoring_tokens(text, lower: bool = True) -> Column:
     """Array of the tokens of sentiment scoring: contractions and symbol
     tokens such as ":)" are kept."""
     t = _c(text)
-    chunks = F.filter(scoring_chunks(F.lower(t) if lower else t), lambda x: x != "")
+    chunks = F.filter(scoring_chunks(one_line(F.lower(t) if lower else t)), lambda x: x != "")
     return F.transform(chunks, scoring_term)
 
 

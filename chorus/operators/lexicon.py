@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.functions.text import scoring_chunks, scoring_term, scoring_tokens
+from chorus.functions.text import one_line, scoring_chunks, scoring_term, scoring_tokens
 from chorus.operators.joins import small_side
 from chorus.session import cut_lineage
 
@@ -138,7 +138,8 @@ def lexicon_sums(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
     if rules is None:
         chunk = F.col("_chunk")
-        words = (df.select(*key, F.explode(scoring_chunks(F.lower(F.col(text)))).alias("_chunk"))
+        words = (df.select(*key, one_line(F.lower(F.col(text))).alias("_line"))
+                 .select(*key, F.explode(scoring_chunks("_line")).alias("_chunk"))
                  .filter(chunk != "").select(*key, scoring_term(chunk).alias("term")))
         hits = _with_valence(words, lex, small).select(*key, F.col("valence").alias("_v"))
         return (with_every_row(hits, ["_v"]).groupBy(*key)
