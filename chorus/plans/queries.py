@@ -1419,10 +1419,10 @@ def stream_fact_comment(spark, sf):
     from chorus.streaming.incremental import read_facts, run_incremental_fact
     base = scratch_path(spark, "stream_fact_comment")
     docs_schema = _t(spark, sf, "documents").schema
-    run_incremental_fact(spark, sf, docs_schema, _lexicon(spark),
-                         f"{base}/sink", f"{base}/checkpoint",
-                         transform=proxies.raw_comments,
-                         glob="documents.parquet")
+    # A glob path streams the table whether it is one file or a folder of files.
+    run_incremental_fact(spark, f"{sf.rstrip('/')}/{{documents.parquet}}", docs_schema,
+                         _lexicon(spark), f"{base}/sink", f"{base}/checkpoint",
+                         transform=proxies.raw_comments)
     return read_facts(spark, f"{base}/sink")
 
 

@@ -42,3 +42,16 @@ def test_incremental_picks_up_only_new_files(spark, tmp_dir):
         .filter("author_name IS NOT NULL")
     assert got.count() == want.count()
     assert got.select("comment_id").distinct().count() == want.count()
+
+
+def test_stream_query_reads_a_table_of_several_files(spark, tmp_dir):
+    from chorus.plans.queries import QUERIES
+    docs = proxies.table(spark, SF01, "documents")
+    rows = [(i, f"good word {i}", "en", "web", 11 + len(str(i))) for i in range(40)]
+    spark.createDataFrame(rows, docs.schema).repartition(3) \
+        .write.parquet(f"{tmp_dir}/documents.parquet")
+    got = QUERIES["stream_fact_comment"](spark, tmp_dir)
+    want = proxies.raw_comments(spark.createDataFrame(rows, docs.schema)) \
+        .filter("author_name IS NOT NULL")
+    assert sorted(r.comment_id for r in got.select("comment_id").collect()) == \
+        sorted(r.comment_id for r in want.select("comment_id").collect())
