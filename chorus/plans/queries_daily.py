@@ -286,8 +286,9 @@ def infer_types(spark, sf):
 # ------------------------------------------------------- multi-line CSV, split
 @query("csv_split_scan", SQL["csv_roundtrip"])
 def csv_split_scan(spark, sf):
-    """The documents as multi-line CSV, each file read by several tasks."""
+    """The documents as multi-line CSV, one file a task of the scan, each file
+    read by several tasks when it is larger than a split."""
     d = _t(spark, sf, "documents")
     path = scratch_path(spark, "csv_split_scan")
-    files.write_extract(d, path, single_file=True)
+    files.write_extract(d, path)
     return csv_split.read_csv_split(spark, path, d.schema)

@@ -45,6 +45,20 @@ def test_split_csv_equals_the_multi_line_reader(spark, tmp_dir, block_bytes):
     assert _rows(split) == _rows(files.read_csv(spark, path, SCHEMA))
 
 
+def test_split_csv_query_is_written_by_several_tasks(spark, tmp_dir, monkeypatch):
+    import glob
+
+    from chorus.plans import queries_daily
+    rows = [(i, f'two\nlines, "{i}"', "en", "web", 9) for i in range(30)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    monkeypatch.setattr(queries_daily, "scratch_path", lambda spark, name: f"{tmp_dir}/{name}")
+    got = queries_daily.csv_split_scan(spark, tmp_dir)
+    assert sorted(map(tuple, got.collect())) == rows
+    assert len(glob.glob(f"{tmp_dir}/csv_split_scan/part-*.csv")) == 3
+
+
 def test_split_csv_counts_corrupt_records(spark, tmp_dir):
     with open(f"{tmp_dir}/f.csv", "w", newline="") as f:
         f.write('id,text,n\r\n1,"two\r\nlines",0.5\r\nx,bad id,1\r\n3,"a ""quoted"" word",2\r\n')
