@@ -16,7 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -35,6 +35,9 @@ MIN_SPAN = 100
 #: Code points on either side of a piece that are compared with the keeper's;
 #: borders of equal texts meet again after few chunks.
 REACH = 4 * MAX_CHUNK
+#: Blocks of documents, by doc_key: a block number is a short name of a document
+#: that travels with each of its chunks.
+BLOCKS = 1 << 20
 #: Bytes hashed at a time.
 BLOCK = 1 << 22
 
@@ -92,52 +95,90 @@ def _cut(starts_character: np.ndarray, at: int) -> int:
     return at
 
 
-CHUNK = ("doc_id long, doc_key long, chunk int, start long, end long, "
-         "n_bytes int, digest binary")
+CANDIDATE = "digest binary, doc_id long, doc_key long, start long, end long"
+_DOCS = "array<struct<doc_id: long, doc_key: long, text: string>>"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "doc_key", "chunk", "start", "end", "n_bytes", "digest"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
-             pa.int32(), pa.binary()]
+def _block(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(BLOCKS - 1)).cast("int")
 
-    def out(cols):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    cols: list[list] = [[] for _ in names]
+def _digests(raw: bytes) -> tuple[np.ndarray, list[int], list[bytes]]:
+    """Bytes, ends of the chunks and digests of the chunks of one text."""
+    x = np.frombuffer(raw, np.uint8)
+    ends = borders(x)
+    return x, ends, [blake2b(raw[a:b], digest_size=16).digest() for a, b in zip([0, *ends], ends)]
+
+
+def _short(digests: list[bytes]) -> np.ndarray:
+    """The first eight bytes of each digest."""
+    return np.frombuffer(b"".join(digests), np.int64)[::2]
+
+
+def _texts(docs: pa.ListArray) -> Iterator[list[tuple[int | None, int, bytes]]]:
+    """Per block its documents, equal rows once: doc_id, doc_key, text."""
+    every = docs.flatten()
+    ids, keys = every.field("doc_id").to_pylist(), every.field("doc_key").to_pylist()
+    texts = every.field("text").cast(pa.binary())
+    at = 0
+    for n in docs.value_lengths().to_pylist():
+        seen = {keys[i]: i for i in range(at, at + n)}
+        yield [(ids[i], key, texts[i].as_py()) for key, i in seen.items()]
+        at += n
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, block): every document's different chunks, by the first eight
+    bytes of their digests."""
     for batch in batches:
-        for doc_id, key, text in zip(batch["doc_id"].to_pylist(), batch["doc_key"].to_pylist(),
-                                     batch["text"].cast(pa.binary())):
-            raw = text.as_py()
-            x = np.frombuffer(raw, np.uint8)
-            ends = borders(x)
-            starts = [0, *ends[:-1]]
-            digests = [blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts, ends)]
-            # Code points before each border.
-            points = np.cumsum((x & 0xC0) != 0x80)
-            char_ends = points[np.array(ends, np.int64) - 1].tolist() if ends else []
-            n = len(ends)
-            for c, v in zip(cols, ([doc_id] * n, [key] * n, range(n),
-                                   [0, *char_ends[:-1]] if n else [], char_ends,
-                                   [b - a for a, b in zip(starts, ends)], digests)):
-                c.extend(v)
-            if len(cols[0]) >= 50_000:
-                yield out(cols)
-                cols = [[] for _ in names]
-    if cols[0]:
-        yield out(cols)
-
-
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The chunks of every text: doc_id, doc_key (hash of id and text), chunk
-    number, start and end (code points), n_bytes and digest.  Null and empty texts have none."""
-    prepare(docs.sparkSession)
+        marks, blocks = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for block, docs in zip(batch["block"].to_pylist(), _texts(batch["docs"])):
+            for _, _, raw in docs:
+                marks.append(np.unique(_short(_digests(raw)[2])))
+                blocks.append(np.full(len(marks[-1]), block, np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(marks)), pa.array(np.concatenate(blocks))], ["mark", "block"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks whose mark is among the block's ``marks``."""
+    names = ["digest", "doc_id", "doc_key", "start", "end"]
+    types = [pa.binary(), *[pa.int64()] * 4]
+    for batch in batches:
+        cols: list[list] = [[] for _ in names]
+        for marks, docs in zip(batch["marks"], _texts(batch["docs"])):
+            marks = marks.values.to_numpy()
+            for doc_id, key, raw in docs:
+                x, ends, digests = _digests(raw)
+                kept = np.flatnonzero(np.isin(_short(digests), marks)).tolist()
+                if not kept:
+                    continue
+                # Code points before each border.
+                points = np.cumsum((x & 0xC0) != 0x80)
+                char_ends = [0, *points[np.array(ends, np.int64) - 1].tolist()]
+                n = len(kept)
+                for c, v in zip(cols, ([digests[i] for i in kept], [doc_id] * n, [key] * n,
+                                       [char_ends[i] for i in kept],
+                                       [char_ends[i + 1] for i in kept])):
+                    c.extend(v)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, types)], names)
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(block, docs): the documents with a text, by some bits of doc_key (the
+    hash of id and text).  The only shuffle of the texts: all steps use it."""
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc_key"),
                         F.col(text_col).alias("text"))
             .filter(F.length("text") > 0)
-            .mapInArrow(_chunks, CHUNK))
+            .groupBy(_block(F.col("doc_key")).alias("block"))
+            .agg(F.collect_list(F.struct("doc_id", "doc_key", "text")).cast(_DOCS).alias("docs")))
+
+
+def _text_of(key: str) -> Column:
+    """The text of the document ``key`` among the ``docs`` of its block."""
+    return F.filter("docs", lambda d: d["doc_key"] == F.col(key))[0]["text"]
 
 
 def _common(a: str, b: str) -> int:
@@ -184,15 +225,20 @@ def _spans(min_span: int):
         names = ["doc_id", "doc_key", "start", "end", "n_bytes", "n_chunks", "keep_doc_id"]
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                pieces: dict[int, dict] = {}
-                for x in r["sides"]:
+            for docs, sides in zip(_texts(batch["docs"]), batch["sides"]):
+                per: dict[int, dict[int, dict]] = {}
+                for x in sides.as_py():
+                    pieces = per.setdefault(x["doc_key"], {})
                     pieces.setdefault(x["start"], x)[x["side"]] = x["part"]
-                for spans in _resolve(r["text"], list(pieces.values())):
-                    size = [len(r["text"][a:b].encode()) for a, b, _, _ in spans]
-                    if sum(size) >= min_span:
-                        rows += [(r["doc_id"], r["doc_key"], a, b, n_bytes, n, keep)
-                                 for (a, b, n, keep), n_bytes in zip(spans, size)]
+                for doc_id, key, raw in docs:
+                    if key not in per:
+                        continue
+                    text = raw.decode()
+                    for spans in _resolve(text, list(per[key].values())):
+                        size = [len(text[a:b].encode()) for a, b, _, _ in spans]
+                        if sum(size) >= min_span:
+                            rows += [(doc_id, key, a, b, n_bytes, n, keep)
+                                     for (a, b, n, keep), n_bytes in zip(spans, size)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names)
     return run
@@ -214,43 +260,40 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     share an id are one document; equal rows report their spans once.
     Documents without a repeat have no row.
     """
-    # Chunks are made twice, which costs less than to keep them all on disk.
-    found = chunks(docs, id_col, text_col)
-    # Chunks of one digest are counted before the shuffle, so a passage that a
-    # third of all documents share costs one row per task.
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "start")
-    groups = (found.groupBy("digest")
-              .agg(F.min(place).alias("_keep"), F.max("doc_key").alias("_key"),
-                   F.max("doc_id").alias("_last"), F.max("n_bytes").alias("_bytes"),
-                   F.max(F.col("doc_id").isNull()).alias("_null"))
-              .filter("_keep.doc_id < _last OR (_last IS NOT NULL AND _null)"
-                      " OR (_last IS NULL AND _keep.doc_key < _key)")
-              .select(F.col("digest").alias("_d"), "_bytes", "_keep"))
-    # Joined on digest and length: the length needs a shuffle of both sides,
-    # and AQE may then split a digest with very many chunks.
-    repeats = (found.join(groups, (F.col("digest") == F.col("_d"))
-                          & (F.col("n_bytes") == F.col("_bytes")))
+    prepare(docs.sparkSession)
+    blocks = _blocks(docs, id_col, text_col)
+    # Most chunks occur once.  What travels of every chunk is eight bytes and
+    # the block; only the chunks of a mark met again are made a second time
+    # and travel whole.  A mark's rows pass one by one, however many.
+    same = Window.partitionBy("mark").orderBy("block")
+    again = (blocks.mapInArrow(_marks, "mark long, block int")
+             .withColumn("_other", F.coalesce(F.lag("block").over(same), F.lead("block").over(same)))
+             .filter("_other IS NOT NULL")
+             .groupBy("block").agg(F.collect_list("mark").alias("marks")))
+    found = blocks.join(again, "block").select("docs", "marks").mapInArrow(_candidates, CANDIDATE)
+    # The first place of a digest is its keeper's.
+    place = ["no_id", "doc_id", "doc_key", "start"]
+    order = (Window.partitionBy("digest").orderBy(*place)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    repeats = (found.withColumn("no_id", F.col("doc_id").isNull())
+               .withColumn("_keep", F.first(F.struct(*place)).over(order))
                .filter((F.col("doc_id") > F.col("_keep.doc_id"))
                        | (F.col("doc_id").isNull() & (F.col("doc_key") != F.col("_keep.doc_key"))))
-               .select("doc_id", "doc_key", "chunk", "start", "end", "_keep"))
-    run = Window.partitionBy("doc_key").orderBy("chunk")
-    fresh = (F.col("chunk") != F.lag("chunk").over(run) + 1) \
+               .select("doc_id", "doc_key", "start", "end", "_keep"))
+    run = Window.partitionBy("doc_key").orderBy("start")
+    fresh = (F.col("start") != F.lag("end").over(run)) \
         | ~F.col("_keep.doc_id").eqNullSafe(F.lag("_keep.doc_id").over(run)) \
         | (F.col("_keep.no_id") & (F.col("_keep.doc_key") != F.lag("_keep.doc_key").over(run)))
-    pieces = (repeats.repartition("doc_key").dropDuplicates(["doc_key", "chunk"])
-              .withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
+    pieces = (repeats.withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
               .withColumn("_piece", F.sum("_new").over(run))
               .groupBy("doc_key", "_piece")
               .agg(F.first("doc_id").alias("doc_id"),
                    F.min("start").alias("start"), F.max("end").alias("end"),
                    F.count(F.lit(1)).alias("n_chunks"),
-                   F.min_by("_keep", "chunk").alias("_first"),
+                   F.min_by("_keep", "start").alias("_first"),
                    F.max_by(F.struct(F.col("_keep.doc_key").alias("doc_key"),
                                      (F.col("_keep.start") + F.col("end") - F.col("start"))
-                                     .alias("end")), "chunk").alias("_last")))
-    texts = (docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("text_key"),
-                         F.col(text_col).alias("text"))
-             .filter(F.length("text") > 0).dropDuplicates(["text_key"]))
+                                     .alias("end")), "start").alias("_last")))
     # The keepers' texts around the pieces; a keeper of very many is a skewed
     # join, which AQE may split.
     own = ["doc_id", "doc_key", "start", "end", "n_chunks", "keep_doc_id"]
@@ -261,14 +304,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.struct(F.lit("after").alias("side"), F.col("_last.doc_key").alias("text_key"),
                  F.col("_last.end").cast("int").alias("at"), F.lit(REACH).alias("n")))).alias("ask")
     around = (pieces.withColumn("keep_doc_id", F.col("_first.doc_id")).select(*own, ask)
-              .select(*own, "ask.*").join(texts, "text_key")
+              .select(*own, "ask.*").withColumn("block", _block(F.col("text_key")))
+              .join(blocks, "block").withColumn("text", _text_of("text_key"))
               .select(*own, "side", F.expr("substring(text, at + 1, n)").alias("part")))
-    per = around.groupBy("doc_key").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.collect_list(F.struct("start", "end", "n_chunks", "keep_doc_id", "side", "part"))
-        .alias("sides"))
-    return (per.join(texts, F.col("doc_key") == F.col("text_key"))
-            .select("doc_id", "doc_key", "text", "sides")
+    per = around.groupBy(_block(F.col("doc_key")).alias("block")).agg(
+        F.collect_list(F.struct(*own, "side", "part")).alias("sides"))
+    return (blocks.join(per, "block").select("docs", "sides")
             .mapInArrow(_spans(min_span), SPAN))
 
 

@@ -188,6 +188,36 @@ def test_passages_shared_only_by_rows_without_id(spark):
     assert sum(n for x, n in cut.items() if q in x) == 1
 
 
+def _shuffled(plan):
+    """Bytes that the shuffles of an executed plan wrote, each shuffle once."""
+    seen = {}
+
+    def walk(p):
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            walk(p.executedPlan())
+        elif name.startswith("ShuffleQueryStage"):
+            walk(p.plan())
+        elif name.startswith("Exchange"):
+            m = p.metrics().apply("shuffleBytesWritten")
+            seen[m.id()] = m.value()
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+    walk(plan)
+    return sum(seen.values())
+
+
+def test_substring_dedup_shuffles_chunks_whole_only_when_repeated(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz 0123456789", k=4000)))
+            for i in range(200)]
+    rows[7] = (7, rows[7][1] + rows[3][1][500:1500])
+    found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = found.collect()
+    assert [(r.doc_id, r.start, r.end, r.keep_doc_id) for r in got] == [(7, 4000, 5000, 3)]
+    assert _shuffled(found._jdf.queryExecution().executedPlan()) < 2 * sum(len(t) for _, t in rows)
+
+
 def test_substring_dedup_odd_rows(odd, empty):
     rows = substring_dedup.repeated_spans(odd).collect()
     assert {(r.doc_id, r.keep_doc_id) for r in rows} == {(6, 5)}
