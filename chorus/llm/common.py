@@ -17,7 +17,7 @@ from chorus.session import cut_lineage, shared_dir
 #: A join side of at most this many bytes may be broadcast.
 BROADCAST_BYTES = 8 << 20
 #: Bytes of one Arrow batch handed to a Python worker.
-ARROW_BATCH_BYTES = 32 << 20
+ARROW_BATCH_BYTES = 8 << 20
 #: ASCII white space as the contracts name it: space and 0x09 to 0x0D.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"

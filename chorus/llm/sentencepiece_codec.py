@@ -41,8 +41,8 @@ from chorus.llm.common import prepare
 MARK = "▁"
 #: Score of one byte piece.
 BYTE_SCORE = -30.0
-#: Remembered parts per worker; beyond it the memory starts afresh.
-MEMO_PARTS = 600_000
+#: Remembered parts per worker, in each of two generations (about 140 bytes each).
+MEMO_PARTS = 300_000
 #: Remembered pairs of neighbours per worker (merge-ranked models).
 MEMO_PAIRS = 200_000
 #: Last piece of the empty path.
@@ -114,8 +114,9 @@ def _bare(c: str) -> int:
 
 
 class _Parts(dict):
-    """part -> its piece ids as int32 bytes.  Two generations: when the young
-    one is full it becomes the old one, whose parts come back when met."""
+    """part, with spaces for U+2581 (which keeps most of them in one byte a
+    character) -> its piece ids as int32 bytes.  Two generations: when the
+    young one is full it becomes the old one, whose parts come back when met."""
 
     def __init__(self, search, limit: int = MEMO_PARTS):
         super().__init__()
@@ -124,7 +125,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         raw = self.old.get(part)
         if raw is None:
-            raw = array("i", self.search(part)).tobytes()
+            raw = array("i", self.search(part.replace(" ", MARK))).tobytes()
         if len(part) <= 64:
             if len(self) >= self.limit:
                 self.old = dict(self)
@@ -166,7 +167,7 @@ class Codec:
                 _bare(c): c for c in self.alphabet} | {START: ""}
             self.grow = lru_cache(None)(self._grow)          # one per piece
             self.pairs = _Pairs(self.beside)
-        self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.parts = re.compile(" *[^ ]+| +")
         self.mark = np.array([pieces.bytes[b] for b in MARK.encode()], np.int32).tobytes()
         self.text_of = [b""] * pieces.n_ids
         self.score_of = np.zeros(pieces.n_ids)
@@ -320,9 +321,8 @@ class Codec:
         for k, stretch in enumerate((" " + text).split(MARK)):
             if k:                           # a U+2581 of the text itself
                 out.append(self.mark)
-            marked = stretch.replace(" ", MARK)
-            out += map(self.memo.__getitem__, self.parts.findall(marked) if self.cuts
-                       else [marked] if marked else [])
+            out += map(self.memo.__getitem__, self.parts.findall(stretch) if self.cuts
+                       else [stretch] if stretch else [])
         return np.frombuffer(b"".join(out), np.int32)
 
     def score(self, ids: np.ndarray) -> float:

@@ -188,6 +188,18 @@ def test_passages_shared_only_by_rows_without_id(spark):
     assert sum(n for x, n in cut.items() if q in x) == 1
 
 
+def test_sentencepiece_memory_of_parts_is_small():
+    import sys
+
+    from chorus.llm.queries import PIECES, tokenizer
+    codec = sentencepiece_codec.Codec(sentencepiece_codec.load_pieces(tokenizer(PIECES)))
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(3000))
+    assert codec.decode(codec.encode(text)) == text
+    entry = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in codec.memo.items()) / len(codec.memo)
+    assert 2 * codec.memo.limit * entry < 100e6      # both generations, a worker
+
+
 def _shuffled(plan):
     """Bytes that the shuffles of an executed plan wrote, each shuffle once."""
     seen = {}
