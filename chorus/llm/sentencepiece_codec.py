@@ -42,7 +42,7 @@ MARK = "▁"
 #: Score of one byte piece.
 BYTE_SCORE = -30.0
 #: Remembered parts per worker, in each of two generations (about 140 bytes each).
-MEMO_PARTS = 300_000
+MEMO_PARTS = 400_000
 #: Remembered pairs of neighbours per worker (merge-ranked models).
 MEMO_PAIRS = 200_000
 #: Last piece of the empty path.

@@ -208,7 +208,7 @@ def _shuffled(plan):
         name = p.nodeName()
         if name == "AdaptiveSparkPlan":
             walk(p.executedPlan())
-        elif name.startswith("ShuffleQueryStage"):
+        elif name.endswith("QueryStage"):
             walk(p.plan())
         elif name.startswith("Exchange"):
             m = p.metrics().apply("shuffleBytesWritten")
